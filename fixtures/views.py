@@ -6,14 +6,26 @@ they spell differently come from a ``Dialect``.  Timestamps stay UTC.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
 from datetime import date
 from types import MappingProxyType
 
 from pyspark.sql import DataFrame, SparkSession
 
 REFERENCE_DAY = date(2024, 1, 20)
-BASE_TABLES = ("customer", "orders", "lineitem", "events", "part", "supplier")
+BASE_TABLES = {
+    "customer": """c_custkey bigint, c_name string, c_nationkey int, c_acctbal double,
+        c_mktsegment string""",
+    "orders": """o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double,
+        o_orderdate timestamp_ntz, o_orderpriority string""",
+    "lineitem": """l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int,
+        l_quantity double, l_extendedprice double, l_discount double, l_tax double,
+        l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz""",
+    "events": """event_id bigint, ts timestamp_ntz, user_id bigint, event_type string,
+        value double, props string""",
+    "part": """p_partkey bigint, p_name string, p_brand string, p_type string, p_size int,
+        p_retailprice double""",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+}
 
 
 class SparkDialect:
@@ -245,28 +257,26 @@ DUCK_VIEWS = MappingProxyType(domain_sql(DuckDialect()))
 SPARK_VIEWS = MappingProxyType(domain_sql(SparkDialect()))
 
 
-def load_domain(
-    spark: SparkSession, sf_dir: str, names: Iterable[str] = tuple(SPARK_VIEWS)
-) -> dict[str, DataFrame]:
-    """The domain tables over one benchmark folder, lazily."""
-    base = {
-        name: spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet") for name in BASE_TABLES
-    }
-    tables = {}
-    for name in names:
-        text = SPARK_VIEWS[name]
-        used = {b: df for b, df in base.items() if "{" + b + "}" in text}
-        tables[name] = spark.sql(text, **used) if used else spark.sql(text)
-    return tables
-
-
 class Domain(dict):
-    """Domain tables built when first asked for, so a query plans only what it reads."""
+    """Domain tables over one benchmark folder.
+
+    A table is built when first asked for, so a query plans only what it reads; declared
+    schemas spare the footer reads of schema inference.
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         super().__init__()
-        self._spark, self._sf_dir = spark, sf_dir
+        self._spark, self._folder = spark, sf_dir.rstrip("/")
+        self._base: dict[str, DataFrame] = {}
+
+    def _read(self, table: str) -> DataFrame:
+        if table not in self._base:
+            reader = self._spark.read.schema(BASE_TABLES[table])
+            self._base[table] = reader.parquet(f"{self._folder}/{table}.parquet")
+        return self._base[table]
 
     def __missing__(self, name: str) -> DataFrame:
-        self[name] = load_domain(self._spark, self._sf_dir, [name])[name]
+        text = SPARK_VIEWS[name]
+        used = {table: self._read(table) for table in BASE_TABLES if "{" + table + "}" in text}
+        self[name] = self._spark.sql(text, **used) if used else self._spark.sql(text)
         return self[name]

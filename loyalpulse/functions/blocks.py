@@ -25,35 +25,30 @@ def mask(blocks: Iterable[str]) -> int:
     return reduce(or_, (BIT[block] for block in blocks), 0)
 
 
-def has_any(blocks: Iterable[str], column: str = "blocks") -> Column:
-    return F.col(column).bitwiseAND(F.lit(mask(blocks))) != 0
+def any_of(tests: Iterable[str]) -> str:
+    return " OR ".join(f"({test})" for test in tests)
 
 
-def sum_bits(bits: Iterable[tuple[int, Column]]) -> Column:
-    """OR of the bits whose condition is true (NULL conditions do not count)."""
-    return reduce(
-        lambda left, right: left.bitwiseOR(right),
-        (F.when(condition, F.lit(bit)).otherwise(F.lit(0)) for bit, condition in bits),
-        F.lit(0),
-    )
+def sum_bits(bits: Iterable[tuple[int, str]]) -> str:
+    """OR of the bits whose SQL test is true; an unknown test does not count."""
+    return " | ".join(f"if({test}, {bit}, 0)" for bit, test in bits) or "0"
 
 
-def any_of(conditions: Iterable[Column]) -> Column:
-    return reduce(or_, conditions)
+def has_any(blocks: Iterable[str]) -> str:
+    """SQL test for any of the blocks."""
+    return f"(blocks & {mask(blocks)}) <> 0"
 
 
 def merge_blocks() -> Column:
     return F.bit_or("blocks").alias("blocks")
 
 
-def flag_columns(flags: Iterable[str] = tuple(FLAGS)) -> list[Column]:
-    """The 0/1 flag columns of a ``blocks`` integer."""
-    return [
-        F.when(has_any(FLAGS[flag]), F.lit(1)).otherwise(F.lit(0)).alias(flag) for flag in flags
-    ]
+def flag_columns(flags: Iterable[str] = tuple(FLAGS)) -> list[str]:
+    """SQL of the 0/1 flag columns of a ``blocks`` integer."""
+    return [f"if({has_any(FLAGS[flag])}, 1, 0) AS {flag}" for flag in flags]
 
 
-def flag_bits() -> Column:
+def flag_bits() -> str:
     """The flags as one integer, first flag most significant."""
     top = len(FLAGS) - 1
     return sum_bits((1 << (top - i), has_any(blocks)) for i, blocks in enumerate(FLAGS.values()))

@@ -16,31 +16,30 @@ def _column_type(df: DataFrame, name: str) -> T.DataType:
     return df.schema[name].dataType
 
 
-def _start_of_day(day: date, tz: str, dtype: T.DataType) -> Column:
+def _start_of_day(day: date, tz: str, dtype: T.DataType) -> str:
     """Literal of ``dtype`` for the first instant of a local day.
 
     Matching the column's own type keeps the comparison cast-free, so it reaches the
     parquet scan.
     """
     if isinstance(dtype, T.DateType):
-        return F.lit(day)
+        return f"DATE '{day}'"
     instant = datetime.combine(day, time(), ZoneInfo(tz)).astimezone(timezone.utc)
     if isinstance(dtype, T.TimestampNTZType):
-        return F.lit(instant.replace(tzinfo=None).isoformat(" ")).cast(dtype)
+        return f"TIMESTAMP_NTZ '{instant:%Y-%m-%d %H:%M:%S}'"
     if isinstance(dtype, T.TimestampType):
-        micros = (instant - EPOCH) // timedelta(microseconds=1)
-        return F.timestamp_micros(F.lit(micros))
+        return f"timestamp_seconds({(instant - EPOCH) // timedelta(seconds=1)})"
     raise TypeError(f"not a date or timestamp column: {dtype.simpleString()}")
 
 
 def in_local_days(
     df: DataFrame, name: str, tz: str, first: date, last: date | None = None
-) -> Column:
-    """True where the local date of ``name`` is in ``first``..``last`` (open if None)."""
+) -> str:
+    """SQL test that the local date of ``name`` is in ``first``..``last`` (open if None)."""
     dtype = _column_type(df, name)
-    inside = F.col(name) >= _start_of_day(first, tz, dtype)
+    inside = f"{name} >= {_start_of_day(first, tz, dtype)}"
     if last is not None:
-        inside &= F.col(name) < _start_of_day(last + timedelta(days=1), tz, dtype)
+        inside += f" AND {name} < {_start_of_day(last + timedelta(days=1), tz, dtype)}"
     return inside
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -23,6 +25,13 @@ def first_token(value: Column | str) -> Column:
     return F.split_part(value, F.lit(" "), F.lit(1))
 
 
+def quoted(values: Iterable[object]) -> str:
+    """Comma-separated SQL literals of texts or numbers."""
+    return ", ".join(
+        str(v) if isinstance(v, int) else "'" + str(v).replace("'", "\\'") + "'" for v in values
+    )
+
+
 def greeting(name: str, default: str) -> Column:
     """Upper-case first name, or ``default`` for a missing or blank one."""
     blank = F.col(name).isNull() | (F.trim(name) == "")
@@ -35,11 +44,11 @@ def json_scalar(text: str, key: str) -> Column:
     Only values that look like a container pay for the second, typed parse, which
     tells the string "[x]" from the array [x].
     """
-    path = f"$.{key}"
-    value = F.get_json_object(text, path)
-    kind = F.schema_of_variant(F.try_variant_get(F.try_parse_json(F.col(text)), path, "variant"))
-    plain = ~(value.startswith("{") | value.startswith("["))
-    return F.when(plain | (kind == "STRING"), value)
+    value = f"get_json_object({text}, '$.{key}')"
+    container = f"(startswith({value}, '{{') OR startswith({value}, '['))"
+    typed = f"try_variant_get(try_parse_json({text}), '$.{key}', 'variant')"
+    is_text = f"schema_of_variant({typed}) = 'STRING'"
+    return F.expr(f"CASE WHEN NOT {container} OR {is_text} THEN {value} END")
 
 
 def as_integer(value: str, strict: bool) -> Column:

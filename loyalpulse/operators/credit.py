@@ -65,9 +65,9 @@ def credit_origin(rules: Sequence[OriginRule] = ORIGIN_RULES) -> Column:
     return branches.otherwise(OTHER_ORIGIN)
 
 
-def _loans_in(loans: DataFrame, stage: str, ctx: RunContext) -> Column:
+def _loans_in(loans: DataFrame, stage: str, ctx: RunContext) -> str:
     day = ctx.day(CREDIT_LAG)
-    return (F.col("state") == stage) & in_local_days(loans, STAGE_CLOCK[stage], ctx.tz, day, day)
+    return f"state = '{stage}' AND " + in_local_days(loans, STAGE_CLOCK[stage], ctx.tz, day, day)
 
 
 def _profile(loans: DataFrame, borrowers: DataFrame, stage: str, ctx: RunContext) -> DataFrame:
@@ -170,15 +170,15 @@ def credit_hits(
     )
     tests = []
     for rule in rules:
-        test = F.col("state") == rule.stage
+        test = f"state = '{rule.stage}'"
         if rule.from_points is not None:
-            test &= F.col("from_points") == F.lit(rule.from_points)
+            test += f" AND from_points = {rule.from_points}"
         if rule.client_type is not None:
-            test &= F.col("client_type") == rule.client_type
+            test += f" AND client_type = '{rule.client_type}'"
         tests.append((BIT[rule.block], test))
     per_borrower = (
-        recent.select("borrower_id", sum_bits(tests).alias("blocks"))
-        .filter(F.col("blocks") != 0)
+        recent.selectExpr("borrower_id", f"{sum_bits(tests)} AS blocks")
+        .filter("blocks <> 0")
         .groupBy("borrower_id")
         .agg(merge_blocks())
     )

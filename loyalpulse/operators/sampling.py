@@ -39,16 +39,14 @@ def may_be_drawn(cpf: str, survey: str, ctx: RunContext, strata: Sequence[Stratu
     return draw_hash(cpf, ctx) < threshold(top)
 
 
-def in_stratum(stratum: Stratum) -> Column:
-    inside = F.col("credito") == stratum.credit
+def in_stratum(stratum: Stratum) -> str:
+    """SQL test of the stratum's flags."""
+    tests = [f"credito = {stratum.credit}"]
     if stratum.any_of:
-        hit = F.lit(False)
-        for flag in stratum.any_of:
-            hit |= F.col(flag) == 1
-        inside &= hit
-    for flag in stratum.none_of:
-        inside &= F.col(flag) == 0
-    return inside
+        tests.append(f"1 IN ({', '.join(stratum.any_of)})")
+    if stratum.none_of:
+        tests.append(f"1 NOT IN ({', '.join(stratum.none_of)})")
+    return " AND ".join(tests)
 
 
 def draw(
@@ -58,5 +56,5 @@ def draw(
     limit = F
     for stratum in strata:
         if stratum.survey == survey:
-            limit = limit.when(in_stratum(stratum), threshold(stratum.rate))
+            limit = limit.when(F.expr(in_stratum(stratum)), threshold(stratum.rate))
     return people.filter(draw_hash("cpf", ctx) < limit)

@@ -143,7 +143,8 @@ def active_quarantine(sends: DataFrame, ctx: RunContext, unique_ids: bool = Fals
     so sends older than the longest quarantine are skipped at the scan and expired ones
     before the shuffle.  Equal expiries are told apart by the larger tax id.
     """
-    recent = in_local_days(sends, "createdAt", ctx.tz, ctx.day(max(QUARANTINE_DAYS.values())))
+    longest = max(QUARANTINE_DAYS.values())
+    recent = in_local_days(sends, "createdAt", ctx.tz, ctx.day(longest))
     if unique_ids:
         expiries = quarantine_expiry(sends.filter(recent), ctx, unique_ids=True)
     else:

@@ -11,13 +11,13 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loyalpulse.context import RunContext
 from loyalpulse.functions.blocks import BIT, any_of, merge_blocks, sum_bits
 from loyalpulse.functions.dates import in_local_days
-from loyalpulse.functions.text import pad_id
+from loyalpulse.functions.text import pad_id, quoted
 from loyalpulse.rules import (
     CARD_LAG,
     CARD_PURCHASE,
@@ -28,6 +28,7 @@ from loyalpulse.rules import (
     PAYMENT_CONFIRMED,
     PAYMENT_LAG,
     PAYMENT_PARTIES,
+    TAX_ID_WIDTH,
     VALID_EXCHANGE,
     TouchpointRule,
 )
@@ -36,39 +37,37 @@ Sources = Mapping[str, DataFrame]
 Rules = Sequence[TouchpointRule]
 
 
-def _all_of(tests: Sequence[Column]) -> Column:
-    return reduce(lambda a, b: a & b, tests, F.lit(True))
-
-
-def _fact_tests(facts: DataFrame, clock: str, rules: Rules, ctx: RunContext) -> list[Column]:
+def _fact_tests(facts: DataFrame, clock: str, rules: Rules, ctx: RunContext) -> list[str]:
+    """Per rule, the SQL test of the fact's own columns."""
     tests = []
     for rule in rules:
         test = in_local_days(facts, clock, ctx.tz, ctx.day(rule.oldest), ctx.day(rule.newest))
         if rule.checkout_within is not None:
-            test &= in_local_days(facts, "DataCheckOut", ctx.tz, ctx.day(rule.checkout_within))
+            since = ctx.day(rule.checkout_within)
+            test += " AND " + in_local_days(facts, "DataCheckOut", ctx.tz, since)
         for column, values in rule.fact.items():
-            test &= F.col(column).isin(*values)
+            test += f" AND {column} IN ({quoted(values)})"
         tests.append(test)
     return tests
 
 
-def _dimension_tests(dimension: DataFrame, rules: Rules) -> list[Column]:
+def _dimension_tests(dimension: DataFrame, rules: Rules) -> list[str]:
+    """Per rule, the SQL test of the columns this dimension has."""
+    known = set(dimension.columns)
     tests = []
     for rule in rules:
-        wanted = [F.col(c).isin(*v) for c, v in rule.where.items() if c in dimension.columns]
-        barred = [~F.col(c).isin(*v) for c, v in rule.unless.items() if c in dimension.columns]
-        tests.append(_all_of(wanted + barred))
+        wanted = [f"{c} IN ({quoted(v)})" for c, v in rule.where.items() if c in known]
+        barred = [f"{c} NOT IN ({quoted(v)})" for c, v in rule.unless.items() if c in known]
+        tests.append(" AND ".join(wanted + barred) or "true")
     return tests
 
 
-def _bits(tests: Sequence[Column]) -> Column:
+def _bits(tests: Sequence[str]) -> str:
     return sum_bits((1 << i, test) for i, test in enumerate(tests))
 
 
-def _to_blocks(hits: Column, rules: Rules) -> Column:
-    return sum_bits(
-        (BIT[rule.block], hits.bitwiseAND(F.lit(1 << i)) != 0) for i, rule in enumerate(rules)
-    )
+def _to_blocks(hits: str, rules: Rules) -> str:
+    return sum_bits((BIT[rule.block], f"({hits} & {1 << i}) <> 0") for i, rule in enumerate(rules))
 
 
 def ledger_hits(
@@ -78,15 +77,16 @@ def ledger_hits(
     partner = ["chaveparceiro", "chavefilialparceiro"]
     fact_tests = _fact_tests(extrato, "DataProcessamentoTransacao", rules, ctx)
     dim_tests = _dimension_tests(parceiros, rules)
-    facts = extrato.filter(any_of(fact_tests)).select(
-        "chavecliente", *partner, _bits(fact_tests).alias("fact_bits")
+    facts = extrato.filter(f"chavecliente IS NOT NULL AND ({any_of(fact_tests)})").selectExpr(
+        "chavecliente", *partner, f"{_bits(fact_tests)} AS fact_bits"
+    )
+    dims = parceiros.filter(any_of(dim_tests)).selectExpr(
+        *partner, f"{_bits(dim_tests)} AS dim_bits"
     )
-    dims = parceiros.filter(any_of(dim_tests)).select(*partner, _bits(dim_tests).alias("dim_bits"))
-    hits = F.col("fact_bits").bitwiseAND(F.col("dim_bits"))
     return (
         facts.join(dims, partner)
-        .filter((hits != 0) & F.col("chavecliente").isNotNull())
-        .select("chavecliente", _to_blocks(hits, rules).alias("blocks"))
+        .filter("fact_bits & dim_bits <> 0")
+        .selectExpr("chavecliente", f"{_to_blocks('fact_bits & dim_bits', rules)} AS blocks")
     )
 
 
@@ -101,33 +101,33 @@ def exchange_hits(
     fact_tests = _fact_tests(exchange, "DataSolicitacaoexchange", rules, ctx)
     class_tests = _dimension_tests(classe_exchange, rules)
     facts = exchange.filter(
-        (F.col("FlagexchangeValida") == VALID_EXCHANGE) & any_of(fact_tests)
-    ).select(
+        f"FlagexchangeValida = '{VALID_EXCHANGE}' AND chavecliente IS NOT NULL "
+        f"AND ({any_of(fact_tests)})"
+    ).selectExpr(
         "chavecliente",
         "chavetable_exchange",
         "ChaveStatusexchange",
-        _bits(fact_tests).alias("fact_bits"),
+        f"{_bits(fact_tests)} AS fact_bits",
     )
-    classes = classe_exchange.filter(any_of(class_tests)).select(
-        "chavetable_exchange", _bits(class_tests).alias("class_bits")
+    classes = classe_exchange.filter(any_of(class_tests)).selectExpr(
+        "chavetable_exchange", f"{_bits(class_tests)} AS class_bits"
     )
-    hits = F.col("fact_bits").bitwiseAND(F.col("class_bits"))
-    joined = facts.join(classes, "chavetable_exchange").filter(hits != 0)
+    joined = facts.join(classes, "chavetable_exchange").selectExpr(
+        "chavecliente", "ChaveStatusexchange", "fact_bits & class_bits AS hits"
+    ).filter("hits <> 0")
 
-    statuses = status_exchange.withColumn("status_known", F.lit("true"))
+    status_columns = {"NomeStatusexchange", "status_known"}
     free_of_status = sum(
-        1 << i for i, rule in enumerate(rules) if not set(rule.where) & set(statuses.columns)
+        1 << i for i, rule in enumerate(rules) if not status_columns & set(rule.where)
     )
     if free_of_status != (1 << len(rules)) - 1:
-        status_bits = _bits(_dimension_tests(statuses, rules)).alias("status_bits")
-        joined = joined.join(
-            statuses.select("ChaveStatusexchange", status_bits), "ChaveStatusexchange", "left"
-        )
-        allowed = F.coalesce("status_bits", F.lit(free_of_status))
-        hits = hits.bitwiseAND(allowed)
-    return joined.filter((hits != 0) & F.col("chavecliente").isNotNull()).select(
-        "chavecliente", _to_blocks(hits, rules).alias("blocks")
-    )
+        statuses = status_exchange.withColumn("status_known", F.lit("true"))
+        status_bits = _bits(_dimension_tests(statuses, rules))
+        statuses = statuses.selectExpr("ChaveStatusexchange", f"{status_bits} AS status_bits")
+        joined = joined.join(statuses, "ChaveStatusexchange", "left").selectExpr(
+            "chavecliente", f"hits & coalesce(status_bits, {free_of_status}) AS hits"
+        ).filter("hits <> 0")
+    return joined.selectExpr("chavecliente", f"{_to_blocks('hits', rules)} AS blocks")
 
 
 def payment_hits(
@@ -137,23 +137,16 @@ def payment_hits(
 ) -> DataFrame:
     """``(cpf, blocks)`` of confirmed instant payments, both parties from one scan."""
     day = ctx.day(PAYMENT_LAG)
-    sides = F.array(
-        *(
-            F.struct(
-                pad_id(f"{party}TaxId").alias("cpf"),
-                F.lit(BIT[block]).alias("blocks"),
-                (F.col(f"{party}PersonType") == NATURAL_PERSON).alias("natural"),
-            )
-            for block, party in parties
-        )
+    on_day = in_local_days(transactions, "createTimestamp", ctx.tz, day, day)
+    sides = ", ".join(
+        f"""struct(lpad({party}TaxId, {TAX_ID_WIDTH}, '0') AS cpf, {BIT[block]} AS blocks,
+            {party}PersonType = '{NATURAL_PERSON}' AS natural)"""
+        for block, party in parties
     )
     return (
-        transactions.filter(
-            (F.col("status") == PAYMENT_CONFIRMED)
-            & in_local_days(transactions, "createTimestamp", ctx.tz, day, day)
-        )
-        .select(F.inline(sides))
-        .filter(F.col("natural") & F.col("cpf").isNotNull())
+        transactions.filter(f"status = '{PAYMENT_CONFIRMED}' AND {on_day}")
+        .selectExpr(f"inline(array({sides}))")
+        .filter("natural AND cpf IS NOT NULL")
         .select("cpf", "blocks")
     )
 
