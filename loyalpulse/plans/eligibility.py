@@ -10,6 +10,8 @@ from loyalpulse.operators.contact import contact_credit, contact_points
 from loyalpulse.operators.sampling import draw
 from loyalpulse.operators.suppression import blocked_ids, suppress
 from loyalpulse.operators.touchpoints import Sources
+from loyalpulse.plans.stages import StageLog
+from loyalpulse.sources.tables import Workspace
 
 
 def unrestricted(sources: Sources, ctx: RunContext) -> DataFrame:
@@ -30,3 +32,17 @@ def contacted(people: DataFrame, sources: Sources, ctx: RunContext) -> dict[str,
 def surveys(sources: Sources, ctx: RunContext) -> dict[str, DataFrame]:
     """The whole run as lazy frames."""
     return contacted(unrestricted(sources, ctx), sources, ctx)
+
+
+def run_eligibility(sources: Sources, ctx: RunContext, workspace: Workspace) -> StageLog:
+    """The run with each of its four results written and read back."""
+    log = StageLog()
+    with log.timed("eligible_people"):
+        people = workspace.materialize(eligible(sources, ctx), "eligible_people")
+    with log.timed("unrestricted_people"):
+        allowed = suppress(people, blocked_ids(sources, ctx))
+        allowed = workspace.materialize(allowed, "unrestricted_people")
+    for survey, rows in contacted(allowed, sources, ctx).items():
+        with log.timed(f"survey_{survey}"):
+            workspace.materialize(rows, f"survey_{survey}")
+    return log
