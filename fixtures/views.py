@@ -28,19 +28,23 @@ BASE_TABLES = {
 }
 
 
+LEVEL_2 = ("varejo", "duplamarca", "online", "varejo", "bancos", "contapontos")
+# a size without an entry has no second level
+LEVEL_3 = ("bonus", "supermercado", "outros", "telecom", "especiais_1", "banco_x")
+
+
 class SparkDialect:
     def table(self, name: str) -> str:
         return "{" + name + "}"
 
-    def folded(self, day: str) -> str:
-        """A long range of dates wrapped into January 2024."""
-        return (
-            "CAST(date_add(DATE '2024-01-01', datediff(CAST("
-            f"{day} AS DATE), DATE '1995-01-01') % 30) AS TIMESTAMP_NTZ)"
-        )
+    def folded(self, day: str, hours: str, days_back: str = "0") -> str:
+        """A long range of dates wrapped into January 2024, as an instant."""
+        since = f"datediff(CAST({day} AS DATE), DATE '1995-01-01') % 30"
+        start = "datediff(DATE '2024-01-01', DATE '1970-01-01')"
+        return f"timestamp_seconds(({start} + {since} - {days_back}) * 86400 + {hours} * 3600)"
 
     def plus(self, instant: str, days: str = "0", hours: str = "0") -> str:
-        return f"{instant} + make_dt_interval({days}, {hours}, 0, 0)"
+        return f"timestampadd(HOUR, CAST(({days}) * 24 + {hours} AS INT), {instant})"
 
     def date_plus(self, day: str, days: str) -> str:
         return f"date_add({day}, CAST({days} AS INT))"
@@ -49,6 +53,11 @@ class SparkDialect:
         structs = (f"named_struct('column', '{n}', 'value', {v})" for n, v in pairs)
         return f"array({', '.join(structs)})"
 
+    def pick(self, place: str, values: tuple[str, ...]) -> str:
+        """The value at a place counted from zero, NULL beyond the last."""
+        listed = ", ".join(f"'{v}'" for v in values)
+        return f"try_element_at(array({listed}), CAST({place} AS INT) + 1)"
+
     def json(self, text: str) -> str:
         return "'" + text.replace("{", "{{").replace("}", "}}") + "'"
 
@@ -63,11 +72,10 @@ class DuckDialect:
     def table(self, name: str) -> str:
         return name
 
-    def folded(self, day: str) -> str:
-        return (
-            "CAST(DATE '2024-01-01' + CAST((CAST("
-            f"{day} AS DATE) - DATE '1995-01-01') % 30 AS INTEGER) AS TIMESTAMP)"
-        )
+    def folded(self, day: str, hours: str, days_back: str = "0") -> str:
+        since = f"(CAST({day} AS DATE) - DATE '1995-01-01') % 30"
+        day_of = f"DATE '2024-01-01' + CAST({since} - {days_back} AS INTEGER)"
+        return f"CAST({day_of} AS TIMESTAMP) + to_hours(CAST({hours} AS INTEGER))"
 
     def plus(self, instant: str, days: str = "0", hours: str = "0") -> str:
         return f"{instant} + to_days(CAST({days} AS INTEGER)) + to_hours(CAST({hours} AS INTEGER))"
@@ -79,6 +87,10 @@ class DuckDialect:
         structs = (f"{{'column': '{n}', 'value': {v}}}" for n, v in pairs)
         return f"[{', '.join(structs)}]"
 
+    def pick(self, place: str, values: tuple[str, ...]) -> str:
+        listed = ", ".join(f"'{v}'" for v in values)
+        return f"list_extract([{listed}], CAST({place} AS INTEGER) + 1)"
+
     def json(self, text: str) -> str:
         return f"'{text}'"
 
@@ -92,11 +104,9 @@ class DuckDialect:
 def domain_sql(q) -> dict[str, str]:
     """Domain table name to its SELECT over the benchmark tables."""
     t = q.table
-    loan_clock = q.plus(q.folded("o_orderdate"), hours="o_orderkey % 24")
-    processed = q.plus(q.folded("l_shipdate"), hours="l_orderkey % 24")
-    checkout = q.plus(
-        q.folded("l_shipdate"), days="-(l_linenumber % 7)", hours="l_orderkey % 24"
-    )
+    loan_clock = q.folded("o_orderdate", "(o_orderkey % 24)")
+    processed = q.folded("l_shipdate", "(l_orderkey % 24)")
+    checkout = q.folded("l_shipdate", "(l_orderkey % 24)", "l_linenumber % 7")
     # every twentieth customer is a second registration of the one before, some have no id
     owner = "(c_custkey - CASE WHEN c_custkey % 20 = 1 THEN 1 ELSE 0 END)"
     padded_owner = f"lpad(CAST({owner} AS STRING), 11, '0')"
@@ -129,15 +139,12 @@ def domain_sql(q) -> dict[str, str]:
                    CAST(l_linenumber % 3 AS INT) AS CodigoSubTipoPromocao
             FROM {t("lineitem")} JOIN {t("orders")} ON l_orderkey = o_orderkey""",
         "parceiros": f"""
-            SELECT DISTINCT l_partkey AS chaveparceiro,
+            SELECT l_partkey AS chaveparceiro,
                    l_suppkey AS chavefilialparceiro,
-                   CASE l_partkey % 6 WHEN 0 THEN 'varejo' WHEN 1 THEN 'duplamarca'
-                        WHEN 2 THEN 'online' WHEN 3 THEN 'varejo' WHEN 4 THEN 'bancos'
-                        ELSE 'contapontos' END AS nivel2,
-                   CASE p_size % 7 WHEN 0 THEN 'bonus' WHEN 1 THEN 'supermercado'
-                        WHEN 2 THEN 'outros' WHEN 3 THEN 'telecom' WHEN 4 THEN 'especiais_1'
-                        WHEN 5 THEN 'banco_x' END AS nivel3
-            FROM {t("lineitem")} JOIN {t("part")} ON l_partkey = p_partkey""",
+                   {q.pick("l_partkey % 6", LEVEL_2)} AS nivel2,
+                   {q.pick("p_size % 7", LEVEL_3)} AS nivel3
+            FROM (SELECT DISTINCT l_partkey, l_suppkey FROM {t("lineitem")}) AS pairs
+            JOIN {t("part")} ON l_partkey = p_partkey""",
         "exchange": f"""
             SELECT user_id AS chavecliente,
                    event_id % 6 AS chavetable_exchange,

@@ -37,6 +37,24 @@ Sources = Mapping[str, DataFrame]
 Rules = Sequence[TouchpointRule]
 
 
+def _in_window(facts: DataFrame, clock: str, rules: Rules, ctx: RunContext) -> str:
+    """SQL test for the days any rule looks at, as few ranges as cover them.
+
+    This is what prunes the scan; which rule a row satisfies is worked out once, later.
+    """
+    lags = sorted({lag for rule in rules for lag in range(rule.newest, rule.oldest + 1)})
+    ranges: list[list[int]] = []
+    for lag in lags:
+        if ranges and lag == ranges[-1][1] + 1:
+            ranges[-1][1] = lag
+        else:
+            ranges.append([lag, lag])
+    return any_of(
+        in_local_days(facts, clock, ctx.tz, ctx.day(oldest), ctx.day(newest))
+        for newest, oldest in ranges
+    )
+
+
 def _fact_tests(facts: DataFrame, clock: str, rules: Rules, ctx: RunContext) -> list[str]:
     """Per rule, the SQL test of the fact's own columns."""
     tests = []
@@ -75,11 +93,12 @@ def ledger_hits(
 ) -> DataFrame:
     """``(chavecliente, blocks)`` of the points ledger; a customer may repeat."""
     partner = ["chaveparceiro", "chavefilialparceiro"]
-    fact_tests = _fact_tests(extrato, "DataProcessamentoTransacao", rules, ctx)
+    clock = "DataProcessamentoTransacao"
+    fact_tests = _fact_tests(extrato, clock, rules, ctx)
     dim_tests = _dimension_tests(parceiros, rules)
-    facts = extrato.filter(f"chavecliente IS NOT NULL AND ({any_of(fact_tests)})").selectExpr(
-        "chavecliente", *partner, f"{_bits(fact_tests)} AS fact_bits"
-    )
+    facts = extrato.filter(
+        f"chavecliente IS NOT NULL AND ({_in_window(extrato, clock, rules, ctx)})"
+    ).selectExpr("chavecliente", *partner, f"{_bits(fact_tests)} AS fact_bits")
     dims = parceiros.filter(any_of(dim_tests)).selectExpr(
         *partner, f"{_bits(dim_tests)} AS dim_bits"
     )
@@ -98,11 +117,12 @@ def exchange_hits(
     rules: Rules = EXCHANGE_RULES,
 ) -> DataFrame:
     """``(chavecliente, blocks)`` of points exchanges; a customer may repeat."""
-    fact_tests = _fact_tests(exchange, "DataSolicitacaoexchange", rules, ctx)
+    clock = "DataSolicitacaoexchange"
+    fact_tests = _fact_tests(exchange, clock, rules, ctx)
     class_tests = _dimension_tests(classe_exchange, rules)
     facts = exchange.filter(
         f"FlagexchangeValida = '{VALID_EXCHANGE}' AND chavecliente IS NOT NULL "
-        f"AND ({any_of(fact_tests)})"
+        f"AND ({_in_window(exchange, clock, rules, ctx)})"
     ).selectExpr(
         "chavecliente",
         "chavetable_exchange",
