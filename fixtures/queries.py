@@ -208,21 +208,23 @@ def monthly_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(monthly.monthly(monthly_real(spark, sf_dir), predicted, KEYS))
 
 
-def run_history(df: DataFrame) -> DataFrame:
+def run_history(df: DataFrame, *runs: RunContext) -> DataFrame:
+    """Weekly rows as the history of runs on the given dates."""
+    dates = F.array(*(F.lit(ctx.as_of) for ctx in runs))
+    df = rounded(df).withColumn("data_atualizacao", F.explode(dates))
     for name in history.WEEKLY_HISTORY:
         if name not in df.columns:
             df = df.withColumn(name, F.lit(None))
-    return history.to_history_schema(rounded(df), history.WEEKLY_HISTORY, KEYS)
+    return history.to_history_schema(df, history.WEEKLY_HISTORY, KEYS)
 
 
 def history_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return run_history(weekly.extend(series(spark, sf_dir), KEYS))
+    return run_history(weekly.extend(series(spark, sf_dir), KEYS), SERIES)
 
 
 def history_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
-    earlier = run_history(series(spark, sf_dir, EARLIER))
-    first = run_history(series(spark, sf_dir))
-    return history.replace_dates(earlier.unionByName(first), history_typed(spark, sf_dir))
+    kept = run_history(series(spark, sf_dir), EARLIER, SERIES)
+    return history.replace_dates(kept, history_typed(spark, sf_dir))
 
 
 def history_dashboard(spark: SparkSession, sf_dir: str) -> DataFrame:

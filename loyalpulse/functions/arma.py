@@ -14,7 +14,8 @@ from typing import NamedTuple
 
 import numpy as np
 
-STEADY = 1e-11
+STEADY = 1e-11  # change of the filter spread below which its gain is kept
+EDGE = 10.0  # search bound; partial autocorrelations stay within +-0.995
 
 
 class Filtered(NamedTuple):
@@ -187,7 +188,7 @@ def fit_and_forecast(
     filled = np.array([0.0 if v is None else v for v in y])
 
     def cost(x: list[float]) -> float:
-        if max(map(abs, x)) > 50:
+        if max(map(abs, x)) > EDGE:
             return math.inf
         return run_filter(y, *_shape(x, p)).neg_loglik
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import partial
-
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -75,7 +73,11 @@ def forecast(
         + [T.StructField("step", T.IntegerType()), *FORECAST_FIELDS]
         + [T.StructField("status", T.StringType())]
     )
-    one = partial(_forecast_one, keys=keys, steps=steps, alpha=alpha, offset=ctx.horizon_offset)
+    offset = ctx.horizon_offset
+
+    def one(group: pd.DataFrame) -> pd.DataFrame:
+        return _forecast_one(group, keys, steps, alpha, offset)
+
     return narrow.groupBy(*keys).applyInPandas(one, schema)
 
 

@@ -47,7 +47,9 @@ def replace_dates(history: DataFrame, run: DataFrame) -> DataFrame:
 
     The frame form of ``Workspace.replace_dates``, for stores without partitions.
     """
-    return history.join(run.select(RUN_DATE).distinct(), RUN_DATE, "left_anti").unionByName(run)
+    dates = run.select(RUN_DATE).distinct()
+    kept = history.join(dates, RUN_DATE, "left_anti").select(history.columns)
+    return kept.unionByName(run)
 
 
 def dashboard(
