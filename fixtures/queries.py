@@ -70,8 +70,11 @@ def credit_settled(spark: SparkSession, sf_dir: str) -> DataFrame:
 def credit_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = Domain(spark, sf_dir)
     hits = credit.credit_hits(d["loans"], d["borrowers"], CTX)
-    rows = consolidate.per_customer(consolidate.by_tax_id(hits, d["customers_a"]))
-    return consolidate.with_flags(consolidate.split_rows(rows), CREDIT_FLAGS)
+    matched = consolidate.by_tax_id(hits, d["customers_a"])
+    alone = consolidate.credit_without_customer(hits)
+    alone = alone.join(matched.select("cpf").distinct(), "cpf", "left_anti")
+    rows = consolidate.split_rows(consolidate.per_customer(matched.unionByName(alone)))
+    return consolidate.with_flags(rows, CREDIT_FLAGS)
 
 
 def flags_account_split(spark: SparkSession, sf_dir: str) -> DataFrame:

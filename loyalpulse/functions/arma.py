@@ -58,7 +58,7 @@ def _shape(x: Sequence[float], p: int) -> tuple[list[float], list[float]]:
     return _from_partial(x[:p]), [-c for c in _from_partial(x[p:])]
 
 
-def _advance(state: list[float], phi: list[float]) -> list[float]:
+def _advance(state: list, phi: list[float]) -> list:
     head = state[0]
     return [f * head + s for f, s in zip(phi, state[1:] + [0.0])]
 
@@ -72,7 +72,10 @@ def _advance_spread(spread, phi, shock):
 
 
 def run_filter(y: Sequence[float | None], phi: Sequence[float], theta: Sequence[float]) -> Filtered:
-    """Filter the series and a column of ones together; their innovations give the mean."""
+    """Filter the series and a column of ones together; their innovations give the mean.
+
+    The two share one gain, so they run as the real and imaginary part of one state.
+    """
     r = max(len(phi), len(theta) + 1)
     phi = list(phi) + [0.0] * (r - len(phi))
     shock = [1.0, *theta] + [0.0] * (r - 1 - len(theta))
@@ -81,17 +84,17 @@ def run_filter(y: Sequence[float | None], phi: Sequence[float], theta: Sequence[
     move[:-1, 1:] += np.eye(r - 1)
     start = np.linalg.solve(np.eye(r * r) - np.kron(move, move), np.outer(shock, shock).ravel())
     spread = start.reshape(r, r).tolist()
-    state, unit = [0.0] * r, [0.0] * r
-    n, log_det, vv, vw, ww = 0, 0.0, 0.0, 0.0, 0.0
+    state = [0j] * r
+    errors: list[complex] = []
+    scales: list[float] = []
     gain: list[float] | None = None
     for value in y:
         if value is None:
-            state, unit = _advance(state, phi), _advance(unit, phi)
+            state = _advance(state, phi)
             spread, gain = _advance_spread(spread, phi, shock), None
             continue
         if gain is None:
             scale = spread[0][0]
-            log_scale = math.log(scale)
             step = _advance([row[0] / scale for row in spread], phi)
             ahead = _advance_spread(spread, phi, shock)
             ahead = [[a - step[i] * step[j] * scale for j, a in enumerate(row)]
@@ -100,18 +103,21 @@ def run_filter(y: Sequence[float | None], phi: Sequence[float], theta: Sequence[
             spread = ahead
             if change < STEADY:
                 gain = step
-        v, w = value - state[0], 1.0 - unit[0]
-        state = [s + k * v for s, k in zip(_advance(state, phi), step)]
-        unit = [s + k * w for s, k in zip(_advance(unit, phi), step)]
-        n += 1
-        log_det += log_scale
-        vv += v * v / scale
-        vw += v * w / scale
-        ww += w * w / scale
+        head = state[0]
+        error = complex(value, 1.0) - head
+        state = [f * head + s + k * error for f, s, k in zip(phi, state[1:] + [0j], step)]
+        errors.append(error)
+        scales.append(scale)
+    error, scale = np.array(errors), np.array(scales)
+    vv = float(np.sum(error.real**2 / scale))
+    vw = float(np.sum(error.real * error.imag / scale))
+    ww = float(np.sum(error.imag**2 / scale))
+    n = len(errors)
     mean = vw / ww
     variance = max((vv - vw * vw / ww) / n, 1e-300)
+    log_det = float(np.sum(np.log(scale)))
     neg_loglik = 0.5 * (n * math.log(2 * math.pi * variance) + log_det + n)
-    return Filtered(mean, variance, neg_loglik, [s - mean * u for s, u in zip(state, unit)], spread)
+    return Filtered(mean, variance, neg_loglik, [s.real - mean * s.imag for s in state], spread)
 
 
 def _starting_points(y: np.ndarray, p: int, q: int) -> list[list[float]]:

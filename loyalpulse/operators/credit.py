@@ -93,13 +93,17 @@ def _profile(loans: DataFrame, borrowers: DataFrame, stage: str, ctx: RunContext
 
 
 def _with_customer(people: DataFrame, customers_a: DataFrame) -> DataFrame:
-    """Left join on the padded tax id; customers without one cannot match."""
-    customers = customer_ids(customers_a).filter(F.col("cpf").isNotNull())
-    return (
-        people.withColumn("_id", pad_id("NU_CPF"))
-        .join(customers.withColumnRenamed("cpf", "_id"), "_id", "left")
-        .drop("_id")
-    )
+    """Every matching customer of each row, or NULL, as a left join would give.
+
+    An outer join could neither broadcast the day's few contracts nor split a tax id that
+    many customers share; the inner join can do both, and the rows it misses are few.
+    """
+    keyed = people.withColumn("_id", pad_id("NU_CPF"))
+    customers = customer_ids(customers_a).filter("cpf IS NOT NULL").withColumnRenamed("cpf", "_id")
+    matched = keyed.join(customers, "_id")
+    unmatched = keyed.join(matched.select("_id").distinct(), "_id", "left_anti")
+    without = unmatched.withColumn("chavecliente", F.lit(None).cast("bigint"))
+    return matched.unionByName(without).drop("_id")
 
 
 def credit_acquired(

@@ -189,6 +189,9 @@ def suppress(people: DataFrame, blocked: DataFrame) -> DataFrame:
     """Keep people on none of the lists; an unknown tax id is on no list.
 
     The distinct ids come out partitioned by the join key, so seven lists cost one
-    shuffle and one anti join.
+    shuffle and one anti join.  People without a tax id, who may be many, are spread by
+    customer instead of meeting in one task.
     """
-    return people.join(blocked, people["cpf"] == blocked["NU_CPF"], "left_anti")
+    key = F.coalesce("cpf", F.concat(F.lit("?"), F.col("chavecliente").cast("string")))
+    listed = (F.col("_key") == F.col("NU_CPF")) & F.col("cpf").isNotNull()
+    return people.withColumn("_key", key).join(blocked, listed, "left_anti").drop("_key")

@@ -123,9 +123,13 @@ def test_account_blocks_need_a_customer_and_credit_blocks_do_not(spark):
          ("00000000007", mask(["bondcard"])), (None, mask(["quitadosplus"]))],
         "cpf string, blocks int",
     )
-    got = {(r.cpf, r.chavecliente): r.blocks for r in consolidate.by_tax_id(people, customers).collect()}
-    assert got == {
-        ("00000000005", 1): mask(["pix_sent", "aquisicaopts"]),
-        ("00000000006", None): mask(["aquisicaopts"]),
-        (None, None): mask(["quitadosplus"]),
+    matched = consolidate.by_tax_id(people, customers).collect()
+    assert [tuple(r) for r in matched] == [("00000000005", 1, mask(["pix_sent", "aquisicaopts"]))]
+    credit = consolidate.credit_without_customer(people).collect()
+    assert {(r.cpf, r.chavecliente, r.blocks) for r in credit} == {
+        ("00000000005", None, mask(["aquisicaopts"])),
+        ("00000000006", None, mask(["aquisicaopts"])),
+        (None, None, mask(["quitadosplus"])),
     }
+    raw = people.withColumn("cpf", F.ltrim("cpf", F.lit("0")))
+    assert consolidate.by_tax_id(raw, customers, padded=False).first().cpf == "5"

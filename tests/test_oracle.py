@@ -41,6 +41,8 @@ def test_matches_sql(name, spark, duck):
     assert dict(df.dtypes) == schema
     assert ordered(map(tuple, df.collect()), df.columns) == ordered(rows, names)
     assert rows
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
 
 
 def test_only_the_fit_has_no_sql():

@@ -92,12 +92,6 @@ def test_no_python_outside_the_fit(spark):
         assert "Python" not in plan_of(QUERIES[name](spark, SF_SMALL))
 
 
-def test_no_cross_or_nested_loop_joins(spark):
-    for name in QUERIES:
-        plan = plan_of(QUERIES[name](spark, SF_SMALL))
-        assert "CartesianProduct" not in plan and "NestedLoop" not in plan, name
-
-
 def test_fact_filters_reach_the_scan(spark):
     domain = Domain(spark, SF_SMALL)
     plan = plan_of(touchpoints.payment_hits(domain["transactions"], CTX))

@@ -206,11 +206,12 @@ def test_fraud_list_follows_accounts(spark):
 
 
 def test_suppress_keeps_unknown_ids_and_survives_hot_lists(spark):
-    people = spark.createDataFrame([("1",), ("2",), (None,)], "cpf string")
+    rows = [("1", 1), ("2", 2), (None, 3), (None, None)]
+    people = spark.createDataFrame(rows, "cpf string, chavecliente bigint")
     listed = spark.range(9000).selectExpr("if(id % 3 = 0, '2', concat('x', id)) AS NU_CPF")
     blocked = listed.unionByName(spark.sql("SELECT CAST(NULL AS STRING) AS NU_CPF"))
     blocked = blocked.filter("NU_CPF IS NOT NULL").distinct()
     kept = suppression.suppress(people, blocked)
-    assert {r.cpf for r in kept.collect()} == {"1", None}
+    assert {tuple(r) for r in kept.collect()} == {("1", 1), (None, 3), (None, None)}
     assert "LeftAnti" in kept._jdf.queryExecution().executedPlan().toString()
-    assert suppression.suppress(kept, blocked).count() == 2
+    assert suppression.suppress(kept, blocked).count() == 3
