@@ -38,6 +38,11 @@ def padded(value: str) -> str:
     return f"lpad(CAST({value} AS VARCHAR), 11, '0')"
 
 
+def tax_id(value: str) -> str:
+    """Marks an id that is padded, or left as stored for the literal statements."""
+    return f"<<{value}>>"
+
+
 def columns(names: Iterable[str], prefix: str = "") -> str:
     return ", ".join(prefix + name for name in names)
 
@@ -149,7 +154,7 @@ LOAN_FACTS = f"""SELECT id AS contrato, borrower_id, state, lent_at, settled_at,
          ELSE 'Outros' END AS origem
     FROM loans"""
 
-PROFILE = f"""{padded("document")} AS NU_CPF, split_part(name, ' ', 1) AS name, email,
+PROFILE = f"""{tax_id("document")} AS NU_CPF, split_part(name, ' ', 1) AS name, email,
     mobile_number AS celular, CAST({REF} - birthdate AS INTEGER) AS dias,
     address_city AS cidade"""
 
@@ -169,7 +174,7 @@ CREDIT_BASE = {
             cidade, CASE qnt_parcelas_atrasadas WHEN 0 THEN 'em_dia' ELSE 'atraso' END
             AS forma_quitacao, uf, tipo_de_cliente, origem
         FROM credit_settled_base
-        LEFT JOIN customers_a AS c ON NU_CPF = {padded("NumeroDocumento")}""",
+        LEFT JOIN customers_a AS c ON {padded("NU_CPF")} = {padded("NumeroDocumento")}""",
 }
 
 
@@ -254,15 +259,15 @@ CONSOLIDATED = {
 # --- suppression -----------------------------------------------------------------------
 
 LISTS = {
-    "sup_bad_email": f"""SELECT DISTINCT chavecliente, {padded("CPF")} AS NU_CPF FROM contatos
+    "sup_bad_email": f"""SELECT DISTINCT chavecliente, {tax_id("CPF")} AS NU_CPF FROM contatos
         WHERE coalesce(FaixaScoreEmail, 'Ruim') IN ('Ruim', 'Médio')""",
     "sup_inactive": f"""SELECT DISTINCT chavecliente, {padded("NumeroDocumento")} AS NU_CPF
         FROM customers_a WHERE DescricaoStatusConta IS DISTINCT FROM 'Ativado'""",
     "sup_optout": f"SELECT DISTINCT chavecliente, {padded('CPF')} AS NU_CPF FROM optout",
-    "sup_privacy": f"""SELECT DISTINCT {padded("document")} AS NU_CPF FROM borrowers
+    "sup_privacy": f"""SELECT DISTINCT {tax_id("document")} AS NU_CPF FROM borrowers
         WHERE lgpd_excluded_data""",
     "sup_fraud": f"""SELECT DISTINCT CASE
-            WHEN Tipo_Perda <> 'Conta Digital' THEN {padded("Cod_Cliente")}
+            WHEN Tipo_Perda <> 'Conta Digital' THEN {tax_id("Cod_Cliente")}
             WHEN Tipo_Perda = 'Conta Digital' THEN {padded("p.NU_CPF")} END AS NU_CPF
         FROM losses
         LEFT JOIN digital_account_type AS a
@@ -316,7 +321,7 @@ def first_name(name: str, default: str) -> str:
 
 def contact_points(drawn: str) -> str:
     return f"""SELECT {first_name("DescricaoNome", "CLIENTE pontos")} AS nome,
-        (SELECT max(EMAIL) FROM contatos WHERE CPF = d.cpf) AS email, NumeroTelefone AS telefone,
+        (SELECT max(EMAIL) FROM contatos WHERE {tax_id("CPF")} = d.cpf) AS email, NumeroTelefone AS telefone,
         '{REFERENCE_DAY:%d/%m/%Y}' AS data_atualizacao, {columns(["cpf", "chavecliente"], "d.")},
         {columns(FLAGS)}
         FROM {drawn} AS d JOIN (
@@ -324,7 +329,7 @@ def contact_points(drawn: str) -> str:
             QUALIFY row_number() OVER (PARTITION BY tax_id
                 ORDER BY DataUltimaAlteracaoCadastro DESC, chavecliente DESC) = 1
         ) AS c ON c.tax_id = d.cpf
-        WHERE d.cpf IN (SELECT CPF FROM contatos)"""
+        WHERE d.cpf IN (SELECT {tax_id("CPF")} FROM contatos)"""
 
 
 def contact_credit(drawn: str) -> str:
@@ -332,7 +337,7 @@ def contact_credit(drawn: str) -> str:
         TRY_CAST(mobile_number AS BIGINT) AS telefone,
         '{REFERENCE_DAY:%d/%m/%Y}' AS data_atualizacao, {columns(["cpf", "chavecliente"], "d.")},
         {columns(FLAGS)}
-        FROM {drawn} AS d JOIN borrowers ON {padded("document")} = d.cpf"""
+        FROM {drawn} AS d JOIN borrowers ON {tax_id("document")} = d.cpf"""
 
 
 BOTH_SURVEYS = """SELECT 'positivo' AS survey, * REPLACE (CAST(telefone AS VARCHAR) AS telefone)
@@ -504,7 +509,13 @@ HELPERS = {
     "split_points", "suppress_split", "mean_forecast", "earlier_run", "same_day_run", "first_run",
     "calendar_weeks", "segment_weeks", "extended_weeks",
 }
+# the same statements with ids left as stored
+LITERAL = {
+    "one_per_person_literal": "one_per_person",
+    "eligibility_literal_end_to_end": "eligibility_split_end_to_end",
+}
 CHECKED = [name for name in RELATIONS if name not in HELPERS and name not in DUCK_VIEWS]
+CHECKED += LITERAL
 
 
 def _needed(name: str, seen: dict[str, None]) -> dict[str, None]:
@@ -517,8 +528,11 @@ def _needed(name: str, seen: dict[str, None]) -> dict[str, None]:
 
 
 def statement(name: str) -> str:
-    *before, last = _needed(name, {})
+    """The check SQL of a query, with the relations it reads as common table expressions."""
+    *before, last = _needed(LITERAL.get(name, name), {})
     body = RELATIONS[last]
-    if not before:
-        return body
-    return "WITH " + ",\n".join(f"{n} AS ({RELATIONS[n]})" for n in before) + f"\n{body}"
+    if before:
+        named = ",\n".join(f"{n} AS ({RELATIONS[n]})" for n in before)
+        body = f"WITH {named}\n{body}"
+    as_id = r"CAST(\1 AS VARCHAR)" if name in LITERAL else padded(r"\1")
+    return re.sub("<<(.*?)>>", as_id, body)

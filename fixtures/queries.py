@@ -22,6 +22,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 CTX = RunContext(as_of=REFERENCE_DAY)
 SPLIT = CTX.but(flag_mode="split")
+# some phones of the benchmark tables are not numbers, which would stop a strict run
+LITERAL = RunContext.literal(REFERENCE_DAY).but(strict_casts=False)
 
 # the answers of the benchmark tables run from 1995 to August 2001
 SERIES = RunContext(as_of=date(2001, 8, 2), tz="UTC")
@@ -101,8 +103,8 @@ def flags_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return consolidate.eligible(Domain(spark, sf_dir), CTX)
 
 
-def one_per_person(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return consolidate.eligible(Domain(spark, sf_dir), SPLIT)
+def one_per_person(ctx: RunContext, spark: SparkSession, sf_dir: str) -> DataFrame:
+    return consolidate.eligible(Domain(spark, sf_dir), ctx)
 
 
 def one_list(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -181,6 +183,12 @@ def forecasted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(weekly_forecast(series(spark, sf_dir), SERIES, KEYS))
 
 
+def forecasted_literal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One series over calendar weeks, horizons 5-8 on the four labelled weeks."""
+    ctx = RunContext.literal(SERIES.as_of, tz="UTC")
+    return rounded(weekly_forecast(series(spark, sf_dir, ctx, ()), ctx))
+
+
 def with_series_means(spark: SparkSession, sf_dir: str, ctx: RunContext) -> DataFrame:
     """The extended series with its own means standing in for the fitted forecasts."""
     extended = weekly.extend(series(spark, sf_dir, ctx), KEYS)
@@ -245,6 +253,7 @@ QUERIES: dict[str, Query] = {
     "weekly_spine_iso": weekly_spine_iso,
     "series_extend": series_extend,
     "weekly_forecast": forecasted,
+    "weekly_forecast_literal": forecasted_literal,
     "monthly_real": monthly_real,
     "month_weights": month_weights,
     "monthly_forecast_weighted": monthly_forecast_weighted,
@@ -262,7 +271,8 @@ QUERIES: dict[str, Query] = {
     "flags_split": flags_split,
     "flags_with_credit": flags_with_credit,
     "flags_merge": flags_merge,
-    "one_per_person": one_per_person,
+    "one_per_person": partial(one_per_person, SPLIT),
+    "one_per_person_literal": partial(one_per_person, LITERAL),
     **{f"sup_{name}": partial(one_list, name) for name in suppression.LISTS},
     "sup_indicators": sup_indicators,
     "sup_indicator_pivot": sup_indicator_pivot,
@@ -274,4 +284,5 @@ QUERIES: dict[str, Query] = {
     "contact_points": contact_points,
     "eligibility_end_to_end": partial(surveyed, CTX),
     "eligibility_split_end_to_end": partial(surveyed, SPLIT),
+    "eligibility_literal_end_to_end": partial(surveyed, LITERAL),
 }
