@@ -73,8 +73,7 @@ def credit_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = Domain(spark, sf_dir)
     hits = credit.credit_hits(d["loans"], d["borrowers"], CTX)
     matched = consolidate.by_tax_id(hits, d["customers_a"])
-    alone = consolidate.credit_without_customer(hits)
-    alone = alone.join(matched.select("cpf").distinct(), "cpf", "left_anti")
+    alone = consolidate.unmatched_credit(hits, matched)
     rows = consolidate.split_rows(consolidate.per_customer(matched.unionByName(alone)))
     return consolidate.with_flags(rows, CREDIT_FLAGS)
 

@@ -125,11 +125,11 @@ def test_account_blocks_need_a_customer_and_credit_blocks_do_not(spark):
     )
     matched = consolidate.by_tax_id(people, customers).collect()
     assert [tuple(r) for r in matched] == [("00000000005", 1, mask(["pix_sent", "aquisicaopts"]))]
-    credit = consolidate.credit_without_customer(people).collect()
-    assert {(r.cpf, r.chavecliente, r.blocks) for r in credit} == {
-        ("00000000005", None, mask(["aquisicaopts"])),
-        ("00000000006", None, mask(["aquisicaopts"])),
-        (None, None, mask(["quitadosplus"])),
+    credit = people.withColumn("blocks", F.expr(f"blocks & {mask(CREDIT)}")).filter("blocks <> 0")
+    assert consolidate.credit_without_customer(credit).count() == 3
+    alone = consolidate.unmatched_credit(credit, consolidate.by_tax_id(people, customers)).collect()
+    assert {tuple(r) for r in alone} == {
+        ("00000000006", None, mask(["aquisicaopts"])), (None, None, mask(["quitadosplus"])),
     }
     raw = people.withColumn("cpf", F.ltrim("cpf", F.lit("0")))
     assert consolidate.by_tax_id(raw, customers, padded=False).first().cpf == "5"
