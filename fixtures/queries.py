@@ -120,7 +120,7 @@ def sup_indicator_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sup_quarantine_expiry(spark: SparkSession, sf_dir: str) -> DataFrame:
     sends = Domain(spark, sf_dir)["coplusites"]
-    return suppression.quarantine_expiry(sends, CTX).drop("_customer")
+    return suppression.quarantine_expiry(sends, CTX)
 
 
 def suppress_all(spark: SparkSession, sf_dir: str) -> DataFrame:

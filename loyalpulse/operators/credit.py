@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from loyalpulse.context import RunContext
 from loyalpulse.functions.blocks import BIT, any_of, merge_blocks, sum_bits
 from loyalpulse.functions.dates import in_local_days
+from loyalpulse.functions.joins import splittable_join
 from loyalpulse.functions.text import first_token, json_scalar, pad_id, tax_id
 from loyalpulse.operators.touchpoints import customer_ids
 from loyalpulse.rules import (
@@ -101,7 +102,7 @@ def _with_customer(people: DataFrame, customers_a: DataFrame) -> DataFrame:
     keyed = people.withColumn("_id", pad_id("NU_CPF"))
     customers = customer_ids(customers_a).filter("cpf IS NOT NULL").withColumnRenamed("cpf", "_id")
     matched = keyed.join(customers, "_id")
-    unmatched = keyed.join(matched.select("_id").distinct(), "_id", "left_anti")
+    unmatched = splittable_join(keyed, matched.select("_id").distinct(), "_id", "left_anti")
     without = unmatched.withColumn("chavecliente", F.lit(None).cast("bigint"))
     return matched.unionByName(without).drop("_id")
 

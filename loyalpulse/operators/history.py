@@ -47,7 +47,8 @@ def replace_dates(history: DataFrame, run: DataFrame) -> DataFrame:
 
     The frame form of ``Workspace.replace_dates``, for stores without partitions.
     """
-    dates = run.select(RUN_DATE).distinct()
+    # distinct calendar days: a few bytes each, however large the run
+    dates = F.broadcast(run.select(RUN_DATE).distinct())
     kept = history.join(dates, RUN_DATE, "left_anti").select(history.columns)
     return kept.unionByName(run)
 

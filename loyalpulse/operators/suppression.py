@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from loyalpulse.context import RunContext
 from loyalpulse.functions.dates import in_local_days, local_date
+from loyalpulse.functions.joins import splittable_join
 from loyalpulse.functions.ranking import top_row
 from loyalpulse.functions.text import as_integer, pad_id, tax_id
 from loyalpulse.operators.touchpoints import Sources
@@ -71,6 +72,7 @@ def fraud_list(
         .join(lost_accounts, "_account", "left_semi")
         .join(persons.select("ID_PESSOAFISICA", "NU_CPF"), "ID_PESSOAFISICA")
         .select("_account", pad_id("NU_CPF").alias("NU_CPF"))
+        .distinct()
     )
     through_account = lost_accounts.join(holders, "_account", "left").select("NU_CPF")
     return direct.unionByName(through_account)
@@ -106,31 +108,22 @@ def pivot_indicators(sends: DataFrame) -> DataFrame:
     )
 
 
-def quarantine_expiry(sends: DataFrame, ctx: RunContext, unique_ids: bool = False) -> DataFrame:
-    """When each send stops blocking its customer: sooner if it went unanswered.
-
-    With ``unique_ids`` (one row per ``_id``) the indicators are read in place, without
-    a shuffle; otherwise those of all rows of a send are combined first.
-    """
+def _expiry(sends: DataFrame, ctx: RunContext) -> Column:
+    """Date a send stops blocking its customer: sooner if it went unanswered."""
     sent_on = local_date(sends, "createdAt", ctx.tz)
     expiry = F
     for answered, days in QUARANTINE_DAYS.items():
         expiry = expiry.when(F.col("answered") == F.lit(answered), F.date_add(sent_on, days))
-    dated = sends.withColumn("QuarantineExpiryDate", expiry)
-    if unique_ids:
-        keyed = dated.select(
-            "createdAt",
-            _indicator(INDICATOR_CUSTOMER).alias("_customer"),
-            _indicator(INDICATOR_TAX_ID).alias("NU_CPF"),
-            "QuarantineExpiryDate",
-        )
-    else:
-        pivot = pivot_indicators(sends).withColumnRenamed("chavecliente", "_customer")
-        keyed = dated.select("_id", "createdAt", "QuarantineExpiryDate").join(pivot, "_id")
-    return keyed.filter(F.col("_customer").isNotNull()).select(
+    return expiry.alias("QuarantineExpiryDate")
+
+
+def quarantine_expiry(sends: DataFrame, ctx: RunContext) -> DataFrame:
+    """Each send with its customer and the date its quarantine ends."""
+    dated = sends.select("_id", "createdAt", _expiry(sends, ctx))
+    pivot = pivot_indicators(sends).filter(F.col("chavecliente").isNotNull())
+    return splittable_join(dated, pivot, "_id").select(
         "createdAt",
-        as_integer("_customer", ctx.strict_casts).alias("chavecliente"),
-        "_customer",
+        as_integer("chavecliente", ctx.strict_casts).alias("chavecliente"),
         "NU_CPF",
         "QuarantineExpiryDate",
     )
@@ -139,21 +132,31 @@ def quarantine_expiry(sends: DataFrame, ctx: RunContext, unique_ids: bool = Fals
 def active_quarantine(sends: DataFrame, ctx: RunContext, unique_ids: bool = False) -> DataFrame:
     """Customers whose latest expiry has not passed on the run date.
 
-    A row that has already expired can never be the latest of a customer in quarantine,
-    so sends older than the longest quarantine are skipped at the scan and expired ones
-    before the shuffle.  Equal expiries are told apart by the larger tax id.
+    The rows of one send share its indicators, so only their latest expiry matters and
+    each send is one aggregate row; no join back is needed.  With ``unique_ids`` (one row
+    per ``_id``) even that is skipped and sends older than the longest quarantine are
+    pruned at the scan.  Equal expiries are told apart by the larger tax id.
     """
-    longest = max(QUARANTINE_DAYS.values())
-    recent = in_local_days(sends, "createdAt", ctx.tz, ctx.day(longest))
     if unique_ids:
-        expiries = quarantine_expiry(sends.filter(recent), ctx, unique_ids=True)
-    else:
-        expiries = quarantine_expiry(sends, ctx).filter(recent)
-    running = expiries.filter(F.col("QuarantineExpiryDate") >= F.lit(ctx.as_of))
+        longest = max(QUARANTINE_DAYS.values())
+        sends = sends.filter(in_local_days(sends, "createdAt", ctx.tz, ctx.day(longest)))
+    per_send = sends.select(
+        "_id",
+        _indicator(INDICATOR_CUSTOMER).alias("_customer"),
+        _indicator(INDICATOR_TAX_ID).alias("NU_CPF"),
+        _expiry(sends, ctx),
+    )
+    if not unique_ids:
+        latest_values = (F.max(c).alias(c) for c in per_send.columns if c != "_id")
+        per_send = per_send.groupBy("_id").agg(*latest_values)
+    running = per_send.filter(
+        F.col("_customer").isNotNull() & (F.col("QuarantineExpiryDate") >= F.lit(ctx.as_of))
+    )
+    customer = as_integer("_customer", ctx.strict_casts)
     # an unreadable customer key stays its own customer
     unreadable = F.when(F.col("chavecliente").isNull(), F.col("_customer"))
     latest = top_row(
-        running.withColumn("_unreadable", unreadable),
+        running.withColumn("chavecliente", customer).withColumn("_unreadable", unreadable),
         ["chavecliente", "_unreadable"],
         (F.col("QuarantineExpiryDate").desc(), F.col("NU_CPF").desc_nulls_last()),
     )

@@ -132,4 +132,4 @@ def test_account_blocks_need_a_customer_and_credit_blocks_do_not(spark):
         ("00000000006", None, mask(["aquisicaopts"])), (None, None, mask(["quitadosplus"])),
     }
     raw = people.withColumn("cpf", F.ltrim("cpf", F.lit("0")))
-    assert consolidate.by_tax_id(raw, customers, padded=False).first().cpf == "5"
+    assert consolidate.by_tax_id(raw, customers).first().cpf == "5"
