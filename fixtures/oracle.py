@@ -455,6 +455,8 @@ SERIES = {
             CAST(CASE WHEN dataref < {RATE_CHANGE} THEN 5.0 ELSE 7.5 END AS DOUBLE)
             AS frac_sorteados
         FROM answers WHERE dataref >= {ANSWERS_SINCE}""",
+    "daily_answers_text": """SELECT * REPLACE (strftime(dataref, '%Y-%m-%d') AS dataref,
+            strftime(monday, '%Y-%m-%d') AS monday) FROM daily_answers""",
     "calendar_weeks": NUMBERED.format(over="", weeks=weeks("daily_answers", CALENDAR, SERIES_DAY)),
     "segment_weeks": NUMBERED.format(
         over=BY_SEGMENT, weeks=weeks("daily_answers", ISO, SERIES_DAY, "segment,")

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from fixtures.views import REFERENCE_DAY, Domain
 from loyalpulse.context import RunContext
 from loyalpulse.functions.blocks import has_any
+from loyalpulse.functions.dates import dates_as_text
 from loyalpulse.operators import consolidate, contact, credit, history, monthly, sampling
 from loyalpulse.operators import suppression, touchpoints, weekly
 from loyalpulse.operators.forecast import weekly_forecast
@@ -161,6 +162,10 @@ def daily_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weekly.daily_answers(answers, KEYS, since=SINCE, rate_change=RATE_CHANGE)
 
 
+def daily_answers_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dates_as_text(daily_answers(spark, sf_dir))
+
+
 def series(spark: SparkSession, sf_dir: str, ctx: RunContext = SERIES, keys=KEYS) -> DataFrame:
     counts = weekly.daily_counts(daily_answers(spark, sf_dir), keys)
     return weekly.spine(weekly.weekly(counts, ctx, keys), keys)
@@ -248,6 +253,7 @@ TOUCHPOINTS = (
 
 QUERIES: dict[str, Query] = {
     "daily_answers": daily_answers,
+    "daily_answers_text": daily_answers_text,
     "weekly_spine": weekly_spine,
     "weekly_spine_iso": weekly_spine_iso,
     "series_extend": series_extend,

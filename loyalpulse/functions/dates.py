@@ -62,6 +62,18 @@ def month_start(day: Column) -> Column:
     return F.trunc(day, "MM")
 
 
+def dates_as_text(df: DataFrame) -> DataFrame:
+    """Every date column as yyyy-mm-dd text."""
+    return df.select(
+        *(
+            F.date_format(f.name, "yyyy-MM-dd").alias(f.name)
+            if isinstance(f.dataType, T.DateType)
+            else f.name
+            for f in df.schema
+        )
+    )
+
+
 def brazilian(day: date) -> str:
     """dd/mm/yyyy text of a run date."""
     return day.strftime("%d/%m/%Y")

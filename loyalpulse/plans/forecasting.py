@@ -30,10 +30,12 @@ def run_weekly(
     since: date = ANSWERS_SINCE,
     rate_change: date = SAMPLE_RATE_CHANGE,
     bootstrap: bool = False,
+    text_dates: bool = False,
 ) -> StageLog:
     """All stages in order, each written before the next reads it.
 
     ``bootstrap`` starts the history anew; otherwise the run replaces its own date.
+    ``text_dates`` writes the dates of the snapshots as yyyy-mm-dd text.
     """
     keys = list(keys)
     day = ctx.as_of
@@ -42,21 +44,21 @@ def run_weekly(
     with log.timed("answers_daily"):
         daily = daily_answers(answers, keys, since=since, rate_change=rate_change)
         daily = workspace.materialize(daily, "answers_daily")
-        workspace.snapshot(daily, "silver", "answers_daily", day)
+        workspace.snapshot(daily, "silver", "answers_daily", day, text_dates)
 
     with log.timed("series_weekly"):
         counts = workspace.materialize(daily_counts(daily, keys), "answers_by_day")
         series = workspace.materialize(spine(weekly(counts, ctx, keys), keys), "series_weekly")
-        workspace.snapshot(series, "silver", "series_weekly", day)
+        workspace.snapshot(series, "silver", "series_weekly", day, text_dates)
 
     with log.timed("forecast_weekly"):
         weeks = workspace.materialize(weekly_forecast(series, ctx, keys), "forecast_weekly")
-        workspace.snapshot(weeks, "gold", "forecast_weekly", day)
+        workspace.snapshot(weeks, "gold", "forecast_weekly", day, text_dates)
 
     with log.timed("forecast_monthly"):
         months = monthly(monthly_real(counts, ctx, keys), monthly_forecast(weeks, keys), keys)
         months = workspace.materialize(months, "forecast_monthly")
-        workspace.snapshot(months, "gold", "forecast_monthly", day)
+        workspace.snapshot(months, "gold", "forecast_monthly", day, text_dates)
 
     keep = workspace.bootstrap_history if bootstrap else workspace.replace_dates
     with log.timed("history"):

@@ -7,6 +7,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
+from loyalpulse.functions.dates import dates_as_text
 from loyalpulse.operators.history import RUN_DATE
 from loyalpulse.sources.schemas import TABLES, check
 
@@ -29,11 +30,14 @@ class Workspace:
 
     Every table written is read back from storage, so a later stage never recomputes an
     earlier one and survives the loss of any executor.
+
+    With ``database`` every table is also registered in the catalog under its name.
     """
 
-    def __init__(self, spark: SparkSession, root: str) -> None:
+    def __init__(self, spark: SparkSession, root: str, database: str | None = None) -> None:
         self.spark = spark
         self.root = root.rstrip("/")
+        self.database = database
 
     def _table(self, name: str) -> str:
         return f"{self.root}/tables/{name}"
@@ -41,18 +45,34 @@ class Workspace:
     def _layer(self, layer: str, name: str, as_of: date) -> str:
         return f"{self.root}/{layer}/{name}_{as_of.isoformat()}"
 
+    def _publish(self, name: str, partitioned: bool = False) -> None:
+        """Point the catalog entry at the folder just written."""
+        if self.database is None:
+            return
+        table = f"`{self.database}`.`{name}`"
+        self.spark.sql(f"DROP TABLE IF EXISTS {table}")
+        self.spark.sql(f"CREATE TABLE {table} USING parquet LOCATION '{self._table(name)}'")
+        if partitioned:
+            self.spark.sql(f"MSCK REPAIR TABLE {table}")
+
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self._table(name))
 
     def materialize(self, df: DataFrame, name: str) -> DataFrame:
         """Create or replace a table and return it as stored."""
         df.write.mode("overwrite").parquet(self._table(name))
+        self._publish(name)
         return self.spark.read.schema(df.schema).parquet(self._table(name))
 
-    def snapshot(self, df: DataFrame, layer: str, name: str, as_of: date) -> str:
-        """Dated copy in a layer such as silver or gold; returns its folder."""
+    def snapshot(
+        self, df: DataFrame, layer: str, name: str, as_of: date, text_dates: bool = False
+    ) -> str:
+        """Dated copy in a layer such as silver or gold; returns its folder.
+
+        ``text_dates`` writes dates as yyyy-mm-dd text, for readers that expect strings.
+        """
         path = self._layer(layer, name, as_of)
-        df.write.mode("overwrite").parquet(path)
+        (dates_as_text(df) if text_dates else df).write.mode("overwrite").parquet(path)
         return path
 
     def replace_dates(self, df: DataFrame, name: str) -> DataFrame:
@@ -75,6 +95,7 @@ class Workspace:
             .partitionBy(RUN_DATE)
             .parquet(self._table(name))
         )
+        self._publish(name, partitioned=True)
         return self.history(name, df)
 
     def history(self, name: str, like: DataFrame) -> DataFrame:

@@ -167,3 +167,25 @@ def test_load_checks_columns(spark, tmp_path):
         check(spark.sql("SELECT 1L AS chavecliente"), "optout")
     with pytest.raises(ValueError, match="CPF is string"):
         check(spark.sql("SELECT 1L AS chavecliente, 'x' AS CPF"), "optout")
+
+
+def test_tables_are_registered_and_replaced_in_the_catalog(spark, tmp_path):
+    spark.sql("CREATE DATABASE IF NOT EXISTS surveys")
+    ws = Workspace(spark, str(tmp_path), database="surveys")
+    try:
+        ws.materialize(spark.range(3), "numbers")
+        ws.materialize(spark.range(5).selectExpr("id", "id * 2 AS twice"), "numbers")
+        assert spark.table("surveys.numbers").agg(F.sum("twice")).first()[0] == 20
+        ws.bootstrap_history(run_of(spark, date(2024, 3, 4), 5, 1.0), "h")
+        ws.replace_dates(run_of(spark, date(2024, 3, 7), 6, 2.0), "h")
+        assert spark.table("surveys.h").count() == 11
+        assert spark.table("surveys.h").filter("data_atualizacao = DATE '2024-03-07'").count() == 6
+    finally:
+        spark.sql("DROP DATABASE surveys CASCADE")
+
+
+def test_snapshots_can_hold_dates_as_text(spark, tmp_path):
+    ws = Workspace(spark, str(tmp_path))
+    path = ws.snapshot(run_of(spark, date(2024, 3, 4), 1, 1.0), "silver", "s", date(2024, 3, 4), True)
+    row = spark.read.parquet(path).first()
+    assert (row.monday, row.data_atualizacao, row.id) == ("2024-01-08", "2024-03-04", 1)
