@@ -84,7 +84,12 @@ def forecast(
 def weekly_forecast(
     series: DataFrame, ctx: RunContext, keys: Keys = (), steps: int = FORECAST_WEEKS
 ) -> DataFrame:
-    """The series followed by its forecast weeks; only those rows carry forecasts."""
+    """The series followed by its forecast weeks; only those rows carry forecasts.
+
+    The weekly rows are used three times (as they are, to fit, to extend), so give a
+    stored series, as the weekly run does, rather than one still to be computed from
+    the answers.
+    """
     keys = list(keys)
     predicted = forecast(series, ctx, keys, steps).drop("status")
     ahead = future_weeks(series, keys, steps).join(predicted, [*keys, "step"], "left").drop("step")
