@@ -4,9 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from loyalpulse.llm.minhash import near_duplicates
+from loyalpulse.llm.packing import pack
+from loyalpulse.llm.store import shared_folder
+from loyalpulse.llm.token_files import read_token_files, write_token_files
+
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,6 +25,18 @@ def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), width=4, percent=80)
 
 
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = shared_folder(spark)
+    manifest = write_token_files(table(spark, sf_dir, "documents"), folder, BYTE_BPE, end_id=2)
+    return read_token_files(manifest, folder)
+
+
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), BYTE_BPE, end_id=0, capacity=2048)
+
+
 QUERIES: dict[str, Query] = {
     "op2_minhash_dedup": op2_minhash_dedup,
+    "op6_token_files": op6_token_files,
+    "op8_best_fit_packing": op8_best_fit_packing,
 }

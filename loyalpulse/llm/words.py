@@ -22,11 +22,12 @@ def _odd(size: int) -> np.ndarray:
     return _random.integers(0, 2**63, size, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-def _byte_values() -> np.ndarray:
-    values = _odd(256)
+def _byte_values() -> tuple[np.ndarray, np.ndarray]:
+    every = _odd(256)
+    values = every.copy()
     values[65:91] = values[97:123]
     values[list(SEPARATORS)] = 0
-    return values
+    return values, every
 
 
 def _powers(base: int) -> np.ndarray:
@@ -36,7 +37,7 @@ def _powers(base: int) -> np.ndarray:
 
 
 BASE = 0x9E3779B97F4A7C15
-BYTE = _byte_values()
+BYTE, PIECE_BYTE = _byte_values()
 IS_SEPARATOR = np.isin(np.arange(256), list(SEPARATORS))
 POWER = _powers(BASE)
 INVERSE = _powers(pow(BASE, -1, 2**64))
@@ -74,7 +75,7 @@ def _hash_long(word: np.ndarray) -> int:
 
 
 def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hash, start and end of every word; temporary memory does not grow with the text."""
+    """Hash, start and end of every word, a window of the text at a time."""
     starts, ends = word_spans(data)
     out = np.empty(len(starts), dtype=np.uint64)
     at = 0
@@ -110,6 +111,8 @@ def shingle_set(text: np.ndarray, width: int) -> np.ndarray:
 
 def utf8(column: pa.Array) -> Iterator[np.ndarray | None]:
     """The bytes of every text of an Arrow column without copying them; None for null."""
+    if len(column) == 0:
+        return
     valid = column.is_valid().to_numpy(zero_copy_only=False)
     wide = pa.types.is_large_string(column.type) or pa.types.is_large_binary(column.type)
     _, offset_buffer, data_buffer = column.buffers()
