@@ -6,9 +6,12 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from loyalpulse.llm.language import fit, identify
 from loyalpulse.llm.minhash import near_duplicates
 from loyalpulse.llm.packing import pack
+from loyalpulse.llm.secrets_scan import BASE_KINDS, scan
 from loyalpulse.llm.store import shared_folder
 from loyalpulse.llm.token_files import read_token_files, write_token_files
 
@@ -25,6 +28,20 @@ def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), width=4, percent=80)
 
 
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = f"filter(found, s -> s.kind IN {BASE_KINDS})"
+    text = "array_join(transform({}, s -> concat_ws(':', s.kind, s.start, s.end)), ',')"
+    return scan(table(spark, sf_dir, "documents")).selectExpr(
+        "doc_id",
+        *(
+            f"CAST(size(filter(found, s -> s.kind = '{kind}')) AS BIGINT) AS n_{kind}"
+            for kind in BASE_KINDS
+        ),
+        f"sha2({text.format(base)}, 256) AS base_sha256",
+        f"{text.format('found')} AS spans",
+    )
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_folder(spark)
     manifest = write_token_files(table(spark, sf_dir, "documents"), folder, BYTE_BPE, end_id=2)
@@ -35,8 +52,20 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), BYTE_BPE, end_id=0, capacity=2048)
 
 
+def held_out(doc_id: str = "doc_id") -> str:
+    return f"coalesce(crc32(CAST({doc_id} AS STRING)) % 4 = 2, false)"
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = fit(docs.filter(f"NOT {held_out()}"))
+    return identify(docs, model).select("*", F.expr(held_out()).alias("held_out"))
+
+
 QUERIES: dict[str, Query] = {
     "op2_minhash_dedup": op2_minhash_dedup,
+    "op3_secret_scan": op3_secret_scan,
     "op6_token_files": op6_token_files,
     "op8_best_fit_packing": op8_best_fit_packing,
+    "op10_language_id": op10_language_id,
 }
