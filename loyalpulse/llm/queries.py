@@ -8,8 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loyalpulse.llm.cap_filters import near_vectors
 from loyalpulse.llm.language import fit, identify
 from loyalpulse.llm.minhash import near_duplicates
+from loyalpulse.llm.mixing import Mix
 from loyalpulse.llm.packing import pack
 from loyalpulse.llm.secrets_scan import BASE_KINDS, scan
 from loyalpulse.llm.store import shared_folder
@@ -42,6 +44,14 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"), least=0.98)
+
+
+def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Mix(table(spark, sf_dir, "documents")).per_document()
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_folder(spark)
     manifest = write_token_files(table(spark, sf_dir, "documents"), folder, BYTE_BPE, end_id=2)
@@ -65,6 +75,8 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op2_minhash_dedup": op2_minhash_dedup,
     "op3_secret_scan": op3_secret_scan,
+    "op4_embedding_dedup": op4_embedding_dedup,
+    "op5_mix_sources": op5_mix_sources,
     "op6_token_files": op6_token_files,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op10_language_id": op10_language_id,
