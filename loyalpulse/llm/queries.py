@@ -13,6 +13,7 @@ from loyalpulse.llm.language import fit, identify
 from loyalpulse.llm.minhash import near_duplicates
 from loyalpulse.llm.mixing import Mix
 from loyalpulse.llm.packing import pack
+from loyalpulse.llm.projected_search import nearest
 from loyalpulse.llm.secrets_scan import BASE_KINDS, scan
 from loyalpulse.llm.store import shared_folder
 from loyalpulse.llm.token_files import read_token_files, write_token_files
@@ -58,6 +59,10 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(manifest, folder)
 
 
+def op7_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"), every=20, k=20)
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), BYTE_BPE, end_id=0, capacity=2048)
 
@@ -78,6 +83,7 @@ QUERIES: dict[str, Query] = {
     "op4_embedding_dedup": op4_embedding_dedup,
     "op5_mix_sources": op5_mix_sources,
     "op6_token_files": op6_token_files,
+    "op7_nearest_vectors": op7_nearest_vectors,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op10_language_id": op10_language_id,
 }
