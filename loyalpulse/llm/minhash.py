@@ -10,7 +10,7 @@ Two documents of similarity s share a table with probability
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import partial
 
 import numpy as np
@@ -25,7 +25,8 @@ from loyalpulse.llm.words import mix, shingle_set, utf8
 
 ROWS = 3
 COLLECTION = 12
-_SIGNATURE = "doc_id bigint, n bigint, lo bigint, hi bigint, half array<bigint>"
+
+KeysOf = Callable[[np.ndarray], np.ndarray]
 
 
 def _multipliers(count: int) -> tuple[np.ndarray, np.ndarray]:
@@ -48,45 +49,47 @@ def half_keys(found: np.ndarray, rows: int, collection: int) -> np.ndarray:
     return key
 
 
-def signatures(docs: DataFrame, width: int, rows: int, collection: int) -> DataFrame:
-    """Per document its number of shingles, a 128-bit name of its set and its half-keys."""
+def tensored(collection: int) -> str:
+    """SQL of all table keys of a row's half-keys."""
+    return f"""flatten(transform(slice(keys, 1, {collection}), x ->
+        transform(slice(keys, {collection + 1}, {collection}), y -> xxhash64(x, y))))"""
+
+
+def signatures(units: DataFrame, width: int, keys_of: KeysOf) -> DataFrame:
+    """Per unit its number of shingles, a 128-bit name of its set and its keys."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, lo, hi, half = [], [], [], []
+            n, lo, hi, keys = [], [], [], []
             for text in utf8(batch.column("text")):
                 found = shingle_set(text, width) if text is not None else np.empty(0, np.uint64)
                 n.append(len(found))
                 lo.append(int(mix(found).sum(dtype=np.uint64).view(np.int64)))
                 hi.append(int(mix(found ^ np.uint64(0x5BD1E995)).sum(dtype=np.uint64).view(np.int64)))
-                half.append(half_keys(found, rows, collection).view(np.int64) if len(found) else None)
+                keys.append(keys_of(found).view(np.int64) if len(found) else None)
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("doc_id"),
+                    batch.column("id"),
                     pa.array(n, pa.int64()),
                     pa.array(lo, pa.int64()),
                     pa.array(hi, pa.int64()),
-                    pa.array(half, pa.list_(pa.int64())),
+                    pa.array(keys, pa.list_(pa.int64())),
                 ],
-                names=["doc_id", "n", "lo", "hi", "half"],
+                names=["id", "n", "lo", "hi", "keys"],
             )
 
-    rows_in = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    return rows_in.mapInArrow(sign, _SIGNATURE)
+    kind = dict(units.dtypes)["id"]
+    schema = f"id {kind}, n bigint, lo bigint, hi bigint, keys array<bigint>"
+    return units.select("id", "text").mapInArrow(sign, schema)
 
 
 def _alike_in_size(a: str, b: str, percent: int) -> str:
     return f"100 * least({a}, {b}) >= {percent} * greatest({a}, {b})"
 
 
-def buckets(classes: DataFrame, collection: int) -> DataFrame:
+def buckets(classes: DataFrame, every_key: str) -> DataFrame:
     """``(key, id, n, first, n_first)`` of every table key that two or more sets share."""
-    keys = classes.selectExpr(
-        "id",
-        "n",
-        f"""explode(flatten(transform(slice(half, 1, {collection}), x ->
-            transform(slice(half, {collection + 1}, {collection}), y -> xxhash64(x, y))))) AS key""",
-    )
+    keys = classes.selectExpr("id", "n", f"explode({every_key}) AS key")
     return keys.selectExpr(
         "key",
         "id",
@@ -96,37 +99,29 @@ def buckets(classes: DataFrame, collection: int) -> DataFrame:
     ).selectExpr("key", "id", "n", "head.id AS first", "head.n AS n_first", "size").filter("size > 1")
 
 
-def near_duplicates(
-    docs: DataFrame,
-    width: int = 5,
-    percent: int = 80,
-    rows: int = ROWS,
-    collection: int = COLLECTION,
+def near_groups(
+    units: DataFrame, width: int, percent: int, keys_of: KeysOf, every_key: str = "keys"
 ) -> DataFrame:
-    """``(doc_id, n_shingles, component_id, kept)`` of every document.
+    """``(id, n, component)`` of every unit ``(id, text)``; ids may be of any orderable type.
 
     Equal sets are merged first.  Members of a bucket are then checked against its first
     one, which joins almost all that belong together; what is left, pairs of a bucket
     that lie in different components, is checked in full.  So no link that the buckets
     offer is lost, and a group of thousands of copies never meets all its pairs.
 
-    A null or wordless text has no shingles and is linked with nothing.  Rows of one
-    ``doc_id`` count as one document; a row without id is no one's copy (component null,
-    kept).
+    A unit without shingles or id has no component.
     """
     set_of = partial(shingle_set, width=width)
-    signed = stored(signatures(docs, width, rows, collection))
+    signed = stored(signatures(units, width, keys_of))
     classes = (
-        signed.filter("n > 0 AND doc_id IS NOT NULL")
+        signed.filter("n > 0 AND id IS NOT NULL")
         .groupBy("lo", "hi")
-        .agg(F.min("doc_id").alias("id"), F.first("n").alias("n"), F.first("half").alias("half"))
+        .agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("keys").alias("keys"))
     )
-    shared = stored(buckets(classes, collection))
+    shared = stored(buckets(classes, every_key))
     members = shared.select("id").distinct()
     texts = stored(
-        docs.select(F.col("doc_id").cast("bigint").alias("id"), "text")
-        .join(members, "id", "left_semi")
-        .dropDuplicates(["id"])
+        units.select("id", "text").join(members, "id", "left_semi").dropDuplicates(["id"])
     )
     first = stored(
         shared.filter("id <> first AND " + _alike_in_size("n", "n_first", percent))
@@ -135,10 +130,11 @@ def near_duplicates(
     )
     links = stored(confirmed(first, texts, set_of, percent))
     known = components(links)
-    placed = shared.join(known.withColumnRenamed("node", "id"), "id", "left").selectExpr(
-        "key", "id", "n", "coalesce(component, id) AS component"
+    placed = stored(
+        shared.join(known.withColumnRenamed("node", "id"), "id", "left").selectExpr(
+            "key", "id", "n", "coalesce(component, id) AS component"
+        )
     )
-    placed = stored(placed)
     main = (
         placed.groupBy("key", "component")
         .count()
@@ -159,12 +155,40 @@ def near_duplicates(
     more = stored(confirmed(rest, texts, set_of, percent))
     if not more.isEmpty():
         known = components(links.unionByName(more))
-    sets = classes.select("lo", "hi", "id").join(
-        known.withColumnRenamed("node", "id"), "id", "left"
-    ).selectExpr("lo", "hi", "coalesce(component, id) AS component")
-    found = signed.drop("half").join(sets, ["lo", "hi"], "left").selectExpr(
-        "doc_id",
-        "n AS n_shingles",
-        "if(n > 0, component, doc_id) AS component_id",
+    sets = (
+        classes.select("lo", "hi", "id")
+        .join(known.withColumnRenamed("node", "id"), "id", "left")
+        .selectExpr("lo", "hi", "coalesce(component, id) AS component")
+    )
+    found = signed.drop("keys").join(sets, ["lo", "hi"], "left")
+    return found.selectExpr("id", "n", "if(id IS NULL, NULL, component) AS component")
+
+
+def near_duplicates(
+    docs: DataFrame,
+    width: int = 5,
+    percent: int = 80,
+    rows: int = ROWS,
+    collection: int = COLLECTION,
+) -> DataFrame:
+    """``(doc_id, n_shingles, component_id, kept)`` of every document.
+
+    A null or wordless text has no shingles and is linked with nothing.  Rows of one
+    ``doc_id`` count as one document; a row without id is no one's copy (component null,
+    kept).
+    """
+    units = docs.select(F.col("doc_id").cast("bigint").alias("id"), "text")
+    keys_of = partial(half_keys, rows=rows, collection=collection)
+    found = near_groups(units, width, percent, keys_of, tensored(collection)).selectExpr(
+        "id AS doc_id", "n AS n_shingles", "coalesce(component, id) AS component_id"
     )
     return found.withColumn("kept", F.expr("coalesce(doc_id = component_id, true)"))
+
+
+def without_near_duplicates(docs: DataFrame, **how) -> DataFrame:
+    """One document of each group, with all its columns; one row of each id."""
+    found = near_duplicates(docs, **how).filter("kept")
+    kept = found.filter("doc_id IS NOT NULL").select(F.col("doc_id").alias("_kept")).distinct()
+    named = docs.dropDuplicates(["doc_id"]).filter("doc_id IS NOT NULL")
+    chosen = named.join(kept, named.doc_id == kept._kept, "left_semi")
+    return chosen.unionByName(docs.filter("doc_id IS NULL"))

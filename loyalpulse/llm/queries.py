@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from loyalpulse.llm.cap_filters import near_vectors
 from loyalpulse.llm.language import fit, identify
+from loyalpulse.llm.line_dedup import per_document
 from loyalpulse.llm.minhash import near_duplicates
 from loyalpulse.llm.mixing import Mix
 from loyalpulse.llm.packing import pack
@@ -27,6 +28,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return per_document(table(spark, sf_dir, "documents"))
+
+
 def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), width=4, percent=80)
 
@@ -78,6 +83,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_line_dedup": op1_line_dedup,
     "op2_minhash_dedup": op2_minhash_dedup,
     "op3_secret_scan": op3_secret_scan,
     "op4_embedding_dedup": op4_embedding_dedup,
