@@ -10,7 +10,7 @@ are flagged as ambiguous.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from functools import lru_cache
 from itertools import product
@@ -220,26 +220,28 @@ def fit(docs: DataFrame, per_language: int = FITTED_PER_LANGUAGE) -> Model:
     return Model(languages, code, weights, scale, bits * trust / trust.sum())
 
 
-def identify(docs: DataFrame, model: Model) -> DataFrame:
-    """``(doc_id, lang_pred, score, ambiguous)`` of every whole text.
+def identify(docs: DataFrame, model: Model, keep: Sequence[str] = ("doc_id",)) -> DataFrame:
+    """The columns ``keep`` and ``lang_pred``, ``score``, ``ambiguous`` of every whole text.
 
     A null text and one without letters are ``und`` with score 0.
     """
+    kept = docs.select(*keep, F.col("text").alias("_text"))
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [model.predict(text.as_py()) for text in batch.column("text")]
+            found = [model.predict(text.as_py()) for text in batch.column("_text")]
             lang, score, ambiguous = zip(*found, strict=True) if found else ((), (), ())
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("doc_id"),
+                    *batch.columns[:-1],
                     pa.array(lang, pa.string()),
                     pa.array(score, pa.float64()),
                     pa.array(ambiguous, pa.bool_()),
                 ],
-                names=["doc_id", "lang_pred", "score", "ambiguous"],
+                names=[*keep, "lang_pred", "score", "ambiguous"],
             )
 
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(
-        label, "doc_id bigint, lang_pred string, score double, ambiguous boolean"
-    )
+    schema = kept.drop("_text").schema
+    for name, kind in (("lang_pred", "string"), ("score", "double"), ("ambiguous", "boolean")):
+        schema = schema.add(name, kind)
+    return kept.mapInArrow(label, schema)

@@ -14,6 +14,7 @@ from loyalpulse.llm.line_dedup import per_document
 from loyalpulse.llm.minhash import near_duplicates
 from loyalpulse.llm.mixing import Mix
 from loyalpulse.llm.packing import pack
+from loyalpulse.llm.passages import repeated_passages
 from loyalpulse.llm.projected_search import nearest
 from loyalpulse.llm.secrets_scan import BASE_KINDS, scan
 from loyalpulse.llm.store import shared_folder
@@ -72,6 +73,10 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), BYTE_BPE, end_id=0, capacity=2048)
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def held_out(doc_id: str = "doc_id") -> str:
     return f"coalesce(crc32(CAST({doc_id} AS STRING)) % 4 = 2, false)"
 
@@ -82,6 +87,12 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(docs, model).select("*", F.expr(held_out()).alias("held_out"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Query] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_minhash_dedup": op2_minhash_dedup,
@@ -91,5 +102,10 @@ QUERIES: dict[str, Query] = {
     "op6_token_files": op6_token_files,
     "op7_nearest_vectors": op7_nearest_vectors,
     "op8_best_fit_packing": op8_best_fit_packing,
+    "op9_substring_dedup": op9_substring_dedup,
     "op10_language_id": op10_language_id,
+    "pipeline": pipeline,
 }
+
+#: Check SQL of the queries that SQL can express.
+ORACLE_SQL: dict[str, str] = {}
