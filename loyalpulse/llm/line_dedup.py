@@ -17,6 +17,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,6 +29,8 @@ PERCENT = 80
 #: Lines with fewer distinct words are left alone: alike by chance.
 LEAST_WORDS = 5
 CELLS = 1 << 18
+#: Rows of one prefix word that are compared at once; commoner words go another, exact way.
+SMALL = 64
 _CHUNK = 1 << 13
 _RUN = 1 << 18
 
@@ -182,6 +185,87 @@ def lines_of(docs: DataFrame, rank: np.ndarray, least: int) -> DataFrame:
     return docs.mapInArrow(emit, "name bigint, doc bigint, line bigint")
 
 
+def _small_pairs(rows: dict[str, np.ndarray], percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of one word, which lie together, whose sets may be alike."""
+    word, name, size, place, bits = (rows[c] for c in ("word", "name", "size", "place", "bits"))
+    found = []
+    for shift in range(1, SMALL):
+        i = np.flatnonzero(word[shift:] == word[:-shift])
+        if len(i) == 0:
+            break
+        j = i + shift
+        a, b = size[i].astype(np.int64), size[j].astype(np.int64)
+        needed = -(-percent * (a + b) // (100 + percent))
+        left = np.minimum(a - place[i], b - place[j])
+        fit = (100 * np.minimum(a, b) >= percent * np.maximum(a, b)) & (name[i] != name[j])
+        fit &= np.minimum(place[i], place[j]) + left >= needed
+        fit &= np.bitwise_count((bits[i] ^ bits[j]).view(np.uint64)) <= a + b - 2 * needed
+        found.append((i[fit], j[fit]))
+    if not found:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
+
+
+def candidates(rows: DataFrame, percent: int) -> DataFrame:
+    """From prefix rows, pairs of up to ``SMALL`` rows of one word; all rows of other words.
+
+    A pair is ``name`` and ``other``; a row of a commoner word has no ``other``.
+    """
+    names = ["word", "name", "doc", "size", "place", "bits"]
+    schema = pa.schema(
+        [
+            ("word", pa.int32()),
+            ("name", pa.int64()),
+            ("doc", pa.int64()),
+            ("size", pa.int32()),
+            ("place", pa.int32()),
+            ("bits", pa.int64()),
+            ("other", pa.int64()),
+        ]
+    )
+
+    def split(part: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
+        starts = np.flatnonzero(np.diff(part["word"].astype(np.int64), prepend=-(2**40)))
+        counts = np.diff(np.append(starts, len(part["word"])))
+        many = np.repeat(counts > SMALL, counts)
+        small = {c: v[~many] for c, v in part.items()}
+        a, b = _small_pairs(small, percent)
+        _, one = np.unique(np.stack([small["name"][a], small["name"][b]], axis=1), axis=0, return_index=True)
+        a, b = a[one], b[one]
+        columns = [np.concatenate([small[c][a], part[c][many]]) for c in names]
+        other = pa.array(np.concatenate([small["name"][b], np.zeros(many.sum(), np.int64)]))
+        known = np.arange(len(other)) < len(a)
+        other = pc.if_else(pa.array(known), other, pa.scalar(None, pa.int64()))
+        yield pa.RecordBatch.from_arrays([*map(pa.array, columns), other], schema=schema)
+
+    def pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, np.ndarray] | None = None
+        for batch in batches:
+            part = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in names}
+            if batch.num_rows == 0:
+                continue
+            if held is not None:
+                part = {c: np.concatenate([held[c], part[c]]) for c in names}
+            last = part["word"] == part["word"][-1]
+            if last.sum() > 2 * SMALL:  # the word goes on: part of its rows are enough to tell
+                keep = np.flatnonzero(last)[: -(SMALL + 1)]
+                done = ~last
+                done[keep] = True
+            else:
+                done = ~last
+            held = {c: v[~done] for c, v in part.items()}
+            if done.any():
+                yield from split({c: v[done] for c, v in part.items()})
+        if held is not None:
+            yield from split(held)
+
+    ordered = rows.repartition("word").sortWithinPartitions("word")
+    return ordered.mapInArrow(
+        pair,
+        "word int, name bigint, doc bigint, size int, place int, bits bigint, other bigint",
+    )
+
+
 def _may_match(a: str, b: str, percent: int) -> str:
     """Size, positional and parity filters of two prefix rows that share their word."""
     needed = f"ceil({percent} * ({a}.size + {b}.size) / {100 + percent})"
@@ -202,27 +286,31 @@ def repeated_lines(
     the earlier one is itself repeated does not matter.  Lines of fewer than
     ``least_words`` distinct words and documents without id or text take no part.
 
-    Equal sets are merged.  A set is first checked against the earliest one it meets at
-    each of its words, which settles most; only sets still without an earlier match are
-    checked against all earlier ones they meet.
+    Equal sets are merged.  Sets that meet at a word of few sets are all compared.  At a
+    commoner word a set is first checked against the earliest one there, which settles
+    most; only sets still without an earlier match are checked against all there.
     """
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     rank = ranks(count_words(docs))
     lines = stored(lines_of(docs, rank, least_words))
     earliest = stored(lines.groupBy("name").agg(F.min(F.struct("doc", "line")).alias("at")))
-    rows = prefixes(docs, rank, percent, least_words).groupBy("word", "name").agg(
-        F.min("doc").alias("doc"),
-        F.first("size").alias("size"),
-        F.first("place").alias("place"),
-        F.first("bits").alias("bits"),
+    found = stored(candidates(prefixes(docs, rank, percent, least_words), percent))
+    rows = (
+        found.filter("other IS NULL")
+        .groupBy("word", "name")
+        .agg(
+            F.min("doc").alias("doc"),
+            F.first("size").alias("size"),
+            F.first("place").alias("place"),
+            F.first("bits").alias("bits"),
+        )
     )
     met = stored(
         rows.selectExpr(
             "word",
             "struct(doc, name, size, place, bits) AS own",
             "min(struct(doc, name, size, place, bits)) OVER (PARTITION BY word) AS head",
-            "count(*) OVER (PARTITION BY word) AS n",
-        ).filter("n > 1").drop("n")
+        )
     )
 
     def in_order(pairs: DataFrame) -> DataFrame:
@@ -244,10 +332,11 @@ def repeated_lines(
         texts = stored(every.join(places, ["doc_id", "line"]).select("id", "text").dropDuplicates(["id"]))
         return stored(confirmed(pairs, texts, word_set, percent))
 
+    heads = met.filter("own.name <> head.name AND " + _may_match("own", "head", percent))
     first = stored(
         in_order(
-            met.filter("own.name <> head.name AND " + _may_match("own", "head", percent)).selectExpr(
-                "head.name AS x", "own.name AS y"
+            heads.selectExpr("head.name AS x", "own.name AS y").unionByName(
+                found.filter("other IS NOT NULL").selectExpr("name AS x", "other AS y")
             )
         )
     )
