@@ -30,7 +30,7 @@ PERCENT = 80
 LEAST_WORDS = 5
 CELLS = 1 << 18
 #: Rows of one prefix word that are compared at once; commoner words go another, exact way.
-SMALL = 64
+SMALL = 512
 _CHUNK = 1 << 13
 _RUN = 1 << 18
 
@@ -186,18 +186,21 @@ def lines_of(docs: DataFrame, rank: np.ndarray, least: int) -> DataFrame:
 
 
 def _small_pairs(rows: dict[str, np.ndarray], percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Rows of one word, which lie together, whose sets may be alike."""
+    """Rows of one word, which lie together by rising size, whose sets may be alike."""
     word, name, size, place, bits = (rows[c] for c in ("word", "name", "size", "place", "bits"))
-    found = []
+    found, i = [], np.arange(len(word))
     for shift in range(1, SMALL):
-        i = np.flatnonzero(word[shift:] == word[:-shift])
+        i = i[i + shift < len(word)]
+        j = i + shift
+        # sizes rise within a word, so a row that has left the window does not come back
+        near = (word[i] == word[j]) & (100 * size[i] >= percent * size[j])
+        i, j = i[near], j[near]
         if len(i) == 0:
             break
-        j = i + shift
         a, b = size[i].astype(np.int64), size[j].astype(np.int64)
         needed = -(-percent * (a + b) // (100 + percent))
         left = np.minimum(a - place[i], b - place[j])
-        fit = (100 * np.minimum(a, b) >= percent * np.maximum(a, b)) & (name[i] != name[j])
+        fit = name[i] != name[j]
         fit &= np.minimum(place[i], place[j]) + left >= needed
         fit &= np.bitwise_count((bits[i] ^ bits[j]).view(np.uint64)) <= a + b - 2 * needed
         found.append((i[fit], j[fit]))
@@ -259,7 +262,7 @@ def candidates(rows: DataFrame, percent: int) -> DataFrame:
         if held is not None:
             yield from split(held)
 
-    ordered = rows.repartition("word").sortWithinPartitions("word")
+    ordered = rows.repartition("word").sortWithinPartitions("word", "size")
     return ordered.mapInArrow(
         pair,
         "word int, name bigint, doc bigint, size int, place int, bits bigint, other bigint",
