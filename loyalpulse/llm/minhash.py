@@ -25,6 +25,7 @@ from loyalpulse.llm.words import mix, shingle_set, utf8
 
 ROWS = 3
 COLLECTION = 12
+CENTRES = 16
 
 KeysOf = Callable[[np.ndarray], np.ndarray]
 
@@ -88,13 +89,18 @@ def _alike_in_size(a: str, b: str, percent: int) -> str:
 
 
 def buckets(classes: DataFrame, every_key: str) -> DataFrame:
-    """``(key, id, n, first, n_first)`` of every table key that two or more sets share."""
+    """``(key, id, n, first, n_first)`` of every table key that two or more sets share.
+
+    The first of a bucket is drawn by hash, one of ``CENTRES`` draws by key, so a large
+    group is checked against about as many of its members and not against one alone.
+    """
     keys = classes.selectExpr("id", "n", f"explode({every_key}) AS key")
     return keys.selectExpr(
         "key",
         "id",
         "n",
-        "min(struct(id, n)) OVER (PARTITION BY key) AS head",
+        f"""min(struct(xxhash64(id, pmod(key, {CENTRES})) AS draw, id, n))
+            OVER (PARTITION BY key) AS head""",
         "count(*) OVER (PARTITION BY key) AS size",
     ).selectExpr("key", "id", "n", "head.id AS first", "head.n AS n_first", "size").filter("size > 1")
 
@@ -125,7 +131,7 @@ def near_groups(
     )
     first = stored(
         shared.filter("id <> first AND " + _alike_in_size("n", "n_first", percent))
-        .selectExpr("first AS a", "id AS b")
+        .selectExpr("least(first, id) AS a", "greatest(first, id) AS b")
         .distinct()
     )
     links = stored(confirmed(first, texts, set_of, percent))

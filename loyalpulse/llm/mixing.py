@@ -25,7 +25,7 @@ MOST_PASSES = 3
 BLOCK = 64
 SHARD_SLOTS = 1024
 #: Documents whose places within their source are summed up within one task, about.
-PLACED_TOGETHER = 20_000
+PLACED_TOGETHER = 1_000
 
 
 def shares(sizes: Sequence[int], weights: Sequence[float], most: float = MOST_PASSES) -> list[float]:

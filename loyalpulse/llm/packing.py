@@ -25,7 +25,7 @@ from loyalpulse.llm.store import stored
 
 CAPACITY = 2048
 #: Pieces of one length that are numbered within one task, about.
-RANKED_TOGETHER = 20_000
+RANKED_TOGETHER = 1_000
 _RANK_BITS = 44
 
 
