@@ -403,7 +403,7 @@ HISTORY_COLUMNS = (
 def future(series: str) -> str:
     """Four unobserved weeks after the last row of each segment."""
     return f"""SELECT segment, id + step AS id, CAST(monday + 7 * step AS DATE) AS monday,
-            CAST(year(monday + 7 * step) AS INTEGER) AS year,
+            CAST(isoyear(monday + 7 * step) AS INTEGER) AS year,
             CAST(week(monday + 7 * step) AS INTEGER) AS isoweek, 7 AS dias,
             CAST(NULL AS BIGINT) AS promotor, CAST(NULL AS BIGINT) AS neutro,
             CAST(NULL AS BIGINT) AS detrator, CAST(NULL AS BIGINT) AS respondentes,

@@ -173,6 +173,20 @@ def simplex_search(
     return simplex[0][1], simplex[0][0], False
 
 
+def affordable(order: tuple[int, int], observed: int) -> tuple[int, int]:
+    """The highest order not above ``order`` that so many observations can carry."""
+    p, q = order
+    while p + q and observed < 2 * (p + q) + 2:
+        p, q = (p - 1, q) if p else (p, q - 1)
+    return p, q
+
+
+def _status(wanted: tuple[int, int], order: tuple[int, int], settled: bool) -> str:
+    if not settled:
+        return "iteration limit"
+    return "ok" if order == wanted else f"order {order[0]},{order[1]}"
+
+
 def fit_and_forecast(
     values: Sequence[float | None],
     order: tuple[int, int],
@@ -180,15 +194,26 @@ def fit_and_forecast(
     alpha: float,
     offset: int = 0,
     max_iterations: int = 300,
-    shortest: int = 10,
 ) -> Forecast | None:
-    """Forecasts ``offset + 1 .. offset + steps`` weeks ahead with 1 - alpha bounds."""
+    """Forecasts ``offset + 1 .. offset + steps`` weeks ahead with 1 - alpha bounds.
+
+    An order needs two observations for each coefficient and for the mean and variance
+    together; with fewer, lower orders are fitted, down to the mean.  Only a series
+    without any observation has no forecast.
+    """
     observed = np.array([v for v in values if v is not None])
-    if len(observed) < shortest:
+    if len(observed) == 0:
         return None
+    wanted, order = order, affordable(order, len(observed))
     centre, spread = float(observed.mean()), float(observed.std())
     if spread <= 1e-12 * max(1.0, abs(centre)):
         return Forecast([centre] * steps, [centre] * steps, [centre] * steps, "constant")
+    quantile = NormalDist().inv_cdf(1 - alpha / 2)
+    if order == (0, 0):
+        margin = quantile * spread
+        return Forecast(
+            [centre] * steps, [centre - margin] * steps, [centre + margin] * steps, "mean"
+        )
     p, q = order
     y = [None if v is None else (float(v) - centre) / spread for v in values]
     filled = np.array([0.0 if v is None else v for v in y])
@@ -205,9 +230,8 @@ def fit_and_forecast(
     r = len(filtered.state)
     phi = phi + [0.0] * (r - p)
     shock = [1.0, *theta] + [0.0] * (r - 1 - q)
-    quantile = NormalDist().inv_cdf(1 - alpha / 2)
     state, cover = filtered.state, filtered.spread
-    result = Forecast([], [], [], "ok" if settled else "iteration limit")
+    result = Forecast([], [], [], _status(wanted, order, settled))
     for horizon in range(1, offset + steps + 1):
         if horizon > offset:
             value = centre + spread * (filtered.mean + state[0])

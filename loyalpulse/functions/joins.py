@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,3 +24,13 @@ def splittable_join(
         .join(lookup.select(copy, *(c for c in lookup.columns if c != key)), "_join_key", how)
         .drop("_join_key")
     )
+
+
+def null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str) -> DataFrame:
+    """An inner, left or full join on ``on`` that takes NULL as a value like any other."""
+    named = right.withColumnsRenamed({name: f"_right_{name}" for name in on})
+    same = reduce(lambda a, b: a & b, (left[n].eqNullSafe(named[f"_right_{n}"]) for n in on))
+    joined = left.join(named, same, how)
+    keys = [F.coalesce(left[n], named[f"_right_{n}"]).alias(n) for n in on]
+    rest = [left[c] for c in left.columns if c not in on]
+    return joined.select(*keys, *rest, *(named[c] for c in right.columns if c not in on))

@@ -28,7 +28,7 @@ def first_token(value: Column | str) -> Column:
 def quoted(values: Iterable[object]) -> str:
     """Comma-separated SQL literals of texts or numbers."""
     return ", ".join(
-        str(v) if isinstance(v, int) else "'" + str(v).replace("'", "\\'") + "'" for v in values
+        str(v) if isinstance(v, int) else "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'" for v in values
     )
 
 

@@ -6,6 +6,8 @@ Both joins cut the contact table with the draw's own hash test before its shuffl
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,19 +16,24 @@ from loyalpulse.functions.dates import brazilian
 from loyalpulse.functions.ranking import top_row
 from loyalpulse.functions.text import as_integer, greeting, pad_id, tax_id
 from loyalpulse.operators.sampling import may_be_drawn
-from loyalpulse.rules import DEFAULT_GREETING, FLAGS
+from loyalpulse.rules import DEFAULT_GREETING, FLAGS, STRATA, Stratum
 
 CONTACT_COLUMNS = ("nome", "email", "telefone", "data_atualizacao", "cpf", "chavecliente", *FLAGS)
 
 
-def contact_credit(drawn: DataFrame, borrowers: DataFrame, ctx: RunContext) -> DataFrame:
-    """Greeting, e-mail and phone from the borrower file; one row per borrower record."""
+def contact_credit(
+    drawn: DataFrame, borrowers: DataFrame, ctx: RunContext, strata: Sequence[Stratum] = STRATA
+) -> DataFrame:
+    """Greeting, e-mail and phone from the borrower file; one row per borrower record.
+
+    ``strata`` must be those of the draw.
+    """
     people = borrowers.select(
         tax_id("document", ctx.pad_ids).alias("cpf"),
         greeting("name", DEFAULT_GREETING["positivo"]).alias("nome"),
         "email",
         as_integer("mobile_number", ctx.strict_casts).alias("telefone"),
-    ).filter(may_be_drawn("cpf", "positivo", ctx))
+    ).filter(may_be_drawn("cpf", "positivo", ctx, strata))
     return (
         drawn.drop("data_atualizacao")
         .join(people, "cpf")
@@ -36,13 +43,18 @@ def contact_credit(drawn: DataFrame, borrowers: DataFrame, ctx: RunContext) -> D
 
 
 def contact_points(
-    drawn: DataFrame, customers_a: DataFrame, contatos: DataFrame, ctx: RunContext
+    drawn: DataFrame,
+    customers_a: DataFrame,
+    contatos: DataFrame,
+    ctx: RunContext,
+    strata: Sequence[Stratum] = STRATA,
 ) -> DataFrame:
     """Greeting and phone of the latest registration, e-mail of the contact file.
 
     Either table may repeat a tax id, so each is cut to one row per id before the join
     instead of ranking all their pairs after it.  Of several e-mails the largest is
-    taken; equal registration times are told apart by customer key.
+    taken; equal registration times are told apart by customer key.  ``strata`` must be
+    those of the draw.
     """
     registered = customers_a.select(
         pad_id("NumeroDocumento").alias("cpf"),
@@ -50,7 +62,7 @@ def contact_points(
         F.col("NumeroTelefone").alias("telefone"),
         F.col("DataUltimaAlteracaoCadastro").alias("_changed"),
         F.col("chavecliente").alias("_key"),
-    ).filter(may_be_drawn("cpf", "pontos", ctx))
+    ).filter(may_be_drawn("cpf", "pontos", ctx, strata))
     latest = top_row(
         registered,
         ["cpf"],
@@ -63,7 +75,7 @@ def contact_points(
     ).drop("_changed", "_key")
     emails = (
         contatos.select(tax_id("CPF", ctx.pad_ids).alias("cpf"), "EMAIL")
-        .filter(may_be_drawn("cpf", "pontos", ctx))
+        .filter(may_be_drawn("cpf", "pontos", ctx, strata))
         .groupBy("cpf")
         .agg(F.max("EMAIL").alias("email"))
     )

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loyalpulse.context import RunContext
+from loyalpulse.functions.joins import null_safe_join
 from loyalpulse.functions.arma import fit_and_forecast
 from loyalpulse.operators.weekly import Keys, future_weeks
 from loyalpulse.rules import (
@@ -29,7 +30,7 @@ FORECAST_FIELDS = [
 def _forecast_one(
     series: pd.DataFrame, keys: list[str], steps: int, alpha: float, offset: int
 ) -> pd.DataFrame:
-    """Both fits of one series; a series too short to fit gives NULL forecasts."""
+    """Both fits of one series; a series never observed gives NULL forecasts."""
     series = series.sort_values("id")
     values = {
         column: [None if pd.isna(v) else float(v) for v in series[column]]
@@ -45,7 +46,7 @@ def _forecast_one(
     out["confidence_interval_lower_bound"] = score.lower if score else None
     out["confidence_interval_upper_bound"] = score.upper if score else None
     out["respondentes_fcst"] = volume.mean if volume else None
-    out["status"] = score.status if score else "short"
+    out["status"] = score.status if score else "no observation"
     return out
 
 
@@ -82,16 +83,25 @@ def forecast(
 
 
 def weekly_forecast(
-    series: DataFrame, ctx: RunContext, keys: Keys = (), steps: int = FORECAST_WEEKS
+    series: DataFrame,
+    ctx: RunContext,
+    keys: Keys = (),
+    steps: int = FORECAST_WEEKS,
+    parallelism: int | None = None,
 ) -> DataFrame:
     """The series followed by its forecast weeks; only those rows carry forecasts.
 
+    ``status`` tells how the score was fitted.  A NULL is a key like any other.
+
     The weekly rows are used three times (as they are, to fit, to extend), so give a
     stored series, as the weekly run does, rather than one still to be computed from
     the answers.
     """
     keys = list(keys)
-    predicted = forecast(series, ctx, keys, steps).drop("status")
-    ahead = future_weeks(series, keys, steps).join(predicted, [*keys, "step"], "left").drop("step")
-    nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in FORECAST_FIELDS]
+    fields = [*FORECAST_FIELDS, T.StructField("status", T.StringType())]
+    predicted = forecast(series, ctx, keys, steps, parallelism=parallelism)
+    ahead = null_safe_join(
+        future_weeks(series, keys, steps, week_key=ctx.week_key), predicted, [*keys, "step"], "left"
+    ).drop("step")
+    nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in fields]
     return series.select("*", *nulls).unionByName(ahead)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loyalpulse.context import RunContext
+from loyalpulse.functions.joins import null_safe_join
 from loyalpulse.functions.dates import month_start
 from loyalpulse.operators.weekly import Keys, score
 
@@ -51,4 +52,4 @@ def monthly_forecast(weeks: DataFrame, keys: Keys = ()) -> DataFrame:
 def monthly(real: DataFrame, predicted: DataFrame, keys: Keys = ()) -> DataFrame:
     """Observed and forecast months side by side."""
     on = [*keys, "data_atualizacao", "mes"]
-    return real.join(predicted, on, "full").select(*on, "nps_real", "nps_fcst")
+    return null_safe_join(real, predicted, on, "full").select(*on, "nps_real", "nps_fcst")

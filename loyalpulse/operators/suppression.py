@@ -160,7 +160,9 @@ def active_quarantine(sends: DataFrame, ctx: RunContext, unique_ids: bool = Fals
         ["chavecliente", "_unreadable"],
         (F.col("QuarantineExpiryDate").desc(), F.col("NU_CPF").desc_nulls_last()),
     )
-    return latest.select("chavecliente", "NU_CPF", "QuarantineExpiryDate")
+    return latest.select(
+        "chavecliente", tax_id("NU_CPF", ctx.pad_ids).alias("NU_CPF"), "QuarantineExpiryDate"
+    )
 
 
 LISTS: dict[str, Callable[[Sources, RunContext], DataFrame]] = {

@@ -69,6 +69,15 @@ def _fact_tests(facts: DataFrame, clock: str, rules: Rules, ctx: RunContext) ->
     return tests
 
 
+def check_columns(rules: Rules, facts: DataFrame, *dimensions: DataFrame) -> None:
+    """Refuses a rule that names a column no table has: it would hold for every row."""
+    known = {name for dimension in dimensions for name in dimension.columns}
+    for rule in rules:
+        unknown = {*rule.where, *rule.unless} - known | {*rule.fact} - set(facts.columns)
+        if unknown:
+            raise ValueError(f"rule {rule.block!r} names unknown columns: {sorted(unknown)}")
+
+
 def _dimension_tests(dimension: DataFrame, rules: Rules) -> list[str]:
     """Per rule, the SQL test of the columns this dimension has."""
     known = set(dimension.columns)
@@ -92,6 +101,7 @@ def ledger_hits(
     extrato: DataFrame, parceiros: DataFrame, ctx: RunContext, rules: Rules = LEDGER_RULES
 ) -> DataFrame:
     """``(chavecliente, blocks)`` of the points ledger; a customer may repeat."""
+    check_columns(rules, extrato, parceiros)
     partner = ["chaveparceiro", "chavefilialparceiro"]
     clock = "DataProcessamentoTransacao"
     fact_tests = _fact_tests(extrato, clock, rules, ctx)
@@ -117,6 +127,8 @@ def exchange_hits(
     rules: Rules = EXCHANGE_RULES,
 ) -> DataFrame:
     """``(chavecliente, blocks)`` of points exchanges; a customer may repeat."""
+    statuses = status_exchange.withColumn("status_known", F.lit("true"))
+    check_columns(rules, exchange, classe_exchange, statuses)
     clock = "DataSolicitacaoexchange"
     fact_tests = _fact_tests(exchange, clock, rules, ctx)
     class_tests = _dimension_tests(classe_exchange, rules)
@@ -141,7 +153,6 @@ def exchange_hits(
         1 << i for i, rule in enumerate(rules) if not status_columns & set(rule.where)
     )
     if free_of_status != (1 << len(rules)) - 1:
-        statuses = status_exchange.withColumn("status_known", F.lit("true"))
         status_bits = _bits(_dimension_tests(statuses, rules))
         statuses = statuses.selectExpr("ChaveStatusexchange", f"{status_bits} AS status_bits")
         joined = joined.join(statuses, "ChaveStatusexchange", "left").selectExpr(

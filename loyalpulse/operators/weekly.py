@@ -127,8 +127,12 @@ def future_weeks(
     keys: Keys = (),
     steps: int = FORECAST_WEEKS,
     full_rate: float = SAMPLE_RATE_AFTER,
+    week_key: str = "iso",
 ) -> DataFrame:
-    """The ``steps`` weeks after the last one of each series, unobserved, plus ``step``."""
+    """The ``steps`` weeks after the last one of each series, unobserved, plus ``step``.
+
+    ``week_key`` is the context's: it says which year a week across New Year belongs to.
+    """
     last = series.groupBy(*keys).agg(
         F.max("id").alias("_id"),
         F.max_by("monday", "id").alias("_monday"),
@@ -141,7 +145,7 @@ def future_weeks(
     unobserved = {
         "id": F.col("_id") + F.col("step"),
         "monday": monday,
-        "year": F.year(monday),
+        "year": F.year(monday) if week_key == "calendar" else F.extract(F.lit("YEAROFWEEK"), monday),
         "isoweek": F.weekofyear(monday),
         "dias": F.lit(WEEK_DAYS),
         "frac_sorteados": F.lit(full_rate),
@@ -155,6 +159,9 @@ def future_weeks(
     return ahead.select(*keys, *columns, "step")
 
 
-def extend(series: DataFrame, keys: Keys = (), steps: int = FORECAST_WEEKS) -> DataFrame:
+def extend(
+    series: DataFrame, keys: Keys = (), steps: int = FORECAST_WEEKS, week_key: str = "iso"
+) -> DataFrame:
     """The series followed by its unobserved weeks."""
-    return series.unionByName(future_weeks(series, keys, steps).drop("step"))
+    ahead = future_weeks(series, keys, steps, week_key=week_key)
+    return series.unionByName(ahead.drop("step"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 
 from loyalpulse.context import RunContext
@@ -11,6 +13,7 @@ from loyalpulse.operators.sampling import draw
 from loyalpulse.operators.suppression import blocked_ids, suppress
 from loyalpulse.operators.touchpoints import Sources
 from loyalpulse.plans.stages import StageLog
+from loyalpulse.rules import STRATA, Stratum
 from loyalpulse.sources.tables import Workspace
 
 
@@ -19,22 +22,30 @@ def unrestricted(sources: Sources, ctx: RunContext) -> DataFrame:
     return suppress(eligible(sources, ctx), blocked_ids(sources, ctx))
 
 
-def contacted(people: DataFrame, sources: Sources, ctx: RunContext) -> dict[str, DataFrame]:
+def contacted(
+    people: DataFrame, sources: Sources, ctx: RunContext, strata: Sequence[Stratum] = STRATA
+) -> dict[str, DataFrame]:
     """Survey name to the people drawn for it, with contact data."""
+    credit = draw(people, "positivo", ctx, strata)
+    points = draw(people, "pontos", ctx, strata)
     return {
-        "positivo": contact_credit(draw(people, "positivo", ctx), sources["borrowers"], ctx),
+        "positivo": contact_credit(credit, sources["borrowers"], ctx, strata),
         "pontos": contact_points(
-            draw(people, "pontos", ctx), sources["customers_a"], sources["contatos"], ctx
+            points, sources["customers_a"], sources["contatos"], ctx, strata
         ),
     }
 
 
-def surveys(sources: Sources, ctx: RunContext) -> dict[str, DataFrame]:
+def surveys(
+    sources: Sources, ctx: RunContext, strata: Sequence[Stratum] = STRATA
+) -> dict[str, DataFrame]:
     """The whole run as lazy frames."""
-    return contacted(unrestricted(sources, ctx), sources, ctx)
+    return contacted(unrestricted(sources, ctx), sources, ctx, strata)
 
 
-def run_eligibility(sources: Sources, ctx: RunContext, workspace: Workspace) -> StageLog:
+def run_eligibility(
+    sources: Sources, ctx: RunContext, workspace: Workspace, strata: Sequence[Stratum] = STRATA
+) -> StageLog:
     """The run with each of its four results written and read back."""
     log = StageLog()
     with log.timed("eligible_people"):
@@ -42,7 +53,7 @@ def run_eligibility(sources: Sources, ctx: RunContext, workspace: Workspace) ->
     with log.timed("unrestricted_people"):
         allowed = suppress(people, blocked_ids(sources, ctx))
         allowed = workspace.materialize(allowed, "unrestricted_people")
-    for survey, rows in contacted(allowed, sources, ctx).items():
+    for survey, rows in contacted(allowed, sources, ctx, strata).items():
         with log.timed(f"survey_{survey}"):
             workspace.materialize(rows, f"survey_{survey}")
     return log

@@ -31,11 +31,13 @@ def run_weekly(
     rate_change: date = SAMPLE_RATE_CHANGE,
     bootstrap: bool = False,
     text_dates: bool = False,
+    parallelism: int | None = None,
 ) -> StageLog:
     """All stages in order, each written before the next reads it.
 
     ``bootstrap`` starts the history anew; otherwise the run replaces its own date.
-    ``text_dates`` writes the dates of the snapshots as yyyy-mm-dd text.
+    ``text_dates`` writes the dates of the snapshots as yyyy-mm-dd text; ``parallelism`` is
+    the number of tasks that fit the series.
     """
     keys = list(keys)
     day = ctx.as_of
@@ -52,7 +54,7 @@ def run_weekly(
         workspace.snapshot(series, "silver", "series_weekly", day, text_dates)
 
     with log.timed("forecast_weekly"):
-        weeks = workspace.materialize(weekly_forecast(series, ctx, keys), "forecast_weekly")
+        weeks = workspace.materialize(weekly_forecast(series, ctx, keys, parallelism=parallelism), "forecast_weekly")
         workspace.snapshot(weeks, "gold", "forecast_weekly", day, text_dates)
 
     with log.timed("forecast_monthly"):

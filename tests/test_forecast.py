@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from loyalpulse.context import RunContext
 from loyalpulse.functions import arma
+from loyalpulse.operators.weekly import future_weeks
 from loyalpulse.operators.forecast import forecast, weekly_forecast
 
 CTX = RunContext(as_of=date(2024, 1, 20))
@@ -108,7 +109,11 @@ def test_offset_shifts_the_horizons():
 
 
 def test_short_and_constant_series():
-    assert arma.fit_and_forecast([1.0] * 9, (3, 1), 4, 0.5) is None
+    assert arma.fit_and_forecast([None] * 9, (3, 1), 4, 0.5) is None
+    for weeks, status in ((1, "constant"), (2, "mean"), (5, "order 0,1"), (9, "order 2,1")):
+        fit = arma.fit_and_forecast([float(i % 3) for i in range(weeks)], (3, 1), 4, 0.5)
+        assert len(fit.mean) == 4 and fit.status in (status, "iteration limit")
+        assert all(a <= b <= c for a, b, c in zip(fit.lower, fit.mean, fit.upper, strict=True))
     flat = arma.fit_and_forecast([5.0] * 30, (3, 1), 4, 0.5)
     assert (flat.mean, flat.lower, flat.status) == ([5.0] * 4, [5.0] * 4, "constant")
 
@@ -139,12 +144,26 @@ def test_each_series_is_forecast_on_its_own(spark, series):
     mine = sorted((r.id, r.forecast_value) for r in got if r.segment == "a")
     assert [i for i, _ in mine] == [61, 62, 63, 64]
     assert [v for _, v in mine] == pytest.approx(fit.mean)
-    # too short to fit: NULL, not NaN
-    assert all(r.forecast_value is None for r in got if r.segment == "c")
+    # too short for the order: a lower one, said in the status
+    assert all(r.forecast_value is not None and r.status != "ok" for r in got if r.segment == "c")
     assert weeks.filter(F.isnan("forecast_value") | F.isnan("respondentes_fcst")).count() == 0
     assert weeks.filter("promotor IS NOT NULL AND forecast_value IS NOT NULL").count() == 0
 
 
+def test_a_null_key_is_a_series_of_its_own(spark, series):
+    keyed = series.withColumn("segment", F.expr("nullif(segment, 'b')"))
+    weeks = weekly_forecast(keyed, CTX, ["segment"])
+    assert weeks.filter("segment IS NULL AND forecast_value IS NOT NULL").count() == 4
+
+
+def test_forecast_weeks_across_new_year(spark, series):
+    last = series.filter("segment = 'c' AND id = 6").withColumn("monday", F.lit(date(2024, 12, 23)))
+    row = future_weeks(last, ["segment"]).filter("step = 1").first()
+    assert (row.monday, row.year, row.isoweek) == (date(2024, 12, 30), 2025, 1)
+    row = future_weeks(last, ["segment"], week_key="calendar").filter("step = 1").first()
+    assert row.year == 2024
+
+
 def test_one_series_without_keys_and_status(series):
     one = forecast(series.filter("segment = 'b'").drop("segment"), CTX)
     rows = one.orderBy("step").collect()

@@ -7,6 +7,7 @@ import pytest
 
 import __spark_entry__ as contract
 from conftest import SF_CHECK
+from fixtures.queries import QUERIES as REFERENCE
 from fixtures.views import BASE_TABLES
 
 SQL = contract.oracle_sql()
@@ -46,4 +47,4 @@ def test_matches_sql(name, spark, duck):
 
 
 def test_only_the_fit_has_no_sql():
-    assert set(QUERIES) - set(SQL) == {"weekly_forecast", "weekly_forecast_literal"}
+    assert set(REFERENCE) - set(SQL) == {"weekly_forecast", "weekly_forecast_literal"}

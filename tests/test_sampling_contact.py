@@ -96,6 +96,18 @@ def test_contact_points_takes_the_latest_registration(spark, drawn):
     assert tuple(rows[0].asDict()) == contact.CONTACT_COLUMNS
 
 
+@pytest.mark.parametrize("rate", [0.5, 1.0])
+def test_everyone_drawn_with_own_strata_is_contacted(spark, rate):
+    strata = (Stratum("positivo", credit=1, rate=rate),)
+    drawn = sampling.draw(people(spark, 90, credito="1"), "positivo", CTX, strata)
+    borrowers = spark.createDataFrame(
+        [(i, f"{i:011d}", "ana", "1@x", "55", "c", "u", date(2000, 1, 1), False) for i in range(90)],
+        TABLES["borrowers"],
+    )
+    got = contact.contact_credit(drawn, borrowers, CTX, strata)
+    assert got.count() == drawn.count() > 0
+
+
 def test_contact_credit_keeps_every_borrower_record(spark, drawn):
     df, (a, b, c) = drawn
     rows = [(1, a.lstrip("0"), "ana b", "1@x", "55"), (2, a, None, "2@x", "n/a"), (3, b, "", "3@x", None)]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import date, datetime
 
 import pytest
@@ -184,8 +185,11 @@ def test_quarantine(spark):
         (None, "7", date(2024, 1, 25)), (6, "3", date(2024, 4, 17)),  # midnight UTC is the evening before
     }
     for unique in (False, True):
-        rows = suppression.active_quarantine(sends, CTX, unique_ids=unique).collect()
-        assert {tuple(r) for r in rows} == expected
+        for padded in (False, True):
+            ctx = CTX.but(pad_ids=padded)
+            rows = suppression.active_quarantine(sends, ctx, unique_ids=unique).collect()
+            ids = {(c, i.rjust(11, "0") if padded else i, day) for c, i, day in expected}
+            assert {tuple(r) for r in rows} == ids
     with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
         suppression.active_quarantine(sends, CTX.but(strict_casts=True)).collect()
     # indicators of one send spread over rows of different dates still meet
@@ -194,7 +198,14 @@ def test_quarantine(spark):
         ("z", datetime(2020, 1, 1), True, pairs(("chavecliente", "9"))),
         ("z", datetime(2024, 1, 19), True, pairs(("numerocpf", "4"))),
     )
-    assert [r.NU_CPF for r in suppression.active_quarantine(spread, CTX).collect()] == ["4"]
+    assert [r.NU_CPF for r in suppression.active_quarantine(spread, CTX).collect()] == ["4".zfill(11)]
+
+
+def test_a_rule_with_an_unknown_column_is_refused(spark):
+    facts, partners = (spark.createDataFrame([], TABLES[t]) for t in ("extrato", "parceiros"))
+    rule = replace(touchpoints.LEDGER_RULES[0], where={"nivel_2": ("online",)})
+    with pytest.raises(ValueError, match="nivel_2"):
+        touchpoints.ledger_hits(facts, partners, CTX, (rule,))
 
 
 def test_fraud_list_follows_accounts(spark):
