@@ -26,6 +26,8 @@ from loyalpulse.llm.words import mix, shingle_set, utf8
 ROWS = 3
 COLLECTION = 12
 CENTRES = 16
+#: 64-bit words of a set's parity map.
+MAP = 16
 
 KeysOf = Callable[[np.ndarray], np.ndarray]
 
@@ -50,6 +52,15 @@ def half_keys(found: np.ndarray, rows: int, collection: int) -> np.ndarray:
     return key
 
 
+def parity_map(found: np.ndarray) -> np.ndarray:
+    """``64 * MAP`` bits, each whether an odd number of shingles falls on it.
+
+    The maps of two sets differ in no more bits than the sets do in shingles.
+    """
+    odd = np.bincount((found >> np.uint64(32)).astype(np.int64) % (64 * MAP), minlength=64 * MAP) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def tensored(collection: int) -> str:
     """SQL of all table keys of a row's half-keys."""
     return f"""flatten(transform(slice(keys, 1, {collection}), x ->
@@ -57,16 +68,17 @@ def tensored(collection: int) -> str:
 
 
 def signatures(units: DataFrame, width: int, keys_of: KeysOf) -> DataFrame:
-    """Per unit its number of shingles, a 128-bit name of its set and its keys."""
+    """Per unit its number of shingles, a 128-bit name of its set, its parity map and keys."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, lo, hi, keys = [], [], [], []
+            n, lo, hi, maps, keys = [], [], [], [], []
             for text in utf8(batch.column("text")):
                 found = shingle_set(text, width) if text is not None else np.empty(0, np.uint64)
                 n.append(len(found))
                 lo.append(int(mix(found).sum(dtype=np.uint64).view(np.int64)))
                 hi.append(int(mix(found ^ np.uint64(0x5BD1E995)).sum(dtype=np.uint64).view(np.int64)))
+                maps.append(parity_map(found))
                 keys.append(keys_of(found).view(np.int64) if len(found) else None)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -74,13 +86,14 @@ def signatures(units: DataFrame, width: int, keys_of: KeysOf) -> DataFrame:
                     pa.array(n, pa.int64()),
                     pa.array(lo, pa.int64()),
                     pa.array(hi, pa.int64()),
+                    pa.array(maps, pa.list_(pa.int64())),
                     pa.array(keys, pa.list_(pa.int64())),
                 ],
-                names=["id", "n", "lo", "hi", "keys"],
+                names=["id", "n", "lo", "hi", "map", "keys"],
             )
 
     kind = dict(units.dtypes)["id"]
-    schema = f"id {kind}, n bigint, lo bigint, hi bigint, keys array<bigint>"
+    schema = f"id {kind}, n bigint, lo bigint, hi bigint, map array<bigint>, keys array<bigint>"
     return units.select("id", "text").mapInArrow(sign, schema)
 
 
@@ -88,6 +101,12 @@ def _alike_in_size(a: str, b: str, percent: int) -> str:
     return f"100 * least({a}, {b}) >= {percent} * greatest({a}, {b})"
 
 
+def _alike_in_map(a: str, b: str, percent: int) -> str:
+    apart = " + ".join(f"bit_count({a}.map[{i}] ^ {b}.map[{i}])" for i in range(MAP))
+    shared = f"ceil({percent} * ({a}.n + {b}.n) / {100 + percent})"
+    return f"{apart} <= {a}.n + {b}.n - 2 * {shared}"
+
+
 def buckets(classes: DataFrame, every_key: str) -> DataFrame:
     """``(key, id, n, first, n_first)`` of every table key that two or more sets share.
 
@@ -112,8 +131,9 @@ def near_groups(
 
     Equal sets are merged first.  Members of a bucket are then checked against its first
     one, which joins almost all that belong together; what is left, pairs of a bucket
-    that lie in different components, is checked in full.  So no link that the buckets
-    offer is lost, and a group of thousands of copies never meets all its pairs.
+    that lie in different components, passes an exact filter on the sets' parity maps
+    and is checked in full.  So no link that the buckets offer is lost, and a group of
+    thousands of copies never meets all its pairs.
 
     A unit without shingles or id has no component.
     """
@@ -149,12 +169,16 @@ def near_groups(
         .filter("parts > 1")
         .select("key", "main")
     )
-    mixed = stored(placed.join(main, "key"))
-    left = mixed.filter("component <> main").selectExpr("key", "id AS x", "n AS nx", "component AS cx")
+    maps = signed.groupBy("id").agg(F.first("map").alias("map"))
+    mixed = placed.join(main, "key").join(maps, "id")
+    mixed = stored(mixed.selectExpr("key", "struct(id, n, component, map) AS p", "component <> main AS odd"))
     rest = (
-        left.join(mixed.select("key", "id", "n", "component"), "key")
-        .filter("component <> cx AND " + _alike_in_size("n", "nx", percent))
-        .selectExpr("least(x, id) AS a", "greatest(x, id) AS b")
+        mixed.filter("odd")
+        .select("key", F.col("p").alias("q"))
+        .join(mixed.select("key", "p"), "key")
+        .filter("p.component <> q.component AND " + _alike_in_size("p.n", "q.n", percent))
+        .filter(_alike_in_map("p", "q", percent))
+        .selectExpr("least(p.id, q.id) AS a", "greatest(p.id, q.id) AS b")
         .distinct()
         .join(first, ["a", "b"], "left_anti")
     )
@@ -166,7 +190,7 @@ def near_groups(
         .join(known.withColumnRenamed("node", "id"), "id", "left")
         .selectExpr("lo", "hi", "coalesce(component, id) AS component")
     )
-    found = signed.drop("keys").join(sets, ["lo", "hi"], "left")
+    found = signed.drop("map", "keys").join(sets, ["lo", "hi"], "left")
     return found.selectExpr("id", "n", "if(id IS NULL, NULL, component) AS component")
 
 
