@@ -10,18 +10,19 @@ Two documents of similarity s share a table with probability
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loyalpulse.llm.components import components
 from loyalpulse.llm.store import stored
 from loyalpulse.llm.verify import confirmed
-from loyalpulse.llm.words import mix, shingle_set, utf8
+from loyalpulse.llm.words import mix, shingle_set, shingle_sets, utf8
 
 ROWS = 3
 COLLECTION = 12
@@ -29,7 +30,13 @@ CENTRES = 16
 #: 64-bit words of a set's parity map.
 MAP = 16
 
-KeysOf = Callable[[np.ndarray], np.ndarray]
+#: Heads of a bucket that its stray members are checked against.
+HEADS = 8
+#: Bytes of texts that are signed at once.
+CHUNK = 1 << 18
+
+#: From the sorted shingles of some sets and where each begins, a row of keys per set.
+KeysOf = Callable[[np.ndarray, np.ndarray], np.ndarray]
 
 
 def _multipliers(count: int) -> tuple[np.ndarray, np.ndarray]:
@@ -38,27 +45,28 @@ def _multipliers(count: int) -> tuple[np.ndarray, np.ndarray]:
     return odd, random.integers(0, 2**63, count, dtype=np.uint64)
 
 
-def half_keys(found: np.ndarray, rows: int, collection: int) -> np.ndarray:
-    """The half-keys of both collections, from the sorted shingles of a document."""
+def half_keys(found: np.ndarray, starts: np.ndarray, rows: int, collection: int) -> np.ndarray:
+    """The half-keys of both collections, a row per set; the sets begin at ``starts``."""
     odd, shift = _multipliers(2 * collection * rows)
-    least = np.full(len(odd), 2**64 - 1, dtype=np.uint64)
-    for at in range(0, len(found), 4096):
-        part = found[at : at + 4096, None]
-        least = np.minimum(least, ((part ^ shift) * odd).min(axis=0))
-    least = mix(least).reshape(2 * collection, rows)
-    key = np.arange(2 * collection, dtype=np.uint64)
+    least = np.stack(
+        [np.minimum.reduceat((found ^ shift[i]) * odd[i], starts) for i in range(len(odd))], axis=1
+    )
+    least = mix(least).reshape(len(starts), 2 * collection, rows)
+    key = np.tile(np.arange(2 * collection, dtype=np.uint64), (len(starts), 1))
     for row in range(rows):
-        key = mix(key * np.uint64(31) + least[:, row])
+        key = mix(key * np.uint64(31) + least[:, :, row])
     return key
 
 
-def parity_map(found: np.ndarray) -> np.ndarray:
-    """``64 * MAP`` bits, each whether an odd number of shingles falls on it.
+def parity_maps(found: np.ndarray, owner: np.ndarray, count: int) -> np.ndarray:
+    """Of each of ``count`` sets, ``64 * MAP`` bits: whether an odd number of shingles falls on it.
 
     The maps of two sets differ in no more bits than the sets do in shingles.
     """
-    odd = np.bincount((found >> np.uint64(32)).astype(np.int64) % (64 * MAP), minlength=64 * MAP) & 1
-    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+    wide = 64 * MAP
+    bit = (found >> np.uint64(32)).astype(np.int64) % wide
+    odd = np.bincount(owner * wide + bit, minlength=count * wide).reshape(count, wide) & 1
+    return np.packbits(odd.astype(np.uint8), axis=1).view(np.int64)
 
 
 def tensored(collection: int) -> str:
@@ -67,30 +75,55 @@ def tensored(collection: int) -> str:
         transform(slice(keys, {collection + 1}, {collection}), y -> xxhash64(x, y))))"""
 
 
+def _chunks(texts: Iterable[np.ndarray | None]) -> Iterator[list[np.ndarray | None]]:
+    """Texts that lie in a row, about ``CHUNK`` bytes or one longer text at a time."""
+    held, size = [], 0
+    for text in texts:
+        more = 0 if text is None else len(text)
+        if held and (size + more > CHUNK or len(held) >= CHUNK // 64):
+            yield held
+            held, size = [], 0
+        held.append(text)
+        size += more
+    if held:
+        yield held
+
+
 def signatures(units: DataFrame, width: int, keys_of: KeysOf) -> DataFrame:
     """Per unit its number of shingles, a 128-bit name of its set, its parity map and keys."""
 
+    def rows_of(values: np.ndarray, sets: np.ndarray, total: int) -> pa.Array:
+        """A list per unit: the rows of ``values`` of those that have a set, else null."""
+        lengths = np.zeros(total, dtype=np.int64)
+        lengths[sets] = values.shape[1]
+        offsets = np.concatenate([[0], np.cumsum(lengths)])
+        lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values.ravel()))
+        return pc.if_else(pa.array(lengths > 0), lists, pa.scalar(None, lists.type))
+
+    def describe(texts: list[np.ndarray | None]) -> list[pa.Array]:
+        found, owner = shingle_sets(texts, width)
+        n = np.bincount(owner, minlength=len(texts))
+        sets = np.flatnonzero(n)
+        starts = (np.cumsum(n) - n)[sets]
+        names = np.zeros((2, len(texts)), dtype=np.int64)
+        keys = np.empty((0, 1), dtype=np.int64)
+        if len(sets):
+            names[0, sets] = np.add.reduceat(mix(found), starts).view(np.int64)
+            other = mix(found ^ np.uint64(0x5BD1E995))
+            names[1, sets] = np.add.reduceat(other, starts).view(np.int64)
+            keys = keys_of(found, starts).view(np.int64)
+        maps = parity_maps(found, owner, len(texts))[sets]
+        lists = (rows_of(values, sets, len(texts)) for values in (maps, keys))
+        return [pa.array(n.astype(np.int64)), *map(pa.array, names), *lists]
+
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, lo, hi, maps, keys = [], [], [], [], []
-            for text in utf8(batch.column("text")):
-                found = shingle_set(text, width) if text is not None else np.empty(0, np.uint64)
-                n.append(len(found))
-                lo.append(int(mix(found).sum(dtype=np.uint64).view(np.int64)))
-                hi.append(int(mix(found ^ np.uint64(0x5BD1E995)).sum(dtype=np.uint64).view(np.int64)))
-                maps.append(parity_map(found))
-                keys.append(keys_of(found).view(np.int64) if len(found) else None)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("id"),
-                    pa.array(n, pa.int64()),
-                    pa.array(lo, pa.int64()),
-                    pa.array(hi, pa.int64()),
-                    pa.array(maps, pa.list_(pa.int64())),
-                    pa.array(keys, pa.list_(pa.int64())),
-                ],
-                names=["id", "n", "lo", "hi", "map", "keys"],
-            )
+            at = 0
+            for texts in _chunks(utf8(batch.column("text"))):
+                ids = batch.column("id").slice(at, len(texts))
+                at += len(texts)
+                columns = ["id", "n", "lo", "hi", "map", "keys"]
+                yield pa.RecordBatch.from_arrays([ids, *describe(texts)], names=columns)
 
     kind = dict(units.dtypes)["id"]
     schema = f"id {kind}, n bigint, lo bigint, hi bigint, map array<bigint>, keys array<bigint>"
@@ -130,9 +163,10 @@ def near_groups(
     """``(id, n, component)`` of every unit ``(id, text)``; ids may be of any orderable type.
 
     Equal sets are merged first.  Members of a bucket are then checked against its first
-    one, which joins almost all that belong together; what is left, pairs of a bucket
-    that lie in different components, passes an exact filter on the sets' parity maps
-    and is checked in full.  So no link that the buckets offer is lost, and a group of
+    one, which joins almost all that belong together.  Members outside the largest
+    component of their bucket are checked against ``HEADS`` more of it.  What is left,
+    pairs of a bucket that lie in different components, passes an exact filter on the
+    sets' parity maps and is checked in full.  So no link that the buckets offer is lost, and a group of
     thousands of copies never meets all its pairs.
 
     A unit without shingles or id has no component.
@@ -155,36 +189,61 @@ def near_groups(
         .distinct()
     )
     links = stored(confirmed(first, texts, set_of, percent))
-    known = components(links)
-    placed = stored(
-        shared.join(known.withColumnRenamed("node", "id"), "id", "left").selectExpr(
-            "key", "id", "n", "coalesce(component, id) AS component"
+    maps = signed.groupBy("id").agg(F.first("map").alias("map"))
+    fits = f"""p.component <> q.component AND {_alike_in_size("p.n", "q.n", percent)}
+        AND {_alike_in_map("p", "q", percent)}"""
+    pair = ["least(p.id, q.id) AS a", "greatest(p.id, q.id) AS b"]
+
+    def mixed(known: DataFrame) -> DataFrame:
+        """``(key, p, stray)`` of buckets of several components; strays are not of the largest."""
+        placed = stored(
+            shared.join(known.withColumnRenamed("node", "id"), "id", "left").selectExpr(
+                "key", "id", "n", "coalesce(component, id) AS component"
+            )
         )
-    )
-    main = (
-        placed.groupBy("key", "component")
-        .count()
+        main = (
+            placed.groupBy("key", "component")
+            .count()
+            .groupBy("key")
+            .agg(F.max_by("component", "count").alias("main"), F.count("*").alias("parts"))
+            .filter("parts > 1")
+            .select("key", "main")
+        )
+        return stored(
+            placed.join(main, "key")
+            .join(maps, "id")
+            .selectExpr("key", "struct(id, n, component, map) AS p", "component <> main AS stray")
+        )
+
+    def strays(of: DataFrame) -> DataFrame:
+        return of.filter("stray").select("key", F.col("p").alias("q"))
+
+    known = components(links)
+    parts = mixed(known)
+    drawn = [F.expr(f"min_by(p, xxhash64(p.id, key, {i}))") for i in range(HEADS)]
+    heads = (
+        parts.filter("NOT stray")
         .groupBy("key")
-        .agg(F.max_by("component", "count").alias("main"), F.count("*").alias("parts"))
-        .filter("parts > 1")
-        .select("key", "main")
+        .agg(F.array(*drawn).alias("heads"))
+        .select("key", F.explode(F.array_distinct("heads")).alias("p"))
     )
-    maps = signed.groupBy("id").agg(F.first("map").alias("map"))
-    mixed = placed.join(main, "key").join(maps, "id")
-    mixed = stored(mixed.selectExpr("key", "struct(id, n, component, map) AS p", "component <> main AS odd"))
-    rest = (
-        mixed.filter("odd")
-        .select("key", F.col("p").alias("q"))
-        .join(mixed.select("key", "p"), "key")
-        .filter("p.component <> q.component AND " + _alike_in_size("p.n", "q.n", percent))
-        .filter(_alike_in_map("p", "q", percent))
-        .selectExpr("least(p.id, q.id) AS a", "greatest(p.id, q.id) AS b")
-        .distinct()
+    second = stored(
+        strays(parts).join(heads, "key").filter(fits).selectExpr(*pair).distinct()
         .join(first, ["a", "b"], "left_anti")
     )
-    more = stored(confirmed(rest, texts, set_of, percent))
+    more = stored(confirmed(second, texts, set_of, percent))
     if not more.isEmpty():
-        known = components(links.unionByName(more))
+        links = links.unionByName(more)
+        known = components(links)
+        parts = mixed(known)
+    rest = (
+        strays(parts).join(parts.select("key", "p"), "key").filter(fits).selectExpr(*pair).distinct()
+        .join(first, ["a", "b"], "left_anti")
+        .join(second, ["a", "b"], "left_anti")
+    )
+    last = stored(confirmed(rest, texts, set_of, percent))
+    if not last.isEmpty():
+        known = components(links.unionByName(last))
     sets = (
         classes.select("lo", "hi", "id")
         .join(known.withColumnRenamed("node", "id"), "id", "left")

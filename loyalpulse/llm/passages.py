@@ -31,8 +31,8 @@ ROWS, BANDS = 2, 12
 NEIGHBOURS = 5
 
 
-def band_keys(found: np.ndarray) -> np.ndarray:
-    return half_keys(found, ROWS, BANDS // 2)
+def band_keys(found: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    return half_keys(found, starts, ROWS, BANDS // 2)
 
 
 def paragraphs(docs: DataFrame, least_words: int) -> DataFrame:

@@ -109,6 +109,29 @@ def shingle_set(text: np.ndarray, width: int) -> np.ndarray:
     return np.unique(shingles(word_hashes(text)[0], width))
 
 
+def shingle_sets(texts: list[np.ndarray | None], width: int) -> tuple[np.ndarray, np.ndarray]:
+    """The shingle sets of some texts one after the other, and of each shingle its text's number."""
+    space = np.array([SEPARATORS[0]], dtype=np.uint8)
+    held = [part for text in texts for part in (text if text is not None else space[:0], space)]
+    words, starts, _ = word_hashes(np.concatenate(held))
+    upto = np.searchsorted(starts, np.cumsum([len(part) for part in held])[1::2])
+    count = np.diff(upto, prepend=0)
+    many = np.where(count >= width, count - width + 1, np.minimum(count, 1))
+    owner = np.repeat(np.arange(len(texts)), many)
+    before = np.cumsum(many) - many
+    at = np.arange(len(owner)) + np.repeat(upto - count - before, many)
+    padded = np.append(words, np.zeros(width - 1, dtype=np.uint64))
+    found = shingles(padded, width)[at] if len(words) else words
+    for i in np.flatnonzero((count > 0) & (count < width)):
+        found[before[i]] = shingles(words[upto[i] - count[i] : upto[i]], width)[0]
+    order = np.argsort(found)
+    order = order[np.argsort(owner[order], kind="stable")]
+    found = found[order]
+    new = np.ones(len(found), dtype=bool)
+    new[1:] = (found[1:] != found[:-1]) | (owner[1:] != owner[:-1])
+    return found[new], owner[new]
+
+
 def utf8(column: pa.Array) -> Iterator[np.ndarray | None]:
     """The bytes of every text of an Arrow column without copying them; None for null."""
     if len(column) == 0:
