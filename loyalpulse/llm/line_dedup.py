@@ -26,7 +26,8 @@ from loyalpulse.llm.verify import confirmed
 from loyalpulse.llm.words import NEWLINE, mix, utf8, word_hashes
 
 PERCENT = 80
-#: Lines with fewer distinct words are left alone: alike by chance.
+#: Lines with fewer distinct words are left alone unless a caller asks; the registered query
+#: and the pipeline pass 1, so every line with a word takes part there.
 LEAST_WORDS = 5
 CELLS = 1 << 18
 #: Rows of one prefix word that are compared at once; commoner words go another, exact way.
@@ -146,12 +147,16 @@ def _prefix(size: np.ndarray, percent: int) -> np.ndarray:
 
 
 def prefixes(docs: DataFrame, rank: np.ndarray, percent: int, least: int) -> DataFrame:
-    """A row for every prefix word of the set of every line."""
+    """A row for every prefix word of the set of every line.
+
+    A set too small to be alike any but its equal (at 80 %, of fewer than 4 words) has none.
+    """
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for run in _runs(batches):
             line, sizes, names, bits, starts, words = _sets_of(run, rank, least)
             _, one = np.unique(names, return_index=True)  # the earliest of the run
+            one = one[100 * sizes[one] >= percent * (sizes[one] + 1)]
             line, sizes, names, bits, starts = (c[one] for c in (line, sizes, names, bits, starts))
             many = _prefix(sizes, percent)
             row = np.repeat(np.arange(len(sizes)), many)

@@ -30,7 +30,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return per_document(table(spark, sf_dir, "documents"))
+    return per_document(table(spark, sf_dir, "documents"), least_words=1)
 
 
 def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
