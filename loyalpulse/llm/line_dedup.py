@@ -255,7 +255,8 @@ def candidates(rows: DataFrame, percent: int) -> DataFrame:
             if held is not None:
                 part = {c: np.concatenate([held[c], part[c]]) for c in names}
             last = part["word"] == part["word"][-1]
-            if last.sum() > 2 * SMALL:  # the word goes on: part of its rows are enough to tell
+            # the word may go on: what is released and what is held must both tell it is common
+            if last.sum() > 2 * SMALL + 1:
                 keep = np.flatnonzero(last)[: -(SMALL + 1)]
                 done = ~last
                 done[keep] = True

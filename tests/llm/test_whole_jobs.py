@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 from conftest import SF_SMALL
+from loyalpulse.llm import line_dedup
 from loyalpulse.llm import queries as registered
 
 
@@ -43,3 +44,18 @@ def test_short_lines_go_in_the_pipeline(spark):
     assert gone == {(2, 0), (2, 1), (3, 1)}
     for doc, text in texts:
         assert got[doc] == "\n".join(x for k, x in enumerate(text.split("\n")) if (doc, k) not in gone)
+
+
+def test_a_common_word_is_common_at_every_batch_edge(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "SMALL", 2)
+    shape = "word int, name bigint, doc bigint, size int, place int, bits bigint"
+    rows = spark.createDataFrame([(7, n, n, 10, 0, 0) for n in range(13)], shape)
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    try:
+        for batch in range(1, 14):
+            spark.conf.set(name, str(batch))
+            got = line_dedup.candidates(rows, 80).collect()
+            assert sorted((r.name, r.other) for r in got) == [(n, None) for n in range(13)]
+    finally:
+        spark.conf.set(name, before)
