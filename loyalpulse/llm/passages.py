@@ -3,10 +3,10 @@
 * A paragraph is a line.  Paragraphs of enough words are banded by MinHash with bands tuned
   for recall, those that collide are checked by exact Jaccard similarity of their word
   shingles, and links join to components of which the first paragraph stays.
-* A passage repeated inside longer, otherwise different paragraphs is found by cutting
-  every text before words whose hash is least among its neighbours.  Such cuts depend on
-  the words around them alone, so a shared passage is cut alike wherever it lies.  Pieces
-  that recur are joined to passages again, and those of enough words are reported.
+* A passage repeated inside longer, otherwise different paragraphs is found from its runs
+  of ``least_words`` words.  Of every run the gram of least hash is its seed; a run can only
+  recur if its seed does, so only such runs are compared, whole.  Those that recur are
+  joined to passages, which therefore end exactly where the texts part.
 """
 
 from __future__ import annotations
@@ -15,20 +15,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loyalpulse.llm.minhash import half_keys, near_groups
 from loyalpulse.llm.store import stored
-from loyalpulse.llm.words import NEWLINE, mix, shingles, utf8, word_hashes
+from loyalpulse.llm.words import NEWLINE, POWER, mix, utf8, word_hashes
 
 WIDTH, PERCENT = 5, 80
 #: Words of a paragraph or passage that is reported.
 LEAST_WORDS = 20
 #: Bands of two minhashes: two paragraphs at 0.8 share none with probability 5e-6.
 ROWS, BANDS = 2, 12
-#: Words to either side among which a cut's hash is the least.
-NEIGHBOURS = 5
 
 
 def band_keys(found: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -63,74 +62,135 @@ def paragraphs(docs: DataFrame, least_words: int) -> DataFrame:
     return docs.mapInArrow(cut, schema)
 
 
-def cuts(words: np.ndarray, neighbours: int = NEIGHBOURS) -> np.ndarray:
-    """Words before which a text is cut, the first included."""
-    pairs = shingles(words, 2) if len(words) > 1 else words
-    n = len(pairs)
-    padded = np.full(n + 2 * neighbours, 2**64 - 1, dtype=np.uint64)
-    padded[neighbours : neighbours + n] = pairs
-    least = np.ones(n, dtype=bool)
-    for shift in range(2 * neighbours + 1):
-        if shift != neighbours:
-            least &= pairs < padded[shift : shift + n]
-    least[:neighbours] = False
-    return np.concatenate([[0], np.flatnonzero(least)])
+def grams(words: np.ndarray, width: int) -> np.ndarray:
+    """Hashes of all runs of exactly ``width`` words."""
+    n = max(0, len(words) - width + 1)
+    total = np.zeros(n, dtype=np.uint64)
+    for i in range(width):
+        total += words[i : i + n] * POWER[i]
+    return mix(total + np.uint64(width))
 
 
-def pieces(docs: DataFrame) -> DataFrame:
-    """``(key, doc_id, first, words)`` of the pieces of every text."""
+def _seed_width(least_words: int) -> int:
+    return max(1, 2 * least_words // 5)
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def seeds(words: np.ndarray, least_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of every run of ``least_words`` words where its seed starts; the hashes of all grams.
+
+    The seed is the least gram of the run, so equal runs have equal seeds.
+    """
+    every = grams(words, _seed_width(least_words))
+    span = least_words - _seed_width(least_words) + 1
+    if len(every) < span:
+        return np.empty(0, dtype=np.int64), every
+    least = sliding_window_view(every, span).argmin(axis=1)
+    return np.arange(len(least)) + least, every
+
+
+def _places(held: list[tuple[np.ndarray, int, np.ndarray]]) -> pa.RecordBatch:
+    keys, docs, first = zip(*held, strict=True)
+    columns = [
+        pa.array(np.concatenate(keys).view(np.int64)),
+        pa.array(np.repeat(np.array(docs, dtype=np.int64), [len(k) for k in keys])),
+        pa.array(np.concatenate(first).astype(np.int64)),
+    ]
+    return pa.RecordBatch.from_arrays(columns, ["key", "doc_id", "first"])
+
+
+PLACES = "key bigint, doc_id bigint, first bigint"
+
+
+def all_seeds(docs: DataFrame, least_words: int) -> DataFrame:
+    """``(key, doc_id, first)`` of the seeds of every text."""
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             held = []
             for doc, text in zip(batch.column("doc_id").to_pylist(), utf8(batch.column("text")), strict=True):
-                words = word_hashes(text)[0] if text is not None and doc is not None else ()
-                if len(words) == 0:
+                if text is None or doc is None:
                     continue
-                first = cuts(words)
-                count = np.diff(np.append(first, len(words)))
-                within = np.arange(len(words)) - np.repeat(first, count)
-                sums = np.add.reduceat(mix(words + mix(within.astype(np.uint64))), first)
-                keys = mix(sums + count.astype(np.uint64)).view(np.int64)
-                held.append((keys, np.full(len(first), doc, dtype=np.int64), first, count))
+                at, keys = seeds(word_hashes(text)[0], least_words)
+                if len(at):
+                    at = np.unique(at)
+                    held.append((keys[at], doc, at))
             if held:
-                columns = [pa.array(np.concatenate(c)) for c in zip(*held, strict=True)]
-                yield pa.RecordBatch.from_arrays(columns, ["key", "doc_id", "first", "words"])
+                yield _places(held)
 
-    return docs.mapInArrow(cut, "key bigint, doc_id bigint, first bigint, words bigint")
+    return docs.mapInArrow(find, PLACES)
 
 
-def repeated_pieces(docs: DataFrame) -> DataFrame:
-    """Pieces that occur more than once, with where they occur first."""
-    every = stored(pieces(docs).filter(f"words > {NEIGHBOURS}"))
-    origins = (
-        every.groupBy("key")
-        .agg(F.min(F.struct("doc_id", "first")).alias("origin"), F.count("*").alias("times"))
-        .filter("times > 1")
-        .select("key", "origin")
-    )
-    return every.join(origins, "key").select("doc_id", "first", "words", "origin")
+def possible_runs(docs: DataFrame, marks: DataFrame, least_words: int) -> DataFrame:
+    """``(key, doc_id, first)`` of the runs of ``least_words`` words whose seeds recur."""
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            held, known = [], batch.column("marks")
+            for i, (doc, text) in enumerate(
+                zip(batch.column("doc_id").to_pylist(), utf8(batch.column("text")), strict=True)
+            ):
+                words = word_hashes(text)[0] if text is not None else ()
+                if len(words) < least_words:
+                    continue
+                at, _ = seeds(words, least_words)
+                first = np.flatnonzero(np.isin(at, known[i].values.to_numpy(zero_copy_only=False)))
+                if len(first):
+                    held.append((grams(words, least_words)[first], doc, first))
+            if held:
+                yield _places(held)
+
+    marked = marks.groupBy("doc_id").agg(F.collect_set("first").alias("marks"))
+    return docs.join(marked, "doc_id").select("doc_id", "text", "marks").mapInArrow(find, PLACES)
+
+
+def recurring(places: DataFrame, apart: int) -> DataFrame:
+    """``(doc_id, first, origin, kept)`` of the places of keys that occur more than once.
+
+    ``origin`` is the document of the first place, which alone is ``kept``.  Places of that
+    document less than ``apart`` words from the first overlap it and do not count.  A
+    task reads its keys in order and holds one place, however often a key occurs.
+    """
+
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, told = [np.empty(0, dtype=np.int64)] * 3, False
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            own = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "doc_id", "first"))
+            key, doc, first = (np.concatenate(pair) for pair in zip(held, own, strict=True))
+            new = np.ones(len(key), dtype=bool)
+            new[1:] = key[1:] != key[:-1]
+            starts = np.flatnonzero(new)
+            start = starts[np.cumsum(new) - 1]
+            again = (doc != doc[start]) | (first - first[start] >= apart)
+            many = np.logical_or.reduceat(again, starts)
+            out = again.copy()
+            out[starts] = many
+            out[0] &= not told
+            told = bool(many[-1]) or (told and len(starts) == 1)
+            held = [c[starts[-1] :][:1] for c in (key, doc, first)]
+            columns = doc[out], first[out], doc[start][out], new[out]
+            names = ["doc_id", "first", "origin", "kept"]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
+
+    ordered = places.repartition("key").sortWithinPartitions("key", "doc_id", "first")
+    return ordered.mapInArrow(pick, "doc_id bigint, first bigint, origin bigint, kept boolean")
+
+
+def repeated_runs(docs: DataFrame, least_words: int) -> DataFrame:
+    """Every run of ``least_words`` words that occurs more than once, as ``recurring`` has it."""
+    marks = stored(recurring(all_seeds(docs, least_words), 1).select("doc_id", "first"))
+    return recurring(possible_runs(docs, marks, least_words), least_words)
 
 
 def joined_passages(found: DataFrame, least_words: int) -> DataFrame:
-    """Pieces that follow each other in a document, as passages of enough words."""
-    runs = found.distinct().selectExpr(
-        "*",
-        """CASE WHEN first = lag(first + words) OVER (PARTITION BY doc_id ORDER BY first)
-           THEN 0 ELSE 1 END AS opens""",
-    ).selectExpr(
-        "*", "sum(opens) OVER (PARTITION BY doc_id ORDER BY first ROWS UNBOUNDED PRECEDING) AS run"
-    )
-    return (
-        runs.groupBy("doc_id", "run")
-        .agg(
-            F.min("first").alias("first_word"),
-            F.sum("words").alias("n_words"),
-            F.min("origin.doc_id").alias("component_id"),
-            F.bool_or(F.expr("origin = struct(doc_id, first)")).alias("kept"),
-        )
-        .filter(F.col("n_words") >= least_words)
-        .drop("run")
+    """Runs that follow each other in a document, as passages."""
+    runs = found.selectExpr("*", "first - dense_rank() OVER (PARTITION BY doc_id ORDER BY first) AS run")
+    return runs.groupBy("doc_id", "run").agg(
+        F.min("origin").alias("origin"),
+        F.bool_or("kept").alias("kept"),
+        F.min("first").alias("first_word"),
+        (F.max("first") - F.min("first") + least_words).alias("n_words"),
     )
 
 
@@ -141,8 +201,10 @@ def repeated_passages(
 
     ``kind`` is ``paragraph`` for lines alike by Jaccard similarity and ``passage`` for
     word sequences that recur exactly.  ``component_id`` is the smallest document that has
-    a member of the paragraph's component, or one of the passage's pieces.  ``kept`` marks
-    the first occurrence; the others may be removed.  Words count from 0.
+    a member of the paragraph's component, or the one where all runs of the passage occur
+    first.  ``kept`` marks the first occurrence; the others may be removed.  Words count
+    from 0.  Passages may overlap by fewer than ``least_words`` words where one origin
+    follows another; a word of any row that is not kept may be removed.
 
     Null and empty texts and rows without id have nothing to repeat; rows of one
     ``doc_id`` with the same text count once.
@@ -159,7 +221,7 @@ def repeated_passages(
         "component.doc_id AS component_id",
         "id = component AS kept",
     )
-    inside = joined_passages(repeated_pieces(docs), least_words).selectExpr(
-        "doc_id", "first_word", "n_words", "'passage' AS kind", "component_id", "kept"
+    inside = joined_passages(repeated_runs(docs, least_words), least_words).selectExpr(
+        "doc_id", "first_word", "n_words", "'passage' AS kind", "origin AS component_id", "kept"
     )
     return alike.unionByName(inside)

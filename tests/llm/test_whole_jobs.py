@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import random
+
 import corpus_pipeline
 from conftest import SF_SMALL
-from loyalpulse.llm import line_dedup
+from loyalpulse.llm import line_dedup, passages
 from loyalpulse.llm import queries as registered
 
 
@@ -59,3 +61,25 @@ def test_a_common_word_is_common_at_every_batch_edge(spark, monkeypatch):
             assert sorted((r.name, r.other) for r in got) == [(n, None) for n in range(13)]
     finally:
         spark.conf.set(name, before)
+
+
+def found_passages(spark, texts):
+    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string").repartition(3)
+    rows = passages.repeated_passages(docs).filter("kind = 'passage'").collect()
+    return {(r.doc_id, r.first_word, r.n_words, r.component_id, r.kept) for r in rows}
+
+
+def drawn_words(draw):
+    return lambda n: ["".join(draw.choices("abcdefghij", k=7)) for _ in range(n)]
+
+
+def test_every_shared_passage_is_found_to_its_ends(spark):
+    word = drawn_words(random.Random(6))
+    texts, want = {}, set()
+    for i, size in enumerate([19, *[20] * 25, *range(21, 60)]):
+        shared = word(size)
+        for doc, before in ((2 * i, i % 9), (2 * i + 1, i % 7)):
+            texts[doc] = " ".join([*word(before), *shared, *word(i % 8)])
+            if size >= 20:
+                want.add((doc, before, size, 2 * i, doc == 2 * i))
+    assert found_passages(spark, texts) == want
