@@ -184,11 +184,14 @@ def repeated_runs(docs: DataFrame, least_words: int) -> DataFrame:
 
 
 def joined_passages(found: DataFrame, least_words: int) -> DataFrame:
-    """Runs that follow each other in a document, as passages."""
-    runs = found.selectExpr("*", "first - dense_rank() OVER (PARTITION BY doc_id ORDER BY first) AS run")
-    return runs.groupBy("doc_id", "run").agg(
-        F.min("origin").alias("origin"),
-        F.bool_or("kept").alias("kept"),
+    """Runs that follow each other in a document and have one origin, as passages.
+
+    So a passage is wholly the first or wholly repeated.
+    """
+    runs = found.selectExpr(
+        "*", "first - dense_rank() OVER (PARTITION BY doc_id, origin, kept ORDER BY first) AS run"
+    )
+    return runs.groupBy("doc_id", "origin", "kept", "run").agg(
         F.min("first").alias("first_word"),
         (F.max("first") - F.min("first") + least_words).alias("n_words"),
     )

@@ -83,3 +83,15 @@ def test_every_shared_passage_is_found_to_its_ends(spark):
             if size >= 20:
                 want.add((doc, before, size, 2 * i, doc == 2 * i))
     assert found_passages(spark, texts) == want
+
+
+def test_a_passage_is_wholly_first_or_wholly_repeated(spark):
+    word = drawn_words(random.Random(7))
+    shared, left, right = word(40), word(50), word(50)
+    copied = " ".join(left + shared + right)
+    rows = found_passages(spark, {1: " ".join(word(30) + shared + word(30)), 7: copied, 9: copied})
+    gone = {d: {w for doc, a, n, _, kept in rows if doc == d and not kept for w in range(a, a + n)} for d in (1, 7, 9)}
+    assert gone == {1: set(), 7: set(range(50, 90)), 9: set(range(140))}
+    assert {r for r in rows if r[3] == 1} == {(1, 30, 40, 1, True), (7, 50, 40, 1, False), (9, 50, 40, 1, False)}
+    # a text that repeats itself: what overlaps the first occurrence is not a second one
+    assert found_passages(spark, {1: "a " * 39, 2: "b " * 60}) == {(2, 0, 20, 2, True), (2, 20, 40, 2, False)}
