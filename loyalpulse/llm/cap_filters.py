@@ -6,7 +6,7 @@ of random unit vectors, and every pair of one of each, joined, is a direction.
 is compared with ``2 * size`` short vectors, and the sorted scores of the two halves are
 merged to list exactly the filters it passes, out of ``size ** 2``.
 
-Cap height and code size follow the number of vectors: a filter is passed by few unlike
+Cap height and code size follow the width and the number of vectors: a filter is passed by few unlike
 vectors, and two vectors at the least similarity share ``EXPECTED_SHARED`` filters of a
 code on average.  As the filters of one code are not independent, several codes are drawn;
 how many follows from the measured chance that such a pair shares no filter of a code.
@@ -16,7 +16,6 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
@@ -35,32 +34,66 @@ MISSED = 1e-4
 UNLIKE_IN_FILTER = 16.0
 #: Vectors of one filter that are compared with each other, or with as many others, at once.
 BLOCK = 512
+#: Most pairs at the least similarity that one code may miss; wider caps are taken before.
+MOST_MISSED = 0.5
+#: Fewest coordinates, widest cap as a share of the sphere, and most short vectors of a half
+#: with which filters are used at all; otherwise all pairs of a label are compared.
+LEAST_WIDTH, WIDEST, MOST_SHORT = 4, 0.1, 1 << 13
 #: Rows, of many filters, that one task call compares.
 COMPARED_TOGETHER = 16_384
-_NORMAL = NormalDist()
 
 
-def _both_above(height: float, similarity: float) -> float:
-    """Probability that two standard normal values of that correlation exceed ``height``."""
-    spread = math.sqrt(1 - similarity**2)
-    steps = np.linspace(height, height + 8, 4001)
-    density = np.exp(-(steps**2) / 2) / math.sqrt(2 * math.pi)
-    above = np.array([1 - _NORMAL.cdf((height - similarity * x) / spread) for x in steps])
-    return float(np.trapezoid(density * above, steps))
+def _caps(width: int, steps: int = 1 << 16) -> tuple[np.ndarray, np.ndarray]:
+    """Angles from 0 to pi, and the share of the sphere in ``width`` dimensions within each."""
+    angle = np.linspace(0, math.pi, steps + 1)
+    if width < 2:  # two points
+        return angle, np.where(angle < math.pi, 0.5, 1.0)
+    middle = (angle[1:] + angle[:-1]) / 2
+    share = np.cumsum(np.sin(middle) ** (width - 2))
+    return angle, np.append(0.0, share / share[-1])
+
+
+def _both_within(width: int, cap: float, similarity: float) -> float:
+    """Share of directions within the angle ``cap`` of both of two vectors of that cosine."""
+    at, share = _caps(width)
+    edges = np.linspace(0, cap, 2001)
+    ring = np.diff(np.interp(edges, at, share))
+    middle = (edges[1:] + edges[:-1]) / 2
+    apart = math.sqrt(1 - min(similarity, 1 - 1e-12) ** 2)
+    least = (math.cos(cap) - similarity * np.cos(middle)) / (apart * np.sin(middle))
+    within = np.interp(np.arccos(np.clip(least, -1, 1)), *_caps(width - 1))
+    return float(ring @ np.where(least > 1, 0.0, within))
 
 
 class ProductCodes:
-    """The filters for vectors of ``width`` coordinates of which there are about ``count``."""
+    """The filters for vectors of ``width`` coordinates of which there are about ``count``.
+
+    Caps are widened until a code misses at most ``MOST_MISSED`` of the pairs at the least
+    similarity.  Where only caps of much of the sphere would do, there is one filter that
+    all vectors pass (``all_pairs``), so they are all compared, in blocks.
+    """
 
     def __init__(self, width: int, count: int, similarity: float, seed: int = 5) -> None:
         self._width, self._seed = width, seed
-        self.height = _NORMAL.inv_cdf(1 - min(0.02, UNLIKE_IN_FILTER / max(count, 1)))
-        wanted = EXPECTED_SHARED / _both_above(self.height, similarity)
-        self.size = max(4, math.ceil(math.sqrt(wanted)))
-        self._codes = [self._code(0)]
-        missed = min(0.9, self._missed(similarity))
-        count_of_codes = math.ceil(math.log(MISSED) / math.log(max(missed, 1e-3)))
-        self._codes += [self._code(k) for k in range(1, max(2, count_of_codes))]
+        self.all_pairs = width < LEAST_WIDTH
+        share = min(0.02, UNLIKE_IN_FILTER / max(count, 1))
+        while not self.all_pairs:
+            at, shares = _caps(width)
+            cap = float(np.interp(share, shares, at))
+            self.height = math.sqrt(width) * math.cos(cap)
+            wanted = EXPECTED_SHARED / max(_both_within(width, cap, similarity), 1e-300)
+            self.size = max(4, math.ceil(math.sqrt(wanted)))
+            if self.size <= MOST_SHORT:
+                self._codes = [self._code(0)]
+                missed = self._missed(similarity)
+                if missed <= MOST_MISSED:
+                    count_of_codes = max(2, math.ceil(math.log(MISSED) / math.log(missed)))
+                    self._codes += [self._code(k) for k in range(1, count_of_codes)]
+                    break
+            share *= 2
+            self.all_pairs = share > WIDEST
+        #: Blocks of the commonest label that every vector meets, if all pairs are compared.
+        self.blocks = math.ceil(count / BLOCK) if self.all_pairs else 0
 
     def _code(self, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """A rotation and the short vectors of both halves."""
@@ -73,17 +106,23 @@ class ProductCodes:
         return rotation, halves[0], halves[1]
 
     def _missed(self, similarity: float, trials: int = 500) -> float:
-        """Share of random pairs of that similarity without a common filter of the first code."""
+        """Share of random pairs of that similarity without a common filter of the first code.
+
+        It is estimated from above, by three standard errors.
+        """
         random = np.random.default_rng([self._seed, self._width])
         one = unit(random.normal(size=(trials, self._width)))
         other = random.normal(size=(trials, self._width))
         other -= (one * other).sum(axis=1, keepdims=True) * one
         other = similarity * one + math.sqrt(1 - similarity**2) * unit(other + 1e-12)
         both = zip(self.filters(one), self.filters(other), strict=True)
-        return sum(not len(np.intersect1d(a, b)) for a, b in both) / trials
+        found = sum(not len(np.intersect1d(a, b)) for a, b in both)
+        return (found + 3 * math.sqrt(found) + 3) / trials
 
     def filters(self, rows: np.ndarray) -> list[np.ndarray]:
         """The filters that each unit vector passes, ascending."""
+        if self.all_pairs:
+            return [np.zeros(1, dtype=np.int64) for _ in rows]
         out: list[list[np.ndarray]] = [[] for _ in rows]
         for k, (rotation, left, right) in enumerate(self._codes):
             turned = rows @ rotation
@@ -96,8 +135,8 @@ class ProductCodes:
                 near = np.flatnonzero(many[r])
                 last = np.searchsorted(falling[r], first[r, near] - self.height, "right")
                 out[r] += [base + i * self.size + order[r, :n] for i, n in zip(near.tolist(), last.tolist(), strict=True)]
-        empty = [np.empty(0, dtype=np.int32)]
-        return [np.sort(np.concatenate(parts or empty)).astype(np.int32) for parts in out]
+        empty = [np.empty(0, dtype=np.int64)]
+        return [np.sort(np.concatenate(parts or empty)).astype(np.int64) for parts in out]
 
 
 def _members(classes: DataFrame, codes: dict[int, ProductCodes]) -> DataFrame:
@@ -132,7 +171,7 @@ def _members(classes: DataFrame, codes: dict[int, ProductCodes]) -> DataFrame:
     kinds = dict(classes.dtypes)
     schema = (
         f"label {kinds['label']}, width int, id bigint, copies bigint, "
-        f"filter int, passed array<int>, vector {kinds['vector']}"
+        f"filter bigint, passed array<bigint>, vector {kinds['vector']}"
     )
     return classes.select("label", "width", "id", "copies", "vector").mapInArrow(spread, schema)
 
@@ -198,7 +237,8 @@ def _linked(classes: DataFrame, codes: dict[int, ProductCodes], least: float) ->
             "vector",
         )
     )
-    calls = max(1, 24 * classes.count() // COMPARED_TOGETHER)
+    a_vector = 24 + max((c.blocks for c in codes.values()), default=0)
+    calls = max(1, a_vector * classes.count() // COMPARED_TOGETHER)
     grouped = met.withColumn("call", F.expr(f"pmod(xxhash64(label, width, filter, one, two), {calls})"))
 
     def compare(table: pa.Table) -> pa.Table:

@@ -5,8 +5,10 @@ from __future__ import annotations
 import random
 
 import corpus_pipeline
+import numpy as np
+import pytest
 from conftest import SF_SMALL
-from loyalpulse.llm import line_dedup, passages
+from loyalpulse.llm import cap_filters, line_dedup, passages
 from loyalpulse.llm import queries as registered
 
 
@@ -95,3 +97,35 @@ def test_a_passage_is_wholly_first_or_wholly_repeated(spark):
     assert {r for r in rows if r[3] == 1} == {(1, 30, 40, 1, True), (7, 50, 40, 1, False), (9, 50, 40, 1, False)}
     # a text that repeats itself: what overlaps the first occurrence is not a second one
     assert found_passages(spark, {1: "a " * 39, 2: "b " * 60}) == {(2, 0, 20, 2, True), (2, 20, 40, 2, False)}
+
+
+def vectors_at(similarity, width, count, draw):
+    one = draw.normal(size=(count, width))
+    one /= np.linalg.norm(one, axis=1, keepdims=True)
+    side = draw.normal(size=(count, width))
+    side -= (one * side).sum(axis=1, keepdims=True) * one
+    side /= np.linalg.norm(side, axis=1, keepdims=True)
+    return one, similarity * one + np.sqrt(1 - similarity**2) * side
+
+
+@pytest.mark.parametrize("width", [2, 4, 8, 16, 64])
+@pytest.mark.parametrize("count", [200, 10_000, 1_000_000])
+def test_similar_vectors_share_a_filter_at_any_width_and_count(width, count):
+    codes = cap_filters.ProductCodes(width, count, 0.98)
+    one, other = vectors_at(0.98, width, 2000, np.random.default_rng(11))
+    both = zip(codes.filters(one), codes.filters(other), strict=True)
+    assert sum(not len(np.intersect1d(a, b)) for a, b in both) <= 3  # 0.2 expected at 1e-4
+
+
+def test_short_vectors_are_linked_as_by_brute_force(spark):
+    draw, rows = np.random.default_rng(12), []
+    for width, count in ((2, 350), (8, 100), (16, 100)):  # of width 2, more than a block
+        for pair in vectors_at(0.985, width, count, draw):
+            rows += [(len(rows) + i, v.tolist(), 1) for i, v in enumerate(pair)]
+    links = {}
+    for i, v, _ in rows:
+        same = np.array([w for _, w, _ in rows if len(w) == len(v)])
+        cosines = same @ np.array(v) / np.linalg.norm(same, axis=1) / np.linalg.norm(v)
+        links[i] = int((cosines >= 0.98).sum()) - 1
+    vectors = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int")
+    assert {r.vec_id: r.n_links for r in cap_filters.near_vectors(vectors).collect()} == links
