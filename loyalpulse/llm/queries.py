@@ -15,6 +15,7 @@ from loyalpulse.llm.minhash import near_duplicates
 from loyalpulse.llm.mixing import Mix
 from loyalpulse.llm.packing import pack
 from loyalpulse.llm.passages import repeated_passages
+from loyalpulse.llm.periodic_runs import periodic_runs
 from loyalpulse.llm.projected_search import nearest
 from loyalpulse.llm.secrets_scan import BASE_KINDS, scan
 from loyalpulse.llm.store import shared_folder
@@ -87,6 +88,43 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(docs, model).select("*", F.expr(held_out()).alias("held_out"))
 
 
+WORD_ARRAY = r"filter(split(text, '[\\x20\\x09-\\x0D]+'), w -> w <> '')"
+
+
+def with_planted_periods(docs: DataFrame) -> DataFrame:
+    """``(doc_id, text)``, every tenth document (by its id's crc32) made periodic from some word on."""
+    hashed = docs.selectExpr("doc_id", "text", "crc32(CAST(doc_id AS STRING)) AS h").selectExpr(
+        "doc_id",
+        "text",
+        "h DIV 10 AS g",
+        f"CASE WHEN h % 10 = 0 THEN {WORD_ARRAY} END AS words",
+    )
+    placed = hashed.selectExpr(
+        "*", "CASE WHEN size(words) > 0 THEN g % size(words) END AS a"
+    ).selectExpr("*", "1 + (size(words) - a) DIV (3 + g % 8) AS p")
+    periodic = "transform(words, (w, i) -> IF(i < a, w, words[CAST(a + (i - a) % p AS INT)]))"
+    return placed.selectExpr(
+        "doc_id", f"CASE WHEN a IS NULL THEN text ELSE array_join({periodic}, ' ') END AS text"
+    )
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs(with_planted_periods(table(spark, sf_dir, "documents")))
+    longest = """array_max(transform(runs, r -> struct(
+        r.length AS length, -r.start AS before, -r.period AS shorter)))"""
+    lines = "transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\\n'))"
+    return found.selectExpr("*", f"{longest} AS most").selectExpr(
+        "doc_id",
+        "CAST(size(runs) AS BIGINT) AS n_runs",
+        "-most.before AS start",
+        "most.length AS length",
+        "-most.shorter AS period",
+        "1000 * most.length DIV -most.shorter AS exponent_milli",
+        f"sha2(array_join({lines}, ''), 256) AS runs_sha256",
+        "sha2(collapsed, 256) AS collapsed_sha256",
+    )
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -104,6 +142,7 @@ QUERIES: dict[str, Query] = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_language_id": op10_language_id,
+    "op12_periodic_runs": op12_periodic_runs,
     "pipeline": pipeline,
 }
 
