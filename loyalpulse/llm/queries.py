@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loyalpulse.llm import check_sql
 from loyalpulse.llm.cap_filters import near_vectors
 from loyalpulse.llm.language import fit, identify
 from loyalpulse.llm.line_dedup import per_document
@@ -17,6 +18,7 @@ from loyalpulse.llm.packing import pack
 from loyalpulse.llm.passages import repeated_passages
 from loyalpulse.llm.periodic_runs import periodic_runs
 from loyalpulse.llm.projected_search import nearest
+from loyalpulse.llm.quality_rules import quality
 from loyalpulse.llm.secrets_scan import BASE_KINDS, scan
 from loyalpulse.llm.store import shared_folder
 from loyalpulse.llm.token_files import read_token_files, write_token_files
@@ -125,6 +127,19 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(table(spark, sf_dir, "documents")).selectExpr(
+        "doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        "n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed",
+        "kept",
+    )
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -143,8 +158,9 @@ QUERIES: dict[str, Query] = {
     "op9_substring_dedup": op9_substring_dedup,
     "op10_language_id": op10_language_id,
     "op12_periodic_runs": op12_periodic_runs,
+    "op13_quality_rules": op13_quality_rules,
     "pipeline": pipeline,
 }
 
 #: Check SQL of the queries that SQL can express.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op13_quality_rules": check_sql.QUALITY}
