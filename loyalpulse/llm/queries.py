@@ -22,6 +22,7 @@ from loyalpulse.llm.quality_rules import quality
 from loyalpulse.llm.secrets_scan import BASE_KINDS, scan
 from loyalpulse.llm.store import shared_folder
 from loyalpulse.llm.token_files import read_token_files, write_token_files
+from loyalpulse.llm.whitening import whiten
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -90,6 +91,19 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(docs, model).select("*", F.expr(held_out()).alias("held_out"))
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings")).selectExpr(
+        "vec_id",
+        "component",
+        "n",
+        "try_cast(deviation AS BIGINT) AS deviation",
+        "whitened",
+        "explained",
+        "identity_error",
+        "deviation AS deviation_exact",
+    )
+
+
 WORD_ARRAY = r"filter(split(text, '[\\x20\\x09-\\x0D]+'), w -> w <> '')"
 
 
@@ -157,6 +171,7 @@ QUERIES: dict[str, Query] = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_language_id": op10_language_id,
+    "op11_embedding_whitening": op11_embedding_whitening,
     "op12_periodic_runs": op12_periodic_runs,
     "op13_quality_rules": op13_quality_rules,
     "pipeline": pipeline,
