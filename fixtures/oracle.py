@@ -305,6 +305,12 @@ def unrestricted(people: str) -> str:
     return f"SELECT e.* FROM {people} AS e WHERE {absent}"
 
 
+ON_LIST = {name: f"e.cpf IN (SELECT NU_CPF FROM {name} WHERE NU_CPF IS NOT NULL)" for name in BLOCKING}
+ON_LISTS = " + ".join(f"CAST({name} AS INTEGER)" for name in BLOCKING)
+REASON = """SELECT '{list}' AS list, count(*) FILTER ({name}) AS blocked,
+    count(*) FILTER ({name} AND {total} = 1) AS blocked_alone FROM reason_marks"""
+
+
 # --- draw and contact ------------------------------------------------------------------
 
 HASH = (
@@ -345,6 +351,12 @@ BOTH_SURVEYS = """SELECT 'positivo' AS survey, * REPLACE (CAST(telefone AS VARCH
 
 SURVEYED = {
     "suppress_all": unrestricted("flags_merge"),
+    "reason_marks": "SELECT "
+    + ", ".join(f"coalesce({test}, FALSE) AS {name}" for name, test in ON_LIST.items())
+    + " FROM flags_merge AS e",
+    "suppress_reasons": " UNION ALL ".join(
+        REASON.format(list=name.removeprefix("sup_"), name=name, total=ON_LISTS) for name in BLOCKING
+    ),
     "suppress_split": unrestricted("one_per_person"),
     "draw_credit": f"SELECT * FROM suppress_all WHERE {HASH} < {CREDIT_RATE}",
     "draw_points": f"SELECT * FROM suppress_all WHERE {HASH} < {POINTS_RATE}",
@@ -509,7 +521,7 @@ RELATIONS = {
 HELPERS = {
     "loan_facts", "account_chain", "credit_chain", "touch_chain", "full_chain", "split_credit",
     "split_points", "suppress_split", "mean_forecast", "earlier_run", "same_day_run", "first_run",
-    "calendar_weeks", "segment_weeks", "extended_weeks",
+    "calendar_weeks", "segment_weeks", "extended_weeks", "reason_marks",
 }
 # the same statements with ids left as stored
 LITERAL = {

@@ -128,6 +128,14 @@ def suppress_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return eligibility.unrestricted(Domain(spark, sf_dir), CTX)
 
 
+def suppress_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = Domain(spark, sf_dir)
+    people = consolidate.eligible(d, CTX)
+    return suppression.reason_counts(
+        suppression.mark_listed(people, suppression.listed_ids(d, CTX))
+    )
+
+
 def drawn(survey: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     return sampling.draw(suppress_all(spark, sf_dir), survey, CTX)
 
@@ -283,6 +291,7 @@ QUERIES: dict[str, Query] = {
     "sup_indicator_pivot": sup_indicator_pivot,
     "sup_quarantine_expiry": sup_quarantine_expiry,
     "suppress_all": suppress_all,
+    "suppress_reasons": suppress_reasons,
     "draw_credit": partial(drawn, "positivo"),
     "draw_points": partial(drawn, "pontos"),
     "contact_credit": contact_credit,

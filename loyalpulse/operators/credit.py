@@ -98,11 +98,21 @@ def _with_customer(people: DataFrame, customers_a: DataFrame) -> DataFrame:
 
     An outer join could neither broadcast the day's few contracts nor split a tax id that
     many customers share; the inner join can do both, and the rows it misses are few.
+
+    ``people`` is read three times, so it must end in an exchange (a distinct, an
+    aggregate, a repartition), which Spark then fills once.
     """
-    keyed = people.withColumn("_id", pad_id("NU_CPF"))
+    # unknown ids match nobody and are spread; dropped as NULL keys they would be missing
+    # from some of the three exchanges only
+    unknown = F.concat(F.lit("?"), F.xxhash64(*people.columns).cast("string"))
+    keyed = people.withColumn("_id", F.coalesce(pad_id("NU_CPF"), unknown))
     customers = customer_ids(customers_a).filter("cpf IS NOT NULL").withColumnRenamed("cpf", "_id")
     matched = keyed.join(customers, "_id")
-    unmatched = splittable_join(keyed, matched.select("_id").distinct(), "_id", "left_anti")
+    # the hash keeps every column in the plan of the known ids: with fewer columns Spark
+    # would see another exchange there and compute the people anew
+    known = matched.groupBy("_id").agg(F.max(F.xxhash64(*matched.columns)).alias("_row"))
+    known = known.filter("_row IS NOT NULL").select("_id")
+    unmatched = splittable_join(keyed, known, "_id", "left_anti")
     without = unmatched.withColumn("chavecliente", F.lit(None).cast("bigint"))
     return matched.unionByName(without).drop("_id")
 
@@ -111,8 +121,8 @@ def credit_acquired(
     borrowers: DataFrame, loans: DataFrame, customers_a: DataFrame, ctx: RunContext
 ) -> DataFrame:
     """Contracts lent on the credit day, one row per contract and matching customer."""
-    profile = _profile(loans, borrowers, LOAN_LENT, ctx).drop("contrato")
-    return _with_customer(profile, customers_a)
+    profile = _profile(loans, borrowers, LOAN_LENT, ctx)
+    return _with_customer(profile.repartition(*profile.columns), customers_a).drop("contrato")
 
 
 def credit_settled_base(

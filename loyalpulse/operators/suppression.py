@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from loyalpulse.context import RunContext
@@ -165,6 +165,21 @@ def active_quarantine(sends: DataFrame, ctx: RunContext, unique_ids: bool = Fals
     )
 
 
+def recent_quarantine(sends: DataFrame, ctx: RunContext) -> DataFrame:
+    """``active_quarantine`` without aggregating every send ever made.
+
+    Only sends with a row inside the longest quarantine can still block anyone, so those
+    rows are read by a pruned scan.  Older rows matter only where they repeat the id of
+    such a send; a semi join on its ids finds them, and all others stay out of the shuffle.
+    """
+    within = in_local_days(sends, "createdAt", ctx.tz, ctx.day(max(QUARANTINE_DAYS.values())))
+    recent = sends.filter(within)
+    ids = recent.select(F.col("_id").alias("_recent")).distinct()
+    older = sends.filter(f"({within}) IS NOT TRUE")
+    repeats = older.join(ids, F.col("_id").eqNullSafe(F.col("_recent")), "left_semi")
+    return active_quarantine(recent.unionByName(repeats), ctx)
+
+
 LISTS: dict[str, Callable[[Sources, RunContext], DataFrame]] = {
     "bad_email": lambda s, ctx: bad_email(s["contatos"], ctx),
     "inactive": lambda s, ctx: inactive(s["customers_a"]),
@@ -173,7 +188,7 @@ LISTS: dict[str, Callable[[Sources, RunContext], DataFrame]] = {
     "fraud": lambda s, ctx: fraud_list(
         s["losses"], s["digital_account_type"], s["digital_account_person"], ctx
     ),
-    "quarantine": lambda s, ctx: active_quarantine(s["coplusites"], ctx),
+    "quarantine": lambda s, ctx: recent_quarantine(s["coplusites"], ctx),
     "employees": lambda s, ctx: employees(s["funcionarios"]),
 }
 
@@ -190,6 +205,83 @@ def blocked_ids(sources: Sources, ctx: RunContext, names: Iterable[str] = tuple(
     return reduce(DataFrame.unionByName, lists).filter(F.col("NU_CPF").isNotNull()).distinct()
 
 
+def listed_ids(
+    sources: Sources, ctx: RunContext, names: Sequence[str] = tuple(LISTS)
+) -> DataFrame:
+    """``(NU_CPF, lists)``: every tax id on any list, with one bit per list it is on.
+
+    The bits follow ``names``.  They meet map-side, so the row count of the shuffle is
+    that of ``blocked_ids``, and the lists still share one join with the people.
+    """
+    tagged = (
+        LISTS[name](sources, ctx).select("NU_CPF", F.lit(1 << place).alias("lists"))
+        for place, name in enumerate(names)
+    )
+    known = reduce(DataFrame.unionByName, tagged).filter(F.col("NU_CPF").isNotNull())
+    return known.groupBy("NU_CPF").agg(F.bit_or("lists").alias("lists"))
+
+
+def mark_listed(people: DataFrame, listed: DataFrame) -> DataFrame:
+    """People with the ``lists`` they are on as bits, 0 for none.
+
+    An unknown tax id is on no list; people without one are spread by customer, as in
+    ``suppress``.
+    """
+    on_list = (F.col("_key") == F.col("NU_CPF")) & F.col("cpf").isNotNull()
+    return (
+        people.withColumn("_key", _spread_key())
+        .join(listed, on_list, "left")
+        .withColumn("lists", F.coalesce("lists", F.lit(0)))
+        .drop("_key", "NU_CPF")
+    )
+
+
+def _reason_metrics(names: Sequence[str]) -> list[Column]:
+    """Per list the people it blocks, and those that no other list blocks."""
+    blocked = [F.count_if(F.col("lists").bitwiseAND(1 << i) != 0) for i in range(len(names))]
+    alone = [F.count_if(F.col("lists") == 1 << i) for i in range(len(names))]
+    return [c.alias(n) for n, c in zip(names, blocked)] + [
+        c.alias(f"{n} alone") for n, c in zip(names, alone)
+    ]
+
+
+def reason_counts(marked: DataFrame, names: Sequence[str] = tuple(LISTS)) -> DataFrame:
+    """``(list, blocked, blocked_alone)`` of marked people, one row per list."""
+    rows = ", ".join(f"'{n}', `{n}`, `{n} alone`" for n in names)
+    stacked = f"stack({len(names)}, {rows}) AS (list, blocked, blocked_alone)"
+    return marked.agg(*_reason_metrics(names)).selectExpr(stacked)
+
+
+def suppress_counted(
+    people: DataFrame,
+    listed: DataFrame,
+    names: Sequence[str] = tuple(LISTS),
+    observation: Observation | None = None,
+) -> DataFrame:
+    """``suppress``, with the counts of ``reason_counts`` observed as the rows pass.
+
+    After an action on the result ``observed_reasons(observation)`` has the counts; they
+    cost no second pass.
+    """
+    marked = mark_listed(people, listed)
+    if observation is not None:
+        marked = marked.observe(observation, F.count("*").alias("people"), *_reason_metrics(names))
+    return marked.filter("lists = 0").drop("lists")
+
+
+def observed_reasons(
+    observation: Observation, names: Sequence[str] = tuple(LISTS)
+) -> list[tuple[str, int, int]]:
+    """``(list, blocked, blocked_alone)`` of an observed suppression that has run."""
+    seen = observation.get
+    return [(n, seen[n], seen[f"{n} alone"]) for n in names]
+
+
+def _spread_key() -> Column:
+    """The tax id, or a key of their own for people without one."""
+    return F.coalesce("cpf", F.concat(F.lit("?"), F.col("chavecliente").cast("string")))
+
+
 def suppress(people: DataFrame, blocked: DataFrame) -> DataFrame:
     """Keep people on none of the lists; an unknown tax id is on no list.
 
@@ -197,6 +289,5 @@ def suppress(people: DataFrame, blocked: DataFrame) -> DataFrame:
     shuffle and one anti join.  People without a tax id, who may be many, are spread by
     customer instead of meeting in one task.
     """
-    key = F.coalesce("cpf", F.concat(F.lit("?"), F.col("chavecliente").cast("string")))
     listed = (F.col("_key") == F.col("NU_CPF")) & F.col("cpf").isNotNull()
-    return people.withColumn("_key", key).join(blocked, listed, "left_anti").drop("_key")
+    return people.withColumn("_key", _spread_key()).join(blocked, listed, "left_anti").drop("_key")

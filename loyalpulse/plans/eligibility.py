@@ -4,13 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 
 from loyalpulse.context import RunContext
 from loyalpulse.operators.consolidate import eligible
 from loyalpulse.operators.contact import contact_credit, contact_points
 from loyalpulse.operators.sampling import draw
-from loyalpulse.operators.suppression import blocked_ids, suppress
+from loyalpulse.operators.suppression import (
+    blocked_ids,
+    listed_ids,
+    observed_reasons,
+    suppress,
+    suppress_counted,
+)
 from loyalpulse.operators.touchpoints import Sources
 from loyalpulse.plans.stages import StageLog
 from loyalpulse.rules import STRATA, Stratum
@@ -46,13 +52,22 @@ def surveys(
 def run_eligibility(
     sources: Sources, ctx: RunContext, workspace: Workspace, strata: Sequence[Stratum] = STRATA
 ) -> StageLog:
-    """The run with each of its four results written and read back."""
+    """The run with each of its four results written and read back.
+
+    ``suppressed_by_list`` says how many people each do-not-contact list removed, and how
+    many of them no other list would have; it is counted while the allowed people are written.
+    """
     log = StageLog()
     with log.timed("eligible_people"):
         people = workspace.materialize(eligible(sources, ctx), "eligible_people")
     with log.timed("unrestricted_people"):
-        allowed = suppress(people, blocked_ids(sources, ctx))
+        observation = Observation("suppressed_by_list")
+        allowed = suppress_counted(people, listed_ids(sources, ctx), observation=observation)
         allowed = workspace.materialize(allowed, "unrestricted_people")
+        reasons = people.sparkSession.createDataFrame(
+            observed_reasons(observation), "list string, blocked bigint, blocked_alone bigint"
+        )
+        workspace.materialize(reasons, "suppressed_by_list")
     for survey, rows in contacted(allowed, sources, ctx, strata).items():
         with log.timed(f"survey_{survey}"):
             workspace.materialize(rows, f"survey_{survey}")

@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+from datetime import date, datetime
+
 import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from fixtures import oracle
+from loyalpulse.context import RunContext
 from loyalpulse.functions.blocks import BIT, BLOCKS, mask
-from loyalpulse.operators import consolidate
+from loyalpulse.operators import consolidate, credit
 from loyalpulse.rules import ACCOUNT, ADDITIONS, CREDIT, EXCHANGES, FLAGS
+from loyalpulse.sources.schemas import TABLES
 
+CTX = RunContext(as_of=date(2024, 1, 20))
 TOUCH = ADDITIONS + EXCHANGES + ACCOUNT
 
 
@@ -133,3 +138,57 @@ def test_account_blocks_need_a_customer_and_credit_blocks_do_not(spark):
     }
     raw = people.withColumn("cpf", F.ltrim("cpf", F.lit("0")))
     assert consolidate.by_tax_id(raw, customers).first().cpf == "5"
+
+
+def stored(spark, folder, **tables):
+    for name, rows in tables.items():
+        spark.createDataFrame(rows, TABLES[name]).write.parquet(f"{folder}/{name}")
+    return {n: spark.read.schema(TABLES[n]).parquet(f"{folder}/{n}") for n in tables}
+
+
+def scans(df, *names):
+    """How often the executed plan reads each table; a reused exchange is not read again."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    lines = [line for line in plan.splitlines() if "FileScan" in line]
+    own = {"borrowers": "document#", "loans": "borrower_id#", "customers_a": "NumeroDocumento#"}
+    return [sum(own[name] in line for line in lines) for name in names]
+
+
+def test_borrowers_and_loans_are_read_once(spark, tmp_path):
+    day = datetime(2024, 1, 17, 12)
+    people = [
+        (1, "7", "ana b", "e", "1", "c", "u", date(1990, 1, 1), False),
+        (2, None, "eva", "e", "1", "c", "u", date(1990, 1, 1), False),
+        (3, "9", None, "e", "1", "c", "u", None, False),
+    ]
+    loans = [
+        (10, 1, 1, "fgts_flow", "lent", None, day, None),
+        (11, 1, 1, "fgts_flow", "lent", None, day, None),
+        (12, 2, 1, "default_flow", "lent", None, day, None),
+        (13, 3, 1, "default_flow", "settled", None, None, day),
+    ]
+    customers = [(5, "7", "Ativado", "ana", "1", day), (6, "7", "Ativado", "ana", "1", day)]
+    s = stored(
+        spark, tmp_path, borrowers=people, loans=loans, customers_a=customers, parcelas=[],
+    )
+    tables = ("borrowers", "loans", "customers_a")
+    got = credit.credit_acquired(s["borrowers"], s["loans"], s["customers_a"], CTX)
+    assert sorted((r.NU_CPF or "", r.chavecliente or 0) for r in got.collect()) == [
+        ("", 0), ("7".zfill(11), 5), ("7".zfill(11), 5), ("7".zfill(11), 6), ("7".zfill(11), 6),
+    ]
+    assert scans(got, *tables) == [1, 1, 1]
+    base = credit.credit_settled_base(s["borrowers"], s["loans"], s["parcelas"], CTX)
+    settled = credit.credit_settled(base, s["customers_a"])
+    assert [(r.NU_CPF, r.chavecliente) for r in settled.collect()] == [("9".zfill(11), None)]
+    # the loans are read for the contracts and for their instalments
+    assert all(a <= b for a, b in zip(scans(settled, *tables), (1, 2, 1)))
+    for rule in credit.CREDIT_RULES:
+        block = credit.credit_flags(rule.block, s["borrowers"], s["loans"], s["customers_a"], CTX)
+        assert scans(block, *tables) == [1, 1, 1]
+    merged = consolidate.per_tax_id(credit.credit_hits(s["loans"], s["borrowers"], CTX))
+    matched = consolidate.of_customers(merged, s["customers_a"])
+    alone = consolidate._unmatched(merged, matched)
+    assert scans(matched.unionByName(alone), "borrowers", "loans") == [1, 1]
+    both = matched.unionByName(consolidate.credit_without_customer(merged))
+    assert scans(both, *tables) == [1, 1, 1]

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 import duckdb
 import pytest
 
 import __spark_entry__ as contract
 from conftest import SF_CHECK
 from fixtures.queries import QUERIES as REFERENCE
-from fixtures.views import BASE_TABLES
 
 SQL = contract.oracle_sql()
 QUERIES = contract.queries()
@@ -21,8 +22,8 @@ TYPES = {
 @pytest.fixture(scope="module")
 def duck():
     con = duckdb.connect()
-    for table in BASE_TABLES:
-        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF_CHECK}/{table}.parquet'")
+    for table in Path(SF_CHECK).glob("*.parquet"):
+        con.execute(f"CREATE VIEW {table.stem} AS SELECT * FROM '{table}'")
     yield con
     con.close()
 

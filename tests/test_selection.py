@@ -6,7 +6,7 @@ from dataclasses import replace
 from datetime import date, datetime
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Observation, functions as F
 
 from loyalpulse.context import RunContext
 from loyalpulse.functions.blocks import BIT, mask
@@ -201,6 +201,56 @@ def test_quarantine(spark):
     assert [r.NU_CPF for r in suppression.active_quarantine(spread, CTX).collect()] == ["4".zfill(11)]
 
 
+def test_recent_quarantine_equals_the_full_scan_and_prunes(spark, tmp_path):
+    def send(i, day, answered, *indicators):
+        return (i, datetime(*day), answered, pairs(*indicators))
+
+    rows = [
+        send("new", (2024, 1, 10), False, ("chavecliente", "1"), ("numerocpf", "1")),
+        send("old", (2023, 1, 10), True, ("chavecliente", "2"), ("numerocpf", "2")),
+        # the repeated ids take their customer, or their largest one, from rows of years ago
+        send("z", (2020, 1, 1), True, ("chavecliente", "9")),
+        send("z", (2024, 1, 19), True, ("numerocpf", "4")),
+        send("y", (2019, 1, 1), False, ("chavecliente", "8"), ("numerocpf", "9")),
+        send("y", (2024, 1, 19), True, ("chavecliente", "7"), ("numerocpf", "3")),
+        send(None, (2020, 1, 1), True, ("chavecliente", "5")),
+        send(None, (2024, 1, 19), True, ("numerocpf", "6")),
+        ("x", None, True, pairs(("chavecliente", "3"))),
+        ("x", datetime(2024, 1, 19), True, pairs(("numerocpf", "3"))),
+    ]
+    sends = table(spark, "coplusites", *rows)
+    whole = {tuple(r) for r in suppression.active_quarantine(sends, CTX).collect()}
+    assert {r[0] for r in whole} == {1, 9, 8, 5, 3}
+    sends.write.parquet(str(tmp_path / "sends"))
+    stored = spark.read.schema(sends.schema).parquet(str(tmp_path / "sends"))
+    pruned = suppression.recent_quarantine(stored, CTX)
+    assert {tuple(r) for r in pruned.collect()} == whole
+    plan = pruned._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(createdAt" in plan
+
+
+def test_reasons_are_counted_per_list_and_alone(spark):
+    people = spark.createDataFrame(
+        [("1", 1), ("2", 2), ("3", 3), ("4", 4), (None, 5), (None, None)],
+        "cpf string, chavecliente bigint",
+    )
+    names = ("a", "b", "c")
+    listed = spark.createDataFrame([("1", 1), ("2", 3), ("4", 2), ("9", 7)], "NU_CPF string, lists int")
+    counts = suppression.reason_counts(suppression.mark_listed(people, listed), names).collect()
+    assert {tuple(r) for r in counts} == {("a", 2, 1), ("b", 2, 1), ("c", 0, 0)}
+    seen = Observation("reasons")
+    kept = suppression.suppress_counted(people, listed, names, seen)
+    assert {tuple(r) for r in kept.collect()} == {("3", 3), (None, 5), (None, None)}
+    assert set(suppression.observed_reasons(seen, names)) == {tuple(r) for r in counts}
+    assert seen.get["people"] == 6
+    same = suppression.suppress(people, listed.select("NU_CPF"))
+    assert {tuple(r) for r in same.collect()} == {tuple(r) for r in kept.collect()}
+    plan = kept._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("Join") == 1
+    nobody = suppression.reason_counts(suppression.mark_listed(people.limit(0), listed), names)
+    assert {tuple(r) for r in nobody.collect()} == {(n, 0, 0) for n in names}
+
+
 def test_a_rule_with_an_unknown_column_is_refused(spark):
     facts, partners = (spark.createDataFrame([], TABLES[t]) for t in ("extrato", "parceiros"))
     rule = replace(touchpoints.LEDGER_RULES[0], where={"nivel_2": ("online",)})
