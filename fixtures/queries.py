@@ -15,7 +15,7 @@ from loyalpulse.functions.blocks import has_any
 from loyalpulse.functions.dates import dates_as_text
 from loyalpulse.operators import consolidate, contact, credit, history, monthly, sampling
 from loyalpulse.operators import suppression, touchpoints, weekly
-from loyalpulse.operators.forecast import weekly_forecast
+from loyalpulse.operators.forecast import Models, weekly_forecast
 from loyalpulse.plans import eligibility
 from loyalpulse.rules import ACCOUNT, CREDIT, CREDIT_RULES, FLAGS
 
@@ -201,6 +201,44 @@ def forecasted_literal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(weekly_forecast(series(spark, sf_dir, ctx, ()), ctx))
 
 
+def forecasted_means(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same run with both orders (0, 0), which SQL can compute."""
+    means = Models(score=(0, 0), respondents=(0, 0))
+    return rounded(weekly_forecast(series(spark, sf_dir), SERIES, KEYS, models=means))
+
+
+def forecast_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What must hold of the fitted forecasts of every series, whatever their digits."""
+    weeks = weekly_forecast(series(spark, sf_dir), SERIES, KEYS)
+    ahead = weeks.filter("nps IS NULL")
+    value, volume = "forecast_value", "respondentes_fcst"
+    lower, upper = "confidence_interval_lower_bound", "confidence_interval_upper_bound"
+    by_week = Window.partitionBy(*KEYS).orderBy("id")
+    width = F.col(upper) - F.col(lower)
+    widths = ahead.withColumn("narrower", width < F.lag(width).over(by_week) - 1e-9)
+    observed = weeks.groupBy(*KEYS).agg(
+        F.count("nps").alias("observed_weeks"),
+        F.count_if(F.col("nps").isNotNull() & F.col(value).isNotNull()).alias("forecasts_in_the_past"),
+        F.avg("nps").alias("_mean"),
+        F.stddev_pop("nps").alias("_sd"),
+    )
+    checked = widths.join(observed, list(KEYS))
+    return checked.groupBy(*KEYS).agg(
+        F.count("*").alias("forecast_weeks"),
+        F.max("observed_weeks").alias("observed_weeks"),
+        F.max("forecasts_in_the_past").alias("forecasts_in_the_past"),
+        F.every((F.col(lower) <= F.col(value)) & (F.col(value) <= F.col(upper))).alias("inside_bounds"),
+        F.every(~F.coalesce("narrower", F.lit(False))).alias("bounds_widen"),
+        # a moving average of order 1 knows nothing beyond the first week
+        (F.max(F.when(F.col("id") > F.col("observed_weeks") + 1, F.col(volume)))
+         - F.min(F.when(F.col("id") > F.col("observed_weeks") + 1, F.col(volume))) < 1e-6)
+        .alias("volume_is_flat"),
+        F.every(F.abs(F.col(value) - F.col("_mean")) <= 6 * F.col("_sd")).alias("near_the_level"),
+        F.every(width <= 2 * 0.6745 * 1.5 * F.col("_sd")).alias("no_wider_than_the_series"),
+        F.count_if(F.col("status").isNull() | F.col("respondents_status").isNull()).alias("without_status"),
+    )
+
+
 def with_series_means(spark: SparkSession, sf_dir: str, ctx: RunContext) -> DataFrame:
     """The extended series with its own means standing in for the fitted forecasts."""
     extended = weekly.extend(series(spark, sf_dir, ctx), KEYS)
@@ -267,6 +305,8 @@ QUERIES: dict[str, Query] = {
     "series_extend": series_extend,
     "weekly_forecast": forecasted,
     "weekly_forecast_literal": forecasted_literal,
+    "weekly_forecast_mean": forecasted_means,
+    "forecast_properties": forecast_properties,
     "monthly_real": monthly_real,
     "month_weights": month_weights,
     "monthly_forecast_weighted": monthly_forecast_weighted,

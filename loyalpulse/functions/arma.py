@@ -31,6 +31,7 @@ class Forecast(NamedTuple):
     lower: list[float]
     upper: list[float]
     status: str
+    at_edge: bool = False  # the search ended where it must not go further
 
 
 def _from_partial(x: Sequence[float]) -> list[float]:
@@ -231,7 +232,8 @@ def fit_and_forecast(
     phi = phi + [0.0] * (r - p)
     shock = [1.0, *theta] + [0.0] * (r - 1 - q)
     state, cover = filtered.state, filtered.spread
-    result = Forecast([], [], [], _status(wanted, order, settled))
+    at_edge = max(map(abs, best)) > 0.99 * EDGE
+    result = Forecast([], [], [], _status(wanted, order, settled), at_edge)
     for horizon in range(1, offset + steps + 1):
         if horizon > offset:
             value = centre + spread * (filtered.mean + state[0])

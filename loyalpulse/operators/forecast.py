@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import math
+from dataclasses import dataclass
+
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loyalpulse.context import RunContext
-from loyalpulse.functions.joins import null_safe_join
 from loyalpulse.functions.arma import fit_and_forecast
-from loyalpulse.operators.weekly import Keys, future_weeks
+from loyalpulse.operators.weekly import Keys, with_future
 from loyalpulse.rules import (
     FORECAST_WEEKS,
     INTERVAL_ALPHA,
@@ -25,29 +27,63 @@ FORECAST_FIELDS = [
     T.StructField("confidence_interval_upper_bound", T.DoubleType()),
     T.StructField("respondentes_fcst", T.DoubleType()),
 ]
+STATUS_FIELDS = [
+    T.StructField("status", T.StringType()),
+    T.StructField("respondents_status", T.StringType()),
+    T.StructField("at_search_edge", T.BooleanType()),
+]
+UNOBSERVED = "no observation"
 
 
-def _forecast_one(
-    series: pd.DataFrame, keys: list[str], steps: int, alpha: float, offset: int
-) -> pd.DataFrame:
-    """Both fits of one series; a series never observed gives NULL forecasts."""
-    series = series.sort_values("id")
-    values = {
-        column: [None if pd.isna(v) else float(v) for v in series[column]]
-        for column in ("nps", "respondentes_ajustado")
-    }
-    score = fit_and_forecast(values["nps"], SCORE_ORDER, steps, alpha, offset, MAX_ITERATIONS)
+@dataclass(frozen=True)
+class Models:
+    """Orders ``(p, q)`` of the two fits, the bounds' alpha and the limit of their searches.
+
+    Order (0, 0) is the mean of the observed weeks with bounds from their deviation.
+    """
+
+    score: tuple[int, int] = SCORE_ORDER
+    respondents: tuple[int, int] = RESPONDENTS_ORDER
+    alpha: float = INTERVAL_ALPHA
+    score_iterations: int = MAX_ITERATIONS
+    respondents_iterations: int = MAX_ITERATIONS
+
+
+MODELS = Models()
+
+
+def _known(values: list[float | None]) -> list[float | None]:
+    return [None if v is None or math.isnan(v) else float(v) for v in values]
+
+
+def _fits(
+    scores: list[float | None], volumes: list[float | None], steps: int, models: Models, offset: int
+) -> dict[str, list]:
+    """The forecast columns of one series; one never observed gives NULL forecasts."""
+    score = fit_and_forecast(
+        _known(scores), models.score, steps, models.alpha, offset, models.score_iterations
+    )
     volume = fit_and_forecast(
-        values["respondentes_ajustado"], RESPONDENTS_ORDER, steps, alpha, offset, MAX_ITERATIONS
+        _known(volumes), models.respondents, steps, models.alpha, offset, models.respondents_iterations
     )
-    out = pd.DataFrame({key: [series[key].iloc[0]] * steps for key in keys})
-    out["step"] = range(1, steps + 1)
-    out["forecast_value"] = score.mean if score else None
-    out["confidence_interval_lower_bound"] = score.lower if score else None
-    out["confidence_interval_upper_bound"] = score.upper if score else None
-    out["respondentes_fcst"] = volume.mean if volume else None
-    out["status"] = score.status if score else "no observation"
-    return out
+    nothing = [None] * steps
+    return {
+        "forecast_value": score.mean if score else nothing,
+        "confidence_interval_lower_bound": score.lower if score else nothing,
+        "confidence_interval_upper_bound": score.upper if score else nothing,
+        "respondentes_fcst": volume.mean if volume else nothing,
+        "status": [score.status if score else UNOBSERVED] * steps,
+        "respondents_status": [volume.status if volume else UNOBSERVED] * steps,
+        "at_search_edge": [any(fit is not None and fit.at_edge for fit in (score, volume))] * steps,
+    }
+
+
+def _spread(rows: DataFrame, keys: list[str], parallelism: int | None) -> DataFrame:
+    """Weekly rows are few bytes but seconds of work, so the number of tasks is set by hand:
+    left alone, adaptive coalescing would put every series into one task."""
+    if parallelism is None:
+        parallelism = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(parallelism, *keys) if keys else rows
 
 
 def forecast(
@@ -55,29 +91,24 @@ def forecast(
     ctx: RunContext,
     keys: Keys = (),
     steps: int = FORECAST_WEEKS,
-    alpha: float = INTERVAL_ALPHA,
+    models: Models = MODELS,
     parallelism: int | None = None,
 ) -> DataFrame:
-    """``(keys, step, forecasts, status)`` per series.
-
-    Weekly rows are few bytes but seconds of work, so the number of tasks is set by hand:
-    left alone, adaptive coalescing would put every series into one task.
-    """
+    """``(keys, step, forecasts, statuses)`` per series."""
     keys = list(keys)
-    if parallelism is None:
-        parallelism = int(series.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    narrow = series.select(*keys, "id", "nps", "respondentes_ajustado")
-    if keys:
-        narrow = narrow.repartition(parallelism, *keys)
+    offset = ctx.horizon_offset
+    narrow = _spread(series.select(*keys, "id", "nps", "respondentes_ajustado"), keys, parallelism)
     schema = T.StructType(
         [series.schema[key] for key in keys]
-        + [T.StructField("step", T.IntegerType()), *FORECAST_FIELDS]
-        + [T.StructField("status", T.StringType())]
+        + [T.StructField("step", T.IntegerType()), *FORECAST_FIELDS, *STATUS_FIELDS]
     )
-    offset = ctx.horizon_offset
 
     def one(group: pd.DataFrame) -> pd.DataFrame:
-        return _forecast_one(group, keys, steps, alpha, offset)
+        group = group.sort_values("id")
+        columns = ([*map(float, group[c])] for c in ("nps", "respondentes_ajustado"))
+        out = pd.DataFrame({key: [group[key].iloc[0]] * steps for key in keys})
+        out["step"] = range(1, steps + 1)
+        return out.assign(**_fits(*columns, steps, models, offset))
 
     return narrow.groupBy(*keys).applyInPandas(one, schema)
 
@@ -87,21 +118,37 @@ def weekly_forecast(
     ctx: RunContext,
     keys: Keys = (),
     steps: int = FORECAST_WEEKS,
+    models: Models = MODELS,
     parallelism: int | None = None,
 ) -> DataFrame:
     """The series followed by its forecast weeks; only those rows carry forecasts.
 
-    ``status`` tells how the score was fitted.  A NULL is a key like any other.
-
-    The weekly rows are used three times (as they are, to fit, to extend), so give a
-    stored series, as the weekly run does, rather than one still to be computed from
-    the answers.
+    ``status`` and ``respondents_status`` tell how the two were fitted, ``at_search_edge`` whether
+    a search ended on its bound.  A NULL is a key like any other.  Each series is extended, fitted and given its forecasts in one pass, so
+    what it is computed from is read once.
     """
     keys = list(keys)
-    fields = [*FORECAST_FIELDS, T.StructField("status", T.StringType())]
-    predicted = forecast(series, ctx, keys, steps, parallelism=parallelism)
-    ahead = null_safe_join(
-        future_weeks(series, keys, steps, week_key=ctx.week_key), predicted, [*keys, "step"], "left"
-    ).drop("step")
-    nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in fields]
-    return series.select("*", *nulls).unionByName(ahead)
+    offset = ctx.horizon_offset
+    rows = with_future(series, keys, steps, week_key=ctx.week_key)
+    fields = [*FORECAST_FIELDS, *STATUS_FIELDS]
+    schema = T.StructType([*rows.schema.fields, *fields])
+    arrow = {"double": pa.float64(), "string": pa.string(), "boolean": pa.bool_()}
+
+    def attach(table: pa.Table) -> pa.Table:
+        step = table["step"].to_pylist()
+        ids = table["id"].to_pylist()
+        given = sorted((i for i, s in enumerate(step) if s == 0), key=lambda i: (ids[i] is not None, ids[i] or 0))
+        scores, volumes = (
+            [column[i] for i in given]
+            for column in (table["nps"].to_pylist(), table["respondentes_ajustado"].to_pylist())
+        )
+        fitted = _fits(scores, volumes, steps, models, offset)
+        for field in fields:
+            column = [fitted[field.name][s - 1] if s else None for s in step]
+            table = table.append_column(
+                field.name, pa.array(column, type=arrow[field.dataType.simpleString()])
+            )
+        return table
+
+    spread = _spread(rows, keys, parallelism)
+    return spread.groupBy(*keys).applyInArrow(attach, schema).drop("step")

@@ -122,28 +122,28 @@ def spine(weeks: DataFrame, keys: Keys = (), full_rate: float = SAMPLE_RATE_AFTE
     )
 
 
-def future_weeks(
+def with_future(
     series: DataFrame,
     keys: Keys = (),
     steps: int = FORECAST_WEEKS,
     full_rate: float = SAMPLE_RATE_AFTER,
     week_key: str = "iso",
 ) -> DataFrame:
-    """The ``steps`` weeks after the last one of each series, unobserved, plus ``step``.
+    """The series and the ``steps`` unobserved weeks after the last one, told apart by ``step``.
 
-    ``week_key`` is the context's: it says which year a week across New Year belongs to.
+    ``step`` is 0 for the weeks given and counts the weeks after them.  The last row of a
+    series generates them, so the series is read once; its window is the one that numbers
+    the weeks.  ``week_key`` is the context's: it says which year a week across New Year
+    belongs to.
     """
-    last = series.groupBy(*keys).agg(
-        F.max("id").alias("_id"),
-        F.max_by("monday", "id").alias("_monday"),
-        F.max_by("data_atualizacao", "id").alias("data_atualizacao"),
-    )
-    ahead = last.filter(F.col("_id").isNotNull()).select(
-        "*", F.explode(F.sequence(F.lit(1), F.lit(steps))).alias("step")
-    )
-    monday = F.date_add("_monday", F.col("step") * WEEK_DAYS)
+    later = F.lead("id").over(Window.partitionBy(*keys).orderBy("id"))
+    is_last = F.col("id").isNotNull() & later.isNull()
+    generated = F.when(is_last, F.sequence(F.lit(0), F.lit(steps))).otherwise(F.array(F.lit(0)))
+    rows = series.withColumn("_steps", generated)
+    rows = rows.select("*", F.explode("_steps").alias("step")).drop("_steps")
+    monday = F.date_add("monday", F.col("step") * WEEK_DAYS)
     unobserved = {
-        "id": F.col("_id") + F.col("step"),
+        "id": F.col("id") + F.col("step"),
         "monday": monday,
         "year": F.year(monday) if week_key == "calendar" else F.extract(F.lit("YEAROFWEEK"), monday),
         "isoweek": F.weekofyear(monday),
@@ -152,16 +152,28 @@ def future_weeks(
         "data_atualizacao": F.col("data_atualizacao"),
     }
     columns = [
-        unobserved.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name)
+        F.when(F.col("step") == 0, F.col(f.name))
+        .otherwise(unobserved.get(f.name, F.lit(None)).cast(f.dataType))
+        .alias(f.name)
         for f in series.schema
         if f.name not in keys
     ]
-    return ahead.select(*keys, *columns, "step")
+    return rows.select(*keys, *columns, "step")
+
+
+def future_weeks(
+    series: DataFrame,
+    keys: Keys = (),
+    steps: int = FORECAST_WEEKS,
+    full_rate: float = SAMPLE_RATE_AFTER,
+    week_key: str = "iso",
+) -> DataFrame:
+    """The ``steps`` weeks after the last one of each series, unobserved, plus ``step``."""
+    return with_future(series, keys, steps, full_rate, week_key).filter("step > 0")
 
 
 def extend(
     series: DataFrame, keys: Keys = (), steps: int = FORECAST_WEEKS, week_key: str = "iso"
 ) -> DataFrame:
     """The series followed by its unobserved weeks."""
-    ahead = future_weeks(series, keys, steps, week_key=week_key)
-    return series.unionByName(ahead.drop("step"))
+    return with_future(series, keys, steps, week_key=week_key).select(series.columns)
