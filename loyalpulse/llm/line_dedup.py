@@ -6,6 +6,10 @@ lines that share one meet.  Before their whole sets are compared, pairs are filt
 size, by the places of the shared word, and by a 64-bit parity map of the sets, whose
 differing bits are at most the differing words.  All filters are exact.
 
+A line is repeated if any earlier one is alike, so a set is first checked against its
+earliest candidate alone, which settles nearly all members of a group of near copies; only
+sets still open are checked against their other candidates.
+
 Rarity is counted over all lines in a table of fixed size by word hash.  Any order of words
 keeps the join exact; words that share a cell only make a prefix a little commoner.
 """
@@ -17,36 +21,35 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loyalpulse.llm.store import stored
-from loyalpulse.llm.verify import confirmed
+from loyalpulse.llm.store import discard, stored
 from loyalpulse.llm.words import NEWLINE, mix, utf8, word_hashes
 
 PERCENT = 80
-#: Lines with fewer distinct words are left alone unless a caller asks; the registered query
-#: and the pipeline pass 1, so every line with a word takes part there.
-LEAST_WORDS = 5
+#: Lines with fewer distinct words take no part; with 1, every line with a word does.
+LEAST_WORDS = 1
 CELLS = 1 << 18
 #: Rows of one prefix word that are compared at once; commoner words go another, exact way.
 SMALL = 512
+#: Bits of the table that tells whose whole sets may be needed.
+WANTED = 1 << 24
 _CHUNK = 1 << 13
 _RUN = 1 << 18
 
 
-def word_set(line: np.ndarray) -> np.ndarray:
-    return np.unique(word_hashes(line)[0])
-
-
 @dataclass
 class Run:
-    """Some documents in a row, every line ended: words by line, lines by document."""
+    """Some documents in a row, every line ended: words by line, lines by document and copy.
+
+    ``copy`` tells apart texts of one document id; it is the hash of the text.
+    """
 
     hashes: np.ndarray
     line: np.ndarray
     doc: np.ndarray
+    copy: np.ndarray
     number: np.ndarray
 
 
@@ -55,10 +58,11 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[Run]:
     end = np.array([NEWLINE], dtype=np.uint8)
     for batch in batches:
         held, ids, size = [], [], 0
-        for doc, text in zip(batch.column("doc_id").to_pylist(), utf8(batch.column("text")), strict=True):
-            if text is not None and doc is not None and len(text):
+        keys = zip(batch.column("doc_id").to_pylist(), batch.column("copy").to_pylist(), strict=True)
+        for key, text in zip(keys, utf8(batch.column("text")), strict=True):
+            if text is not None and key[0] is not None and len(text):
                 held += [text, end]
-                ids.append(doc)
+                ids.append(key)
                 size += len(text)
             if size > _RUN:
                 yield _run(held, ids)
@@ -67,45 +71,64 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[Run]:
             yield _run(held, ids)
 
 
-def _run(held: list[np.ndarray], ids: list[int]) -> Run:
+def _run(held: list[np.ndarray], ids: list[tuple[int, int]]) -> Run:
     data = np.concatenate(held)
     ends = np.flatnonzero(data == NEWLINE)
     hashes, starts, _ = word_hashes(data)
     upto = np.cumsum([len(part) for part in held])[1::2]
     lines = np.diff(np.searchsorted(ends, upto), prepend=0)
     number = np.arange(len(ends)) - np.repeat(np.cumsum(lines) - lines, lines)
-    doc = np.repeat(np.array(ids, dtype=np.int64), lines)
-    return Run(hashes, np.searchsorted(ends, starts), doc, number)
+    doc, copy = np.repeat(np.array(ids, dtype=np.int64).T, lines, axis=1)
+    return Run(hashes, np.searchsorted(ends, starts), doc, copy, number)
 
 
-def count_words(docs: DataFrame) -> np.ndarray:
-    """By cell, how often its words occur; as many numbers for any corpus.
+def _keyed(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", text_key().alias("copy"))
+
+
+def text_key() -> Column:
+    """What tells apart texts that share a document id."""
+    return F.xxhash64(F.col("text").cast("string"))
+
+
+def _added(parts: DataFrame, out: np.ndarray, add: np.ufunc) -> np.ndarray:
+    """``(chunk, part)`` rows of all tasks brought together in ``out``, a table of fixed size.
 
-    A task sends its sums as compact chunks, and each chunk is added up by one task.
+    Tasks send compact chunks of ``_CHUNK`` numbers, and each chunk is brought together by one task.
     """
+    kind = out.dtype
+
+    def bring(table: pa.Table) -> pa.Table:
+        total = np.zeros(_CHUNK, dtype=kind)
+        for part in table.column("part").to_pylist():
+            total = add(total, np.frombuffer(part, dtype=f"<u{len(part) // _CHUNK}").astype(kind))
+        return pa.table({"chunk": table.column("chunk").slice(0, 1), "part": [total.tobytes()]})
+
+    for row in parts.groupBy("chunk").applyInArrow(bring, "chunk int, part binary").collect():
+        out[row["chunk"] * _CHUNK : (row["chunk"] + 1) * _CHUNK] = np.frombuffer(row["part"], kind)
+    return out
+
+
+def _chunks(table: np.ndarray) -> pa.RecordBatch:
+    parts = table.reshape(-1, _CHUNK)
+    used = np.flatnonzero(parts.any(axis=1))
+    return pa.RecordBatch.from_pydict(
+        {"chunk": used.astype(np.int32), "part": [parts[i].tobytes() for i in used]},
+        schema=pa.schema([("chunk", pa.int32()), ("part", pa.binary())]),
+    )
+
+
+def count_words(docs: DataFrame) -> np.ndarray:
+    """By cell, how often its words occur; as many numbers for any corpus."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros(CELLS, dtype=np.int64)
         for run in _runs(batches):
             sums += np.bincount(_cell(run.hashes), minlength=CELLS)
-        parts = sums.reshape(-1, _CHUNK).astype("<u4" if sums.max() < 2**32 else "<u8")
-        used = np.flatnonzero(parts.any(axis=1))
-        yield pa.RecordBatch.from_pydict(
-            {"chunk": used.astype(np.int32), "sums": [parts[i].tobytes() for i in used]}
-        )
+        yield _chunks(sums.astype("<u4" if sums.max() < 2**32 else "<u8"))
 
-    def add(table: pa.Table) -> pa.Table:
-        total = np.zeros(_CHUNK, dtype=np.int64)
-        for sums in table.column("sums").to_pylist():
-            total += np.frombuffer(sums, dtype=f"<u{len(sums) // _CHUNK}").astype(np.int64)
-        return pa.table({"chunk": table.column("chunk").slice(0, 1), "sums": [total.tobytes()]})
-
-    schema = "chunk int, sums binary"
-    counted = docs.select("doc_id", "text").mapInArrow(count, schema).groupBy("chunk").applyInArrow(add, schema)
-    out = np.zeros(CELLS, dtype=np.int64)
-    for row in counted.collect():
-        out[row["chunk"] * _CHUNK : (row["chunk"] + 1) * _CHUNK] = np.frombuffer(row["sums"], np.int64)
-    return out
+    parts = docs.mapInArrow(count, "chunk int, part binary")
+    return _added(parts, np.zeros(CELLS, dtype=np.int64), np.add)
 
 
 def ranks(counts: np.ndarray) -> np.ndarray:
@@ -146,8 +169,15 @@ def _prefix(size: np.ndarray, percent: int) -> np.ndarray:
     return size - -(-percent * size // 100) + 1
 
 
-def prefixes(docs: DataFrame, rank: np.ndarray, percent: int, least: int) -> DataFrame:
-    """A row for every prefix word of the set of every line.
+def _lists(values: np.ndarray, starts: np.ndarray, many: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Offsets and values of the slices of ``many`` values at ``starts``."""
+    offsets = np.concatenate([[0], np.cumsum(many)])
+    place = np.arange(offsets[-1]) - np.repeat(offsets[:-1], many)
+    return offsets.astype(np.int32), values[np.repeat(starts, many) + place]
+
+
+def lines_of(docs: DataFrame, rank: np.ndarray, percent: int, least: int) -> DataFrame:
+    """Every line that takes part, with the prefix words of the first of its set in a run.
 
     A set too small to be alike any but its equal (at 80 %, of fewer than 4 words) has none.
     """
@@ -155,39 +185,33 @@ def prefixes(docs: DataFrame, rank: np.ndarray, percent: int, least: int) -> Dat
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for run in _runs(batches):
             line, sizes, names, bits, starts, words = _sets_of(run, rank, least)
-            _, one = np.unique(names, return_index=True)  # the earliest of the run
-            one = one[100 * sizes[one] >= percent * (sizes[one] + 1)]
-            line, sizes, names, bits, starts = (c[one] for c in (line, sizes, names, bits, starts))
-            many = _prefix(sizes, percent)
-            row = np.repeat(np.arange(len(sizes)), many)
-            place = np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many)
-            word = words[starts[row] + place] >> np.uint64(32)
-            columns = (
-                word.astype(np.uint32).view(np.int32),
-                names[row].view(np.int64),
-                run.doc[line[row]],
-                sizes[row].astype(np.int32),
-                place.astype(np.int32),
-                bits[row].view(np.int64),
-            )
-            names_of = ["word", "name", "doc", "size", "place", "bits"]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names_of)
+            one = np.zeros(len(names), dtype=bool)
+            one[np.unique(names, return_index=True)[1]] = True
+            one &= 100 * sizes >= percent * (sizes + 1)
+            offsets, prefix = _lists(words, starts, np.where(one, _prefix(sizes, percent), 0))
+            prefix = (prefix >> np.uint64(32)).astype(np.uint32).view(np.int32)
+            columns = [
+                pa.array(names.view(np.int64)),
+                pa.array(run.doc[line]),
+                pa.array(run.copy[line]),
+                pa.array(run.number[line].astype(np.int32)),
+                pa.array(sizes.astype(np.int32)),
+                pa.array(bits.view(np.int64)),
+                pa.ListArray.from_arrays(pa.array(offsets), pa.array(prefix)),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, "name doc copy line size bits prefix".split())
 
     return docs.mapInArrow(
-        emit, "word int, name bigint, doc bigint, size int, place int, bits bigint"
+        emit,
+        "name bigint, doc bigint, copy bigint, line int, size int, bits bigint, prefix array<int>",
     )
 
 
-def lines_of(docs: DataFrame, rank: np.ndarray, least: int) -> DataFrame:
-    """``(name, doc, line)`` of every line that takes part."""
-
-    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for run in _runs(batches):
-            line, _, names, *_ = _sets_of(run, rank, least)
-            columns = names.view(np.int64), run.doc[line], run.number[line].astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["name", "doc", "line"])
-
-    return docs.mapInArrow(emit, "name bigint, doc bigint, line bigint")
+def prefixes(lines: DataFrame) -> DataFrame:
+    """A row for every prefix word."""
+    return lines.selectExpr(
+        "name", "doc", "line", "size", "bits", "posexplode(prefix) AS (place, word)"
+    )
 
 
 def _small_pairs(rows: dict[str, np.ndarray], percent: int) -> tuple[np.ndarray, np.ndarray]:
@@ -214,21 +238,54 @@ def _small_pairs(rows: dict[str, np.ndarray], percent: int) -> tuple[np.ndarray,
     return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
 
 
+ROW = ["word", "name", "doc", "line", "size", "place", "bits"]
+
+
+def _first_candidates(rows: dict[str, np.ndarray], percent: int) -> list[pa.Array]:
+    """Of rows of one word each, by size and name: every later set with its earlier candidates.
+
+    A set, its earliest candidate with its place in the corpus, and the other candidates.
+    """
+    new = np.ones(len(rows["word"]), dtype=bool)
+    new[1:] = (rows["word"][1:] != rows["word"][:-1]) | (rows["name"][1:] != rows["name"][:-1])
+    rows = {c: v[new] for c, v in rows.items()}  # the earliest row of each set
+    name, doc, line = rows["name"], rows["doc"], rows["line"]
+    a, b = _small_pairs(rows, percent)
+    order = np.lexsort((name, line, doc))
+    when = np.empty_like(order)
+    when[order] = np.arange(len(order))
+    a, b = np.where(when[a] < when[b], a, b), np.where(when[a] < when[b], b, a)
+    order = np.lexsort((when[a], b))
+    a, b = a[order], b[order]
+    first = np.flatnonzero(np.diff(b, prepend=-1))
+    many = np.diff(np.append(first, len(b)))
+    offsets, others = _lists(name[a], first + 1, many - 1)
+    earliest = a[first]
+    return [
+        pa.array(name[b[first]]),
+        pa.array(name[earliest]),
+        pa.array(doc[earliest]),
+        pa.array(line[earliest]),
+        pa.ListArray.from_arrays(pa.array(offsets), pa.array(others)),
+    ]
+
+
 def candidates(rows: DataFrame, percent: int) -> DataFrame:
-    """From prefix rows, pairs of up to ``SMALL`` rows of one word; all rows of other words.
+    """From prefix rows, the candidates at words of up to ``SMALL`` rows; all rows of other words.
 
-    A pair is ``name`` and ``other``; a row of a commoner word has no ``other``.
+    Candidates of a set, ``name``, are earlier sets: ``other``, the earliest, found at
+    ``other_doc`` and ``other_line``, and ``others``.  Rows of a commoner word have no ``other``.
     """
-    names = ["word", "name", "doc", "size", "place", "bits"]
+    kinds = {"word": pa.int32(), "size": pa.int32(), "place": pa.int32(), "line": pa.int32()}
+    kept = pa.struct([(c, kinds.get(c, pa.int64())) for c in ROW if c != "name"])
     schema = pa.schema(
         [
-            ("word", pa.int32()),
             ("name", pa.int64()),
-            ("doc", pa.int64()),
-            ("size", pa.int32()),
-            ("place", pa.int32()),
-            ("bits", pa.int64()),
             ("other", pa.int64()),
+            ("other_doc", pa.int64()),
+            ("other_line", pa.int32()),
+            ("others", pa.list_(pa.int64())),
+            ("row", kept),
         ]
     )
 
@@ -236,24 +293,22 @@ def candidates(rows: DataFrame, percent: int) -> DataFrame:
         starts = np.flatnonzero(np.diff(part["word"].astype(np.int64), prepend=-(2**40)))
         counts = np.diff(np.append(starts, len(part["word"])))
         many = np.repeat(counts > SMALL, counts)
-        small = {c: v[~many] for c, v in part.items()}
-        a, b = _small_pairs(small, percent)
-        _, one = np.unique(np.stack([small["name"][a], small["name"][b]], axis=1), axis=0, return_index=True)
-        a, b = a[one], b[one]
-        columns = [np.concatenate([small[c][a], part[c][many]]) for c in names]
-        other = pa.array(np.concatenate([small["name"][b], np.zeros(many.sum(), np.int64)]))
-        known = np.arange(len(other)) < len(a)
-        other = pc.if_else(pa.array(known), other, pa.scalar(None, pa.int64()))
-        yield pa.RecordBatch.from_arrays([*map(pa.array, columns), other], schema=schema)
+        found = _first_candidates({c: v[~many] for c, v in part.items()}, percent)
+        yield pa.RecordBatch.from_arrays([*found, pa.nulls(len(found[0]), kept)], schema=schema)
+        common = {c: pa.array(v[many]) for c, v in part.items()}
+        n = len(common["name"])
+        row = pa.StructArray.from_arrays([common[f.name] for f in kept], fields=list(kept))
+        nothing = [pa.nulls(n, schema.field(i).type) for i in range(1, 5)]
+        yield pa.RecordBatch.from_arrays([common["name"], *nothing, row], schema=schema)
 
     def pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, np.ndarray] | None = None
         for batch in batches:
-            part = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in names}
+            part = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in ROW}
             if batch.num_rows == 0:
                 continue
             if held is not None:
-                part = {c: np.concatenate([held[c], part[c]]) for c in names}
+                part = {c: np.concatenate([held[c], part[c]]) for c in ROW}
             last = part["word"] == part["word"][-1]
             # the word may go on: what is released and what is held must both tell it is common
             if last.sum() > 2 * SMALL + 1:
@@ -268,10 +323,12 @@ def candidates(rows: DataFrame, percent: int) -> DataFrame:
         if held is not None:
             yield from split(held)
 
-    ordered = rows.repartition("word").sortWithinPartitions("word", "size")
+    ordered = rows.select(ROW).repartition("word")
+    ordered = ordered.sortWithinPartitions("word", "size", "name", "doc", "line")
     return ordered.mapInArrow(
         pair,
-        "word int, name bigint, doc bigint, size int, place int, bits bigint, other bigint",
+        """name bigint, other bigint, other_doc bigint, other_line int, others array<bigint>,
+        row struct<word: int, doc: bigint, line: int, size: int, place: int, bits: bigint>""",
     )
 
 
@@ -285,124 +342,178 @@ def _may_match(a: str, b: str, percent: int) -> str:
         AND bit_count({a}.bits ^ {b}.bits) <= {a}.size + {b}.size - 2 * {needed}"""
 
 
+def _wanted_bit(names: np.ndarray) -> np.ndarray:
+    return (names.view(np.uint64) & np.uint64(WANTED - 1)).astype(np.int64)
+
+
+def _wanted(found: DataFrame) -> np.ndarray:
+    """A table of bits, of fixed size, that covers the names of all sets in ``found``."""
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.zeros(WANTED, dtype=bool)
+        for batch in batches:
+            others = batch.column("others").flatten()
+            for names in (batch.column("name"), batch.column("other").drop_null(), others):
+                bits[_wanted_bit(names.to_numpy(zero_copy_only=False).astype(np.int64))] = True
+        yield _chunks(np.packbits(bits))
+
+    parts = found.select("name", "other", "others").mapInArrow(mark, "chunk int, part binary")
+    return _added(parts, np.zeros(WANTED // 8, dtype=np.uint8), np.bitwise_or)
+
+
+def whole_sets(docs: DataFrame, rank: np.ndarray, wanted: np.ndarray, least: int) -> DataFrame:
+    """``(name, words)``, once per set whose bit is in ``wanted``: the hashes of all its words."""
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.unpackbits(wanted).astype(bool)
+        for run in _runs(batches):
+            _, sizes, names, _, starts, words = _sets_of(run, rank, least)
+            one = np.unique(names, return_index=True)[1]
+            one = one[bits[_wanted_bit(names[one])]]
+            offsets, held = _lists(words, starts[one], sizes[one])
+            lists = pa.LargeListArray.from_arrays(pa.array(offsets.astype(np.int64)), pa.array(held))
+            binary = pa.LargeBinaryArray.from_buffers(
+                pa.large_binary(), len(one), [None, pa.array(offsets.astype(np.int64) * 8).buffers()[1], lists.values.buffers()[1]]
+            )
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(names[one].view(np.int64)), binary.cast(pa.binary())], ["name", "words"]
+            )
+
+    found = docs.mapInArrow(emit, "name bigint, words binary")
+    return found.groupBy("name").agg(F.first("words").alias("words"))
+
+
+def _alike(percent: int):
+    """Keeps the pairs whose sets are alike; all pairs of a batch are intersected in one sort."""
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            sizes, parts = np.zeros(batch.num_rows, dtype=np.int64), []
+            for side in ("words_a", "words_b"):
+                held = [np.frombuffer(v, dtype=np.uint64) for v in batch.column(side).to_pylist()]
+                many = np.array([len(v) for v in held])
+                pair = np.repeat(np.arange(len(held)), many)
+                parts.append((np.concatenate(held), pair))
+                sizes += many
+            words, pair = (np.concatenate(c) for c in zip(*parts))
+            order = np.lexsort((words, pair))
+            words, pair = words[order], pair[order]
+            twice = (words[1:] == words[:-1]) & (pair[1:] == pair[:-1])
+            both = np.bincount(pair[1:][twice], minlength=batch.num_rows)
+            keep = 100 * both >= percent * (sizes - both)
+            yield batch.select(["b"]).filter(pa.array(keep))
+
+    return check
+
+
 def repeated_lines(
     docs: DataFrame, percent: int = PERCENT, least_words: int = LEAST_WORDS
 ) -> DataFrame:
-    """``(doc_id, line)`` of every line that an earlier line is alike.
+    """``(doc_id, copy, line)`` of every line that an earlier line is alike.
 
-    Lines count from 0 and are ordered by document id, then number.  Two lines are alike
-    if the Jaccard similarity of their sets of words is ``percent`` / 100 or more; whether
-    the earlier one is itself repeated does not matter.  Lines of fewer than
+    Lines count from 0 and are ordered by document id, then number; of lines with both in
+    common, those of texts that share an id, the one whose set has the smaller hash is earlier.
+    ``copy`` is ``text_key`` of the text; rows equal in id and text are one document.  Two lines
+    are alike if the Jaccard similarity of their sets of words is ``percent`` / 100 or more;
+    whether the earlier one is itself repeated does not matter.  Lines of fewer than
     ``least_words`` distinct words and documents without id or text take no part.
 
     Equal sets are merged.  Sets that meet at a word of few sets are all compared.  At a
-    commoner word a set is first checked against the earliest one there, which settles
-    most; only sets still without an earlier match are checked against all there.
+    commoner word a set is first checked against the earliest one there; only sets still
+    without an earlier match are checked against all there.
     """
-    docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    docs = _keyed(docs)
     rank = ranks(count_words(docs))
-    lines = stored(lines_of(docs, rank, least_words))
-    earliest = stored(lines.groupBy("name").agg(F.min(F.struct("doc", "line")).alias("at")))
-    found = stored(candidates(prefixes(docs, rank, percent, least_words), percent))
-    rows = (
-        found.filter("other IS NULL")
-        .groupBy("word", "name")
-        .agg(
-            F.min("doc").alias("doc"),
-            F.first("size").alias("size"),
-            F.first("place").alias("place"),
-            F.first("bits").alias("bits"),
-        )
-    )
-    met = stored(
-        rows.selectExpr(
-            "word",
-            "struct(doc, name, size, place, bits) AS own",
-            "min(struct(doc, name, size, place, bits)) OVER (PARTITION BY word) AS head",
-        )
-    )
+    lines = stored(lines_of(docs, rank, percent, least_words))
+    found = stored(candidates(prefixes(lines.filter("size(prefix) > 0")), percent))
+    sets = stored(whole_sets(docs, rank, _wanted(found), least_words))
 
-    def in_order(pairs: DataFrame) -> DataFrame:
-        """``(a, b)`` with the earlier set first."""
-        one = earliest.selectExpr("name AS x", "at AS at_x")
-        other = earliest.selectExpr("name AS y", "at AS at_y")
-        both = pairs.distinct().join(one, "x").join(other, "y")
-        return both.selectExpr(
-            "if(at_x < at_y, x, y) AS a", "if(at_x < at_y, y, x) AS b"
-        )
+    def alike(pairs: DataFrame) -> DataFrame:
+        """The ``b`` of pairs ``(a, b)`` that are alike."""
+        one = sets.selectExpr("name AS a", "words AS words_a")
+        other = sets.selectExpr("name AS b", "words AS words_b")
+        both = pairs.join(one, "a").join(other, "b").select("b", "words_a", "words_b")
+        return both.mapInArrow(_alike(percent), "b bigint").distinct()
 
-    def check(pairs: DataFrame) -> DataFrame:
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("name")).distinct()
-        places = earliest.join(wanted, "name", "left_semi").selectExpr(
-            "name AS id", "at.doc AS doc_id", "at.line AS line"
-        )
-        every = docs.selectExpr("doc_id", "posexplode(split(text, '\\n', -1)) AS (n, text)")
-        every = every.selectExpr("doc_id", "CAST(n AS BIGINT) AS line", "text")
-        texts = stored(every.join(places, ["doc_id", "line"]).select("id", "text").dropDuplicates(["id"]))
-        return stored(confirmed(pairs, texts, word_set, percent))
-
-    heads = met.filter("own.name <> head.name AND " + _may_match("own", "head", percent))
-    first = stored(
-        in_order(
-            heads.selectExpr("head.name AS x", "own.name AS y").unionByName(
-                found.filter("other IS NOT NULL").selectExpr("name AS x", "other AS y")
+    met = stored(
+        found.filter("other IS NULL")
+        .groupBy("row.word", "name")
+        .agg(F.min(F.struct("row.doc", "row.line", "name", "row.size", "row.place", "row.bits")).alias("own"))
+    )
+    head = met.groupBy("word").agg(F.min("own").alias("head"))
+    heads = met.join(head, "word").filter("own.name <> head.name AND " + _may_match("own", "head", percent))
+    first = (
+        found.filter("other IS NOT NULL")
+        .selectExpr("name AS b", "struct(other_doc AS doc, other_line AS line, other AS name) AS earliest")
+        .unionByName(
+            heads.selectExpr(
+                "name AS b", "struct(head.doc AS doc, head.line AS line, head.name AS name) AS earliest"
             )
         )
+        .groupBy("b")
+        .agg(F.min("earliest").alias("earliest"))
+        .selectExpr("earliest.name AS a", "b")
     )
-    settled = check(first).select(F.col("b").alias("name")).distinct()
-    open_ = met.withColumn("name", F.col("own.name")).join(settled, "name", "left_anti")
+    settled = stored(alike(first))
+    named = settled.withColumnRenamed("b", "name")
+    open_ = found.filter("size(others) > 0").select("name", "others").join(named, "name", "left_anti")
+    p = met.join(named, "name", "left_anti").select("word", F.col("own").alias("p"))
     rest = (
-        open_.select("word", F.col("own").alias("p"))
-        .join(met.select("word", F.col("own").alias("q")), "word")
-        .filter("p.name <> q.name AND q.doc <= p.doc AND " + _may_match("p", "q", percent))
-        .selectExpr("q.name AS x", "p.name AS y")
+        p.join(met.select("word", F.col("own").alias("q")), "word")
+        .filter(
+            "struct(q.doc, q.line, q.name) < struct(p.doc, p.line, p.name) AND "
+            + _may_match("p", "q", percent)
+        )
+        .selectExpr("q.name AS a", "p.name AS b")
+        .unionByName(open_.selectExpr("explode(others) AS a", "name AS b"))
     )
-    rest = stored(in_order(rest).join(first, ["a", "b"], "left_anti"))
-    later = settled.unionByName(check(rest).select(F.col("b").alias("name"))).distinct()
-    known = earliest.join(later.withColumn("later", F.lit(True)), "name", "left")
+    later = stored(settled.unionByName(alike(rest.distinct())).distinct())
+    discard(found, sets, met, settled)
+    earliest = lines.groupBy("name").agg(F.min(F.struct("doc", "line", "copy")).alias("at"))
+    known = earliest.join(later.selectExpr("b AS name", "true AS later"), "name", "left")
     return (
         lines.join(known, "name")
-        .filter("later OR struct(doc, line) > at")
-        .select(F.col("doc").alias("doc_id"), "line")
+        .filter("later OR struct(doc, line, copy) > at")
+        .selectExpr("doc AS doc_id", "copy", "CAST(line AS BIGINT) AS line")
         .distinct()
     )
 
 
-def per_document(docs: DataFrame, **how) -> DataFrame:
-    """``(doc_id, n_lines, n_removed, removed)``, the last the removed lines in order."""
+def _with_removed(docs: DataFrame, **how) -> DataFrame:
+    """The rows with ``_gone``, their repeated lines in order, null where there are none."""
     gone = (
         repeated_lines(docs, **how)
-        .groupBy("doc_id")
-        .agg(F.sort_array(F.collect_list("line")).alias("removed"))
-        .withColumnRenamed("doc_id", "_doc")
+        .groupBy("doc_id", "copy")
+        .agg(F.sort_array(F.collect_list("line")).alias("_gone"))
+        .withColumnsRenamed({"doc_id": "_doc", "copy": "_copy"})
     )
-    counted = docs.select(
-        F.col("doc_id").cast("bigint").alias("doc_id"),
-        F.coalesce(
-            F.when(F.length("text") > 0, F.regexp_count("text", F.lit("\n")) + 1), F.lit(0)
-        ).cast("bigint").alias("n_lines"),
-    )
-    return counted.join(gone, counted.doc_id == gone._doc, "left").selectExpr(
-        "doc_id",
-        "n_lines",
-        "CAST(coalesce(size(removed), 0) AS BIGINT) AS n_removed",
-        "coalesce(removed, array()) AS removed",
+    same = (F.col("doc_id").cast("bigint") == F.col("_doc")) & (text_key() == F.col("_copy"))
+    return docs.join(gone, same, "left").drop("_doc", "_copy")
+
+
+def per_document(docs: DataFrame, **how) -> DataFrame:
+    """``(doc_id, n_lines, n_removed, removed)`` of every row, the last its removed lines in order.
+
+    Null and empty texts have no lines; texts that share an id are answered each.
+    """
+    return _with_removed(docs.select("doc_id", "text"), **how).selectExpr(
+        "CAST(doc_id AS BIGINT) AS doc_id",
+        "CAST(coalesce(if(length(text) > 0, regexp_count(text, '\n') + 1, 0), 0) AS BIGINT) AS n_lines",
+        "CAST(coalesce(size(_gone), 0) AS BIGINT) AS n_removed",
+        "coalesce(_gone, array()) AS removed",
     )
 
 
 def without_repeated_lines(docs: DataFrame, **how) -> DataFrame:
     """The documents without their repeated lines; those left without a word go.
 
-    ``n_chars``, where there is one, follows the text.
+    ``n_chars``, where there is one, follows the text.  Documents without id or text, and
+    rows none of whose lines are repeated, stay as they are.
     """
-    gone = (
-        repeated_lines(docs, **how)
-        .groupBy("doc_id")
-        .agg(F.collect_list("line").alias("_gone"))
-        .withColumnRenamed("doc_id", "_doc")
-    )
     kept = "array_join(filter(split(text, '\\n', -1), (l, i) -> NOT array_contains(_gone, CAST(i AS BIGINT))), '\\n')"
-    joined = docs.join(gone, docs.doc_id.cast("bigint") == gone._doc, "left").drop("_doc")
+    joined = _with_removed(docs, **how)
     changed = F.col("_gone").isNotNull()
     out = joined.withColumn("text", F.when(changed, F.expr(kept)).otherwise(F.col("text")))
     if "n_chars" in docs.columns:

@@ -42,4 +42,14 @@ def stored(df: DataFrame) -> DataFrame:
             spark.conf.unset(CLEAN_UP)
         else:
             spark.conf.set(CLEAN_UP, before)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.stored_at = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables made by ``stored`` whose last reader has been written."""
+    for table in tables:
+        spark = table.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(table.stored_at)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -52,8 +52,8 @@ def test_short_lines_go_in_the_pipeline(spark):
 
 def test_a_common_word_is_common_at_every_batch_edge(spark, monkeypatch):
     monkeypatch.setattr(line_dedup, "SMALL", 2)
-    shape = "word int, name bigint, doc bigint, size int, place int, bits bigint"
-    rows = spark.createDataFrame([(7, n, n, 10, 0, 0) for n in range(13)], shape)
+    shape = "word int, name bigint, doc bigint, line int, size int, place int, bits bigint"
+    rows = spark.createDataFrame([(7, n, n, 0, 10, 0, 0) for n in range(13)], shape)
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
     before = spark.conf.get(name)
     try:
@@ -65,6 +65,45 @@ def test_a_common_word_is_common_at_every_batch_edge(spark, monkeypatch):
         spark.conf.set(name, before)
 
 
+@pytest.mark.parametrize("turn", [1, -1])
+def test_texts_that_share_an_id_lose_no_link(spark, turn):
+    one = "alpha beta gamma delta epsilon zeta eta theta iota kappa"
+    rows = [(1, f"{one}\nfirst text"), (1, f"unlike words here\n{one} lambda"), (2, f"other\n{one} mu")]
+    docs = spark.createDataFrame(rows[::turn] + rows[:1], "doc_id bigint, text string")
+    got = {(r.doc_id, r.copy, r.line) for r in line_dedup.repeated_lines(docs).collect()}
+    copies = docs.select("text", line_dedup.text_key().alias("k")).distinct().collect()
+    key = {r.text: r.k for r in copies}
+    assert got == {(1, key[rows[1][1]], 1), (2, key[rows[2][1]], 1)}
+    kept = line_dedup.without_repeated_lines(docs).collect()
+    assert sorted(tuple(r) for r in kept) == sorted(
+        [rows[0], rows[0], (1, "unlike words here"), (2, "other")]
+    )
+
+
+def test_near_copies_of_lines_by_brute_force(spark):
+    draw = random.Random(3)
+    base = [" ".join(draw.choices("abcdefghijklmnopqrstuvwxyz", k=12)) for _ in range(4)]
+    texts = []
+    for i in range(160):
+        lines = []
+        for line in draw.sample(base, 2):
+            words = line.split()
+            for _ in range(draw.randint(0, 4)):
+                words[draw.randrange(len(words))] = draw.choice("abcdefghijklmnopqrstuvwxyz") * 2
+            lines.append(" ".join(words))
+        texts.append((i, "\n".join(lines)))
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string").repartition(5)
+    want = repeated(texts)
+    for small in (512, 4):
+        before, line_dedup.SMALL = line_dedup.SMALL, small
+        try:
+            got = line_dedup.repeated_lines(docs).collect()
+        finally:
+            line_dedup.SMALL = before
+        assert {(r.doc_id, r.line) for r in got} == want
+    assert len(want) > 100
+
+
 def found_passages(spark, texts):
     docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string").repartition(3)
     rows = passages.repeated_passages(docs).filter("kind = 'passage'").collect()
