@@ -35,6 +35,9 @@ CELLS = 1 << 18
 SMALL = 512
 #: Bits of the table that tells whose whole sets may be needed.
 WANTED = 1 << 24
+#: Words of 64 bits of the parity maps that spare most sets their whole comparison.
+MAPS = 8
+MAP_NAMES = [f"map{k}" for k in range(MAPS)]
 _CHUNK = 1 << 13
 _RUN = 1 << 18
 
@@ -122,9 +125,14 @@ def count_words(docs: DataFrame) -> np.ndarray:
     """By cell, how often its words occur; as many numbers for any corpus."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros(CELLS, dtype=np.int64)
+        sums, held = np.zeros(CELLS, dtype=np.int64), []
         for run in _runs(batches):
-            sums += np.bincount(_cell(run.hashes), minlength=CELLS)
+            held.append(_cell(run.hashes))
+            if sum(map(len, held)) > CELLS:
+                sums += np.bincount(np.concatenate(held), minlength=CELLS)
+                held = []
+        if held:
+            sums += np.bincount(np.concatenate(held), minlength=CELLS)
         yield _chunks(sums.astype("<u4" if sums.max() < 2**32 else "<u8"))
 
     parts = docs.mapInArrow(count, "chunk int, part binary")
@@ -214,6 +222,16 @@ def prefixes(lines: DataFrame) -> DataFrame:
     )
 
 
+def _by_word(rows: DataFrame) -> DataFrame:
+    """Rows of a word together, by rising size.
+
+    Word and size are one number, ``key``, as Spark sorts by one number several times faster.
+    """
+    key = "shiftleft(CAST(word AS BIGINT), 32) + size AS key"
+    keyed = rows.selectExpr("word", key, "name", "doc", "line", "place", "bits")
+    return keyed.repartition("word").sortWithinPartitions("key").drop("word")
+
+
 def _small_pairs(rows: dict[str, np.ndarray], percent: int) -> tuple[np.ndarray, np.ndarray]:
     """Rows of one word, which lie together by rising size, whose sets may be alike."""
     word, name, size, place, bits = (rows[c] for c in ("word", "name", "size", "place", "bits"))
@@ -242,10 +260,12 @@ ROW = ["word", "name", "doc", "line", "size", "place", "bits"]
 
 
 def _first_candidates(rows: dict[str, np.ndarray], percent: int) -> list[pa.Array]:
-    """Of rows of one word each, by size and name: every later set with its earlier candidates.
+    """Of rows that lie together by word and rising size: every later set with its candidates.
 
-    A set, its earliest candidate with its place in the corpus, and the other candidates.
+    A set, its earliest candidate with its place in the corpus, and the other earlier ones.
     """
+    order = np.lexsort((rows["line"], rows["doc"], rows["name"], rows["size"], rows["word"]))
+    rows = {c: v[order] for c, v in rows.items()}
     new = np.ones(len(rows["word"]), dtype=bool)
     new[1:] = (rows["word"][1:] != rows["word"][:-1]) | (rows["name"][1:] != rows["name"][:-1])
     rows = {c: v[new] for c, v in rows.items()}  # the earliest row of each set
@@ -304,9 +324,12 @@ def candidates(rows: DataFrame, percent: int) -> DataFrame:
     def pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, np.ndarray] | None = None
         for batch in batches:
-            part = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in ROW}
             if batch.num_rows == 0:
                 continue
+            names = batch.schema.names
+            part = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in names}
+            key = part.pop("key")
+            part["word"], part["size"] = (key >> 32).astype(np.int32), key.astype(np.int32)
             if held is not None:
                 part = {c: np.concatenate([held[c], part[c]]) for c in ROW}
             last = part["word"] == part["word"][-1]
@@ -323,9 +346,7 @@ def candidates(rows: DataFrame, percent: int) -> DataFrame:
         if held is not None:
             yield from split(held)
 
-    ordered = rows.select(ROW).repartition("word")
-    ordered = ordered.sortWithinPartitions("word", "size", "name", "doc", "line")
-    return ordered.mapInArrow(
+    return _by_word(rows).mapInArrow(
         pair,
         """name bigint, other bigint, other_doc bigint, other_line int, others array<bigint>,
         row struct<word: int, doc: bigint, line: int, size: int, place: int, bits: bigint>""",
@@ -362,7 +383,7 @@ def _wanted(found: DataFrame) -> np.ndarray:
 
 
 def whole_sets(docs: DataFrame, rank: np.ndarray, wanted: np.ndarray, least: int) -> DataFrame:
-    """``(name, words)``, once per set whose bit is in ``wanted``: the hashes of all its words."""
+    """Once per set whose bit is in ``wanted``: name, size, wide parity map, hashes of all words."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.unpackbits(wanted).astype(bool)
@@ -375,12 +396,39 @@ def whole_sets(docs: DataFrame, rank: np.ndarray, wanted: np.ndarray, least: int
             binary = pa.LargeBinaryArray.from_buffers(
                 pa.large_binary(), len(one), [None, pa.array(offsets.astype(np.int64) * 8).buffers()[1], lists.values.buffers()[1]]
             )
+            place = np.repeat(np.arange(len(one)), sizes[one])
+            maps = np.zeros((len(one), MAPS), dtype=np.uint64)
+            np.bitwise_xor.at(
+                maps, (place, (held >> np.uint64(6) & np.uint64(MAPS - 1)).astype(np.int64)),
+                np.uint64(1) << (held & np.uint64(63)),
+            )
             yield pa.RecordBatch.from_arrays(
-                [pa.array(names[one].view(np.int64)), binary.cast(pa.binary())], ["name", "words"]
+                [
+                    pa.array(names[one].view(np.int64)),
+                    pa.array(sizes[one].astype(np.int32)),
+                    *(pa.array(maps[:, k].view(np.int64)) for k in range(MAPS)),
+                    binary.cast(pa.binary()),
+                ],
+                ["name", "size", *MAP_NAMES, "words"],
             )
 
-    found = docs.mapInArrow(emit, "name bigint, words binary")
-    return found.groupBy("name").agg(F.first("words").alias("words"))
+    maps = ", ".join(f"{m} bigint" for m in MAP_NAMES)
+    found = docs.mapInArrow(emit, f"name bigint, size int, {maps}, words binary")
+    return found.groupBy("name").agg(*(F.first(c).alias(c) for c in found.columns[1:]))
+
+
+def _maps_allow(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs ``(a, b)`` whose wide maps differ by no more bits than alike sets can."""
+    for side in ("a", "b"):
+        maps = sets.selectExpr(
+            f"name AS {side}", f"size AS size_{side}", *(f"{m} AS {m}_{side}" for m in MAP_NAMES)
+        )
+        pairs = pairs.join(maps, side)
+    differ = " + ".join(f"bit_count({m}_a ^ {m}_b)" for m in MAP_NAMES)
+    both = "size_a + size_b"
+    return pairs.filter(
+        f"{differ} <= {both} - 2 * ceil({percent} * ({both}) / {100 + percent})"
+    ).select("a", "b")
 
 
 def _alike(percent: int):
@@ -432,10 +480,13 @@ def repeated_lines(
 
     def alike(pairs: DataFrame) -> DataFrame:
         """The ``b`` of pairs ``(a, b)`` that are alike."""
+        pairs = stored(_maps_allow(pairs, sets, percent))
         one = sets.selectExpr("name AS a", "words AS words_a")
         other = sets.selectExpr("name AS b", "words AS words_b")
         both = pairs.join(one, "a").join(other, "b").select("b", "words_a", "words_b")
-        return both.mapInArrow(_alike(percent), "b bigint").distinct()
+        confirmed = stored(both.mapInArrow(_alike(percent), "b bigint").distinct())
+        discard(pairs)
+        return confirmed
 
     met = stored(
         found.filter("other IS NULL")
@@ -456,7 +507,7 @@ def repeated_lines(
         .agg(F.min("earliest").alias("earliest"))
         .selectExpr("earliest.name AS a", "b")
     )
-    settled = stored(alike(first))
+    settled = alike(first)
     named = settled.withColumnRenamed("b", "name")
     open_ = found.filter("size(others) > 0").select("name", "others").join(named, "name", "left_anti")
     p = met.join(named, "name", "left_anti").select("word", F.col("own").alias("p"))
@@ -469,8 +520,8 @@ def repeated_lines(
         .selectExpr("q.name AS a", "p.name AS b")
         .unionByName(open_.selectExpr("explode(others) AS a", "name AS b"))
     )
-    later = stored(settled.unionByName(alike(rest.distinct())).distinct())
-    discard(found, sets, met, settled)
+    later = settled.unionByName(alike(rest.distinct()))
+    discard(found, sets, met)
     earliest = lines.groupBy("name").agg(F.min(F.struct("doc", "line", "copy")).alias("at"))
     known = earliest.join(later.selectExpr("b AS name", "true AS later"), "name", "left")
     return (
