@@ -3,12 +3,12 @@
 A line is the set of its words.  Words are ordered from rare to common; two lines of
 similarity ``percent`` / 100 share a word among the first few of each (the prefix), so only
 lines that share one meet.  Before their whole sets are compared, pairs are filtered by
-size, by the places of the shared word, and by a 64-bit parity map of the sets, whose
+size, by the places of the shared word, and by a 128-bit parity map of the sets, whose
 differing bits are at most the differing words.  All filters are exact.
 
-A line is repeated if any earlier one is alike, so a set is first checked against its
-earliest candidate alone, which settles nearly all members of a group of near copies; only
-sets still open are checked against their other candidates.
+A line is repeated if any earlier one is alike, so a set is first checked against the earlier
+candidate whose map is nearest, which settles nearly all members of a group of near copies;
+only sets still open are checked against their other candidates.
 
 Rarity is counted over all lines in a table of fixed size by word hash.  Any order of words
 keeps the join exact; words that share a cell only make a prefix a little commoner.
@@ -165,9 +165,12 @@ def _sets_of(run: Run, rank: np.ndarray, least: int):
     starts = np.flatnonzero(np.diff(line, prepend=-1))
     sizes = np.diff(np.append(starts, len(line)))
     if len(starts) == 0:
-        return line, sizes, hashes, hashes, starts, hashes
+        return line, sizes, hashes, np.empty((0, 2), dtype=np.uint64), starts, hashes
     named = np.add.reduceat(mix(hashes ^ np.uint64(0xA24BAED4963EE407)), starts)
-    bits = np.bitwise_xor.reduceat(np.uint64(1) << (hashes & np.uint64(63)), starts)
+    bit = np.uint64(1) << (hashes & np.uint64(63))
+    upper = (hashes & np.uint64(64)).astype(bool)
+    halves = (np.where(upper, np.uint64(0), bit), np.where(upper, bit, np.uint64(0)))
+    bits = np.stack([np.bitwise_xor.reduceat(half, starts) for half in halves], axis=1)
     keep = np.flatnonzero(sizes >= least)
     return line[starts[keep]], sizes[keep], mix(named[keep]), bits[keep], starts[keep], hashes
 
@@ -204,21 +207,24 @@ def lines_of(docs: DataFrame, rank: np.ndarray, percent: int, least: int) -> Dat
                 pa.array(run.copy[line]),
                 pa.array(run.number[line].astype(np.int32)),
                 pa.array(sizes.astype(np.int32)),
-                pa.array(bits.view(np.int64)),
+                pa.array(np.ascontiguousarray(bits[:, 0]).view(np.int64)),
+                pa.array(np.ascontiguousarray(bits[:, 1]).view(np.int64)),
                 pa.ListArray.from_arrays(pa.array(offsets), pa.array(prefix)),
             ]
-            yield pa.RecordBatch.from_arrays(columns, "name doc copy line size bits prefix".split())
+            names = "name doc copy line size bits more_bits prefix".split()
+            yield pa.RecordBatch.from_arrays(columns, names)
 
     return docs.mapInArrow(
         emit,
-        "name bigint, doc bigint, copy bigint, line int, size int, bits bigint, prefix array<int>",
+        """name bigint, doc bigint, copy bigint, line int, size int, bits bigint, more_bits bigint,
+        prefix array<int>""",
     )
 
 
 def prefixes(lines: DataFrame) -> DataFrame:
     """A row for every prefix word."""
     return lines.selectExpr(
-        "name", "doc", "line", "size", "bits", "posexplode(prefix) AS (place, word)"
+        "name", "doc", "line", "size", "bits", "more_bits", "posexplode(prefix) AS (place, word)"
     )
 
 
@@ -228,13 +234,19 @@ def _by_word(rows: DataFrame) -> DataFrame:
     Word and size are one number, ``key``, as Spark sorts by one number several times faster.
     """
     key = "shiftleft(CAST(word AS BIGINT), 32) + size AS key"
-    keyed = rows.selectExpr("word", key, "name", "doc", "line", "place", "bits")
+    keyed = rows.selectExpr("word", key, "name", "doc", "line", "place", "bits", "more_bits")
     return keyed.repartition("word").sortWithinPartitions("key").drop("word")
 
 
+def _apart(rows: dict[str, np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Differing bits of the maps of two rows."""
+    both = ((rows[c][i] ^ rows[c][j]).view(np.uint64) for c in ("bits", "more_bits"))
+    return sum(np.bitwise_count(x).astype(np.int32) for x in both)
+
+
 def _small_pairs(rows: dict[str, np.ndarray], percent: int) -> tuple[np.ndarray, np.ndarray]:
     """Rows of one word, which lie together by rising size, whose sets may be alike."""
-    word, name, size, place, bits = (rows[c] for c in ("word", "name", "size", "place", "bits"))
+    word, name, size, place = (rows[c] for c in ("word", "name", "size", "place"))
     found, i = [], np.arange(len(word))
     for shift in range(1, SMALL):
         i = i[i + shift < len(word)]
@@ -249,20 +261,21 @@ def _small_pairs(rows: dict[str, np.ndarray], percent: int) -> tuple[np.ndarray,
         left = np.minimum(a - place[i], b - place[j])
         fit = name[i] != name[j]
         fit &= np.minimum(place[i], place[j]) + left >= needed
-        fit &= np.bitwise_count((bits[i] ^ bits[j]).view(np.uint64)) <= a + b - 2 * needed
+        fit &= _apart(rows, i, j) <= a + b - 2 * needed
         found.append((i[fit], j[fit]))
     if not found:
         return np.empty(0, np.int64), np.empty(0, np.int64)
     return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
 
 
-ROW = ["word", "name", "doc", "line", "size", "place", "bits"]
+MAPPED = ["row.size", "row.place", "row.bits", "row.more_bits"]
+ROW = ["word", "name", "doc", "line", "size", "place", "bits", "more_bits"]
 
 
 def _first_candidates(rows: dict[str, np.ndarray], percent: int) -> list[pa.Array]:
     """Of rows that lie together by word and rising size: every later set with its candidates.
 
-    A set, its earliest candidate with its place in the corpus, and the other earlier ones.
+    A set, the earlier candidate of nearest map, how far that is, and the other earlier ones.
     """
     order = np.lexsort((rows["line"], rows["doc"], rows["name"], rows["size"], rows["word"]))
     rows = {c: v[order] for c, v in rows.items()}
@@ -275,17 +288,16 @@ def _first_candidates(rows: dict[str, np.ndarray], percent: int) -> list[pa.Arra
     when = np.empty_like(order)
     when[order] = np.arange(len(order))
     a, b = np.where(when[a] < when[b], a, b), np.where(when[a] < when[b], b, a)
-    order = np.lexsort((when[a], b))
-    a, b = a[order], b[order]
+    apart = _apart(rows, a, b)
+    order = np.lexsort((name[a], apart, b))
+    a, b, apart = a[order], b[order], apart[order]
     first = np.flatnonzero(np.diff(b, prepend=-1))
     many = np.diff(np.append(first, len(b)))
     offsets, others = _lists(name[a], first + 1, many - 1)
-    earliest = a[first]
     return [
         pa.array(name[b[first]]),
-        pa.array(name[earliest]),
-        pa.array(doc[earliest]),
-        pa.array(line[earliest]),
+        pa.array(name[a[first]]),
+        pa.array(apart[first].astype(np.int32)),
         pa.ListArray.from_arrays(pa.array(offsets), pa.array(others)),
     ]
 
@@ -293,8 +305,8 @@ def _first_candidates(rows: dict[str, np.ndarray], percent: int) -> list[pa.Arra
 def candidates(rows: DataFrame, percent: int) -> DataFrame:
     """From prefix rows, the candidates at words of up to ``SMALL`` rows; all rows of other words.
 
-    Candidates of a set, ``name``, are earlier sets: ``other``, the earliest, found at
-    ``other_doc`` and ``other_line``, and ``others``.  Rows of a commoner word have no ``other``.
+    Candidates of a set, ``name``, are earlier sets: ``other``, whose map is ``apart`` bits from
+    its own, the nearest, and ``others``.  Rows of a commoner word have no ``other``.
     """
     kinds = {"word": pa.int32(), "size": pa.int32(), "place": pa.int32(), "line": pa.int32()}
     kept = pa.struct([(c, kinds.get(c, pa.int64())) for c in ROW if c != "name"])
@@ -302,8 +314,7 @@ def candidates(rows: DataFrame, percent: int) -> DataFrame:
         [
             ("name", pa.int64()),
             ("other", pa.int64()),
-            ("other_doc", pa.int64()),
-            ("other_line", pa.int32()),
+            ("apart", pa.int32()),
             ("others", pa.list_(pa.int64())),
             ("row", kept),
         ]
@@ -318,7 +329,7 @@ def candidates(rows: DataFrame, percent: int) -> DataFrame:
         common = {c: pa.array(v[many]) for c, v in part.items()}
         n = len(common["name"])
         row = pa.StructArray.from_arrays([common[f.name] for f in kept], fields=list(kept))
-        nothing = [pa.nulls(n, schema.field(i).type) for i in range(1, 5)]
+        nothing = [pa.nulls(n, schema.field(i).type) for i in range(1, 4)]
         yield pa.RecordBatch.from_arrays([common["name"], *nothing, row], schema=schema)
 
     def pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -348,8 +359,8 @@ def candidates(rows: DataFrame, percent: int) -> DataFrame:
 
     return _by_word(rows).mapInArrow(
         pair,
-        """name bigint, other bigint, other_doc bigint, other_line int, others array<bigint>,
-        row struct<word: int, doc: bigint, line: int, size: int, place: int, bits: bigint>""",
+        """name bigint, other bigint, apart int, others array<bigint>, row struct<word: int,
+        doc: bigint, line: int, size: int, place: int, bits: bigint, more_bits: bigint>""",
     )
 
 
@@ -360,7 +371,11 @@ def _may_match(a: str, b: str, percent: int) -> str:
         100 * least({a}.size, {b}.size) >= {percent} * greatest({a}.size, {b}.size)
         AND 1 + least({a}.place, {b}.place)
               + least({a}.size - {a}.place, {b}.size - {b}.place) - 1 >= {needed}
-        AND bit_count({a}.bits ^ {b}.bits) <= {a}.size + {b}.size - 2 * {needed}"""
+        AND {_bits_apart(a, b)} <= {a}.size + {b}.size - 2 * {needed}"""
+
+
+def _bits_apart(a: str, b: str) -> str:
+    return f"(bit_count({a}.bits ^ {b}.bits) + bit_count({a}.more_bits ^ {b}.more_bits))"
 
 
 def _wanted_bit(names: np.ndarray) -> np.ndarray:
@@ -491,22 +506,19 @@ def repeated_lines(
     met = stored(
         found.filter("other IS NULL")
         .groupBy("row.word", "name")
-        .agg(F.min(F.struct("row.doc", "row.line", "name", "row.size", "row.place", "row.bits")).alias("own"))
+        .agg(F.min(F.struct("row.doc", "row.line", "name", *MAPPED)).alias("own"))
     )
     head = met.groupBy("word").agg(F.min("own").alias("head"))
     heads = met.join(head, "word").filter("own.name <> head.name AND " + _may_match("own", "head", percent))
-    first = (
-        found.filter("other IS NOT NULL")
-        .selectExpr("name AS b", "struct(other_doc AS doc, other_line AS line, other AS name) AS earliest")
-        .unionByName(
-            heads.selectExpr(
-                "name AS b", "struct(head.doc AS doc, head.line AS line, head.name AS name) AS earliest"
-            )
+    nearest = heads.selectExpr(
+        "name AS b", f"struct({_bits_apart('own', 'head')} AS apart, head.name AS name) AS nearest"
+    ).unionByName(
+        found.filter("other IS NOT NULL").selectExpr(
+            "name AS b", "struct(apart, other AS name) AS nearest"
         )
-        .groupBy("b")
-        .agg(F.min("earliest").alias("earliest"))
-        .selectExpr("earliest.name AS a", "b")
     )
+    first = nearest.groupBy("b").agg(F.min("nearest").alias("nearest"))
+    first = first.selectExpr("nearest.name AS a", "b")
     settled = alike(first)
     named = settled.withColumnRenamed("b", "name")
     open_ = found.filter("size(others) > 0").select("name", "others").join(named, "name", "left_anti")

@@ -52,8 +52,8 @@ def test_short_lines_go_in_the_pipeline(spark):
 
 def test_a_common_word_is_common_at_every_batch_edge(spark, monkeypatch):
     monkeypatch.setattr(line_dedup, "SMALL", 2)
-    shape = "word int, name bigint, doc bigint, line int, size int, place int, bits bigint"
-    rows = spark.createDataFrame([(7, n, n, 0, 10, 0, 0) for n in range(13)], shape)
+    shape = "word int, name bigint, doc bigint, line int, size int, place int, bits bigint, more_bits bigint"
+    rows = spark.createDataFrame([(7, n, n, 0, 10, 0, 0, 0) for n in range(13)], shape)
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
     before = spark.conf.get(name)
     try:
