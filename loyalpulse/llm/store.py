@@ -16,10 +16,14 @@ _own: list[str] = []
 def shared_folder(spark: SparkSession) -> str:
     """A new folder below ``spark.checkpoint.dir``.
 
-    Where the session names none (tests on one machine), a temporary folder is used.
+    Where the session names none and runs on one machine, as in tests, a temporary folder is
+    used; on a cluster, whose machines would not share it, that is an error.
     """
     root = spark.sparkContext.getConf().get(CHECKPOINT_DIR)
     if not root:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder that all machines of {master} share")
         if not _own:
             _own.append(tempfile.mkdtemp(prefix="llm-"))
         root = _own[0]

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import random
+from types import SimpleNamespace
 
 import corpus_pipeline
 import numpy as np
 import pytest
 from conftest import SF_SMALL
-from loyalpulse.llm import cap_filters, line_dedup, passages
+from loyalpulse.llm import cap_filters, line_dedup, passages, store
 from loyalpulse.llm import queries as registered
 
 
@@ -65,6 +66,21 @@ def test_a_common_word_is_common_at_every_batch_edge(spark, monkeypatch):
         spark.conf.set(name, before)
 
 
+@pytest.mark.parametrize("master", ["yarn", "spark://one:7077", "local-cluster[2,1,1024]"])
+def test_a_cluster_must_name_its_shared_folder(master):
+    context = SimpleNamespace(master=master, getConf=lambda: SimpleNamespace(get=lambda name: None))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        store.shared_folder(SimpleNamespace(sparkContext=context))
+
+
+def test_discarded_tables_are_gone(spark):
+    table = store.stored(spark.range(5))
+    assert table.count() == 5
+    store.discard(table)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist"):
+        spark.read.parquet(table.stored_at).count()
+
+
 @pytest.mark.parametrize("turn", [1, -1])
 def test_texts_that_share_an_id_lose_no_link(spark, turn):
     one = "alpha beta gamma delta epsilon zeta eta theta iota kappa"
