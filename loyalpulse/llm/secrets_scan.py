@@ -6,7 +6,11 @@ that are decoded and reported only if what they hold parses to its last byte:
 * ``token``: three base64url parts of which the first two are JSON objects, the first with
   a signing algorithm (a signed web token);
 * ``key``: a DER sequence whose nested lengths add up and that starts as private or public
-  keys and certificates do; an SSH public key; an OpenSSH private key file.
+  keys and certificates do; an SSH public key; an OpenSSH private key file.  It may stand in
+  one run, after 0x, wrapped over lines, or between BEGIN and END lines, whose line ends may
+  be escaped as in JSON.
+
+Every pattern takes time in proportion to the text, however long its runs of letters are.
 """
 
 from __future__ import annotations
@@ -16,6 +20,7 @@ import binascii
 import json
 import re
 import struct
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -33,12 +38,20 @@ _ASSIGN = re.compile(
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{12,}")
 _HEX = re.compile(r"[0-9a-f]{32,}")
 _RUN = re.compile(r"[A-Za-z0-9+/_-]{32,}={0,2}")
-_SIGNED = re.compile(r"[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{4,}\.[A-Za-z0-9_-]*")
+_URL_SAFE = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789_-")
+#: From a token's first dot: payload and signature.
+_AFTER_HEADER = re.compile(r"\.(?=([A-Za-z0-9_-]{3,}+\.[A-Za-z0-9_-]*+))")
 _ARMOR = re.compile(
-    r"-----BEGIN ([A-Z0-9 ]{3,40})-----([A-Za-z0-9+/=\s]{32,}?)-----END \1-----"
+    r"-----BEGIN ([A-Z0-9 ]{3,40})-----((?:[A-Za-z0-9+/=\s]|\\[nr])*+)-----END \1-----"
+)
+_LINE_END = re.compile(r"\\[nr]|\s+")
+#: Lines of base64 or hex that follow each other; the last may be short.
+_WRAPPED = re.compile(
+    r"(?<![A-Za-z0-9+/])((?:[A-Za-z0-9+/]{32,}+\r?\n[\x20\t]*+)++)([A-Za-z0-9+/]*+={0,2}+)"
 )
-_HEX_ONLY = re.compile(r"(?:[0-9A-Fa-f]{2})+")
+_HEX_ONLY = re.compile(r"(?:[0-9A-Fa-f]{2})++")
 SHORTEST_VALUE = 8
+SHORTEST_HEADER = 8
 
 _SEQUENCE, _INTEGER, _OBJECT_ID = 0x30, 0x02, 0x06
 _SSH_MAGIC = b"openssh-key-v1\0"
@@ -152,6 +165,47 @@ def is_signed_token(text: str) -> bool:
     return head is not None and isinstance(head.get("alg"), str) and _object(payload) is not None
 
 
+def signed_tokens(text: str) -> list[tuple[int, int]]:
+    """Starts and ends of signed tokens, none of which begins inside an earlier one.
+
+    Every dot may end a header, so a dotted word right before a token hides nothing.
+    """
+    found, end = [], 0
+    for m in _AFTER_HEADER.finditer(text):
+        dot = start = m.start()
+        while start > end and text[start - 1] in _URL_SAFE:
+            start -= 1
+        if dot - start >= SHORTEST_HEADER and is_signed_token(text[start : m.end(1)]):
+            end = m.end(1)
+            found.append((start, end))
+    return found
+
+
+def _holds_key(run: str) -> bool:
+    """A run of base64 or hex digits that decodes to a key."""
+    if _is_key(_unbase64(run)):
+        return True
+    return bool(_HEX_ONLY.fullmatch(run)) and _is_key(bytes.fromhex(run))
+
+
+def wrapped_keys(text: str) -> list[tuple[int, int]]:
+    """Starts and ends of keys that are wrapped over lines, with or without a short last line."""
+    found = []
+    for m in _WRAPPED.finditer(text):
+        whole = "".join(m[1].split())
+        if m[2] and _holds_key(whole + m[2]):
+            found.append(m.span())
+        elif _holds_key(whole):
+            found.append((m.start(), m.start() + len(m[1].rstrip())))
+    return found
+
+
+def _begins_inside(start: int, spans: list[tuple[int, int]]) -> bool:
+    """Whether one of the sorted, separate spans covers ``start``."""
+    at = bisect_right(spans, start, key=lambda span: span[0])
+    return at > 0 and start < spans[at - 1][1]
+
+
 def find_secrets(text: str) -> list[tuple[str, int, int]]:
     """``(kind, start, end)`` in code points, by start, then in the order of ``KINDS``."""
     found = []
@@ -164,26 +218,23 @@ def find_secrets(text: str) -> list[tuple[str, int, int]]:
         ]
     if "AKIA" in text:
         found += [("access", m.start(), m.end()) for m in _ACCESS.finditer(text)]
-    if "ey" in text and "." in text:
-        found += [
-            ("token", m.start(), m.end()) for m in _SIGNED.finditer(text) if is_signed_token(m[0])
-        ]
-    armored = []
+    found += [("token", a, b) for a, b in signed_tokens(text)]
+    keys = []
     if "-----BEGIN " in text:
-        armored = [
-            m.span() for m in _ARMOR.finditer(text) if _is_key(_unbase64("".join(m[2].split())))
+        keys = [
+            m.span() for m in _ARMOR.finditer(text) if _is_key(_unbase64(_LINE_END.sub("", m[2])))
         ]
-        found += [("key", a, b) for a, b in armored]
     runs = list(_RUN.finditer(text))
-    if runs:  # every long run of hex digits lies in one
+    if runs:  # every long run of hex digits, and every wrapped key, begins in one
         found += [("hex", m.start(), m.end()) for m in _HEX.finditer(text)]
+        armored = list(keys)
+        keys += [s for s in wrapped_keys(text) if not _begins_inside(s[0], armored)]
+    keys.sort()
     for m in runs:
-        if any(a <= m.start() < b for a, b in armored):
-            continue
-        if _is_key(_unbase64(m[0])) or (
-            _HEX_ONLY.fullmatch(m[0]) and _is_key(bytes.fromhex(m[0]))
-        ):
-            found.append(("key", m.start(), m.end()))
+        skip = 2 * m[0].startswith(("0x", "0X"))
+        if not _begins_inside(m.start(), keys) and _holds_key(m[0][skip:]):
+            found.append(("key", m.start() + skip, m.end()))
+    found += [("key", a, b) for a, b in keys]
     return sorted(found, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 
 
