@@ -20,7 +20,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loyalpulse.llm.components import components
-from loyalpulse.llm.store import stored
+from loyalpulse.llm.line_dedup import text_key
+from loyalpulse.llm.store import discard, stored
 from loyalpulse.llm.verify import confirmed
 from loyalpulse.llm.words import mix, shingle_set, shingle_sets, utf8
 
@@ -253,6 +254,62 @@ def near_groups(
     return found.selectExpr("id", "n", "if(id IS NULL, NULL, component) AS component")
 
 
+def with_units(docs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """``docs`` with ``_unit``, the same for rows equal in id and text, and the units made for it.
+
+    The unit of a document is its id.  Only texts that share an id with other texts get units
+    of their own, below every id: ``(_unit, _doc, _copy)``, or None where no id is shared.  Ids
+    must lie above -2 ** 62.
+    """
+    keyed = docs.withColumns({"_doc": F.col("doc_id").cast("bigint"), "_copy": text_key()})
+    several = stored(
+        keyed.filter("_doc IS NOT NULL")
+        .groupBy("_doc")
+        .agg(F.min("_copy").alias("least"), F.max("_copy").alias("most"))
+        .filter("least <> most")
+        .select("_doc")
+    )
+    if several.isEmpty():
+        discard(several)
+        return keyed.withColumn("_unit", F.col("_doc")).drop("_doc", "_copy"), None
+    lowest = min(0, keyed.agg(F.min("_doc")).first()[0])
+    made = stored(
+        keyed.select("_doc", "_copy")
+        .join(several, "_doc")
+        .distinct()
+        .withColumn("_unit", F.lit(lowest - 1) - F.monotonically_increasing_id())
+    )
+    discard(several)
+    placed = keyed.join(made, ["_doc", "_copy"], "left")
+    return placed.select(*docs.columns, F.coalesce("_unit", "_doc").alias("_unit")), made
+
+
+def _unit_groups(units: DataFrame, width: int, percent: int, rows: int, collection: int) -> DataFrame:
+    """``(_unit, n, part)`` of every row; units that are linked share a part."""
+    keys_of = partial(half_keys, rows=rows, collection=collection)
+    named = units.select(F.col("_unit").alias("id"), "text")
+    found = near_groups(named, width, percent, keys_of, tensored(collection))
+    return found.selectExpr("id AS _unit", "n", "coalesce(component, id) AS part")
+
+
+def _joined_by_id(found: DataFrame, made: DataFrame) -> DataFrame:
+    """``(doc_id, n, part)`` where the parts of one document's texts are one, named by its least id."""
+    placed = stored(
+        found.join(made.select("_unit", F.col("_doc").alias("owner")), "_unit", "left").selectExpr(
+            "coalesce(owner, _unit) AS doc_id", "n", "part", "owner IS NOT NULL AS several"
+        )
+    )
+    several = placed.filter("several").select("doc_id", "part").distinct()
+    least = several.groupBy("doc_id").agg(F.min("part").alias("a"))
+    links = several.join(least, "doc_id").select("a", F.col("part").alias("b"))
+    whole = components(links).select(F.col("node").alias("part"), F.col("component").alias("_whole"))
+    named = placed.join(whole, "part", "left").selectExpr(
+        "doc_id", "n", "coalesce(_whole, part) AS part"
+    )
+    smallest = named.groupBy("part").agg(F.min("doc_id").alias("least"))
+    return named.join(smallest, "part", "left").selectExpr("doc_id", "n", "least AS part")
+
+
 def near_duplicates(
     docs: DataFrame,
     width: int = 5,
@@ -260,24 +317,46 @@ def near_duplicates(
     rows: int = ROWS,
     collection: int = COLLECTION,
 ) -> DataFrame:
-    """``(doc_id, n_shingles, component_id, kept)`` of every document.
+    """``(doc_id, n_shingles, component_id, kept)`` of every row.
 
     A null or wordless text has no shingles and is linked with nothing.  Rows of one
-    ``doc_id`` count as one document; a row without id is no one's copy (component null,
-    kept).
+    ``doc_id`` count as one document, linked with whatever any of its texts is linked with;
+    a row without id is no one's copy (component null, kept).
     """
-    units = docs.select(F.col("doc_id").cast("bigint").alias("id"), "text")
-    keys_of = partial(half_keys, rows=rows, collection=collection)
-    found = near_groups(units, width, percent, keys_of, tensored(collection)).selectExpr(
-        "id AS doc_id", "n AS n_shingles", "coalesce(component, id) AS component_id"
+    units, made = with_units(docs)
+    found = _unit_groups(units, width, percent, rows, collection)
+    found = found.withColumnRenamed("_unit", "doc_id") if made is None else _joined_by_id(found, made)
+    return found.selectExpr(
+        "doc_id",
+        "n AS n_shingles",
+        "part AS component_id",
+        "coalesce(doc_id = part, true) AS kept",
     )
-    return found.withColumn("kept", F.expr("coalesce(doc_id = component_id, true)"))
 
 
-def without_near_duplicates(docs: DataFrame, **how) -> DataFrame:
-    """One document of each group, with all its columns; one row of each id."""
-    found = near_duplicates(docs, **how).filter("kept")
-    kept = found.filter("doc_id IS NOT NULL").select(F.col("doc_id").alias("_kept")).distinct()
-    named = docs.dropDuplicates(["doc_id"]).filter("doc_id IS NOT NULL")
-    chosen = named.join(kept, named.doc_id == kept._kept, "left_semi")
-    return chosen.unionByName(docs.filter("doc_id IS NULL"))
+def without_near_duplicates(
+    docs: DataFrame,
+    width: int = 5,
+    percent: int = 80,
+    rows: int = ROWS,
+    collection: int = COLLECTION,
+) -> DataFrame:
+    """One document of each group, that of the least id, with all its columns.
+
+    Texts that share an id are documents of their own here, so a clean one is not lost with
+    another's copy.  Of rows equal in id and text one stays; rows without id all stay.
+    """
+    units, made = with_units(docs)
+    found = _unit_groups(units, width, percent, rows, collection).filter("_unit IS NOT NULL")
+    if made is None:
+        kept = found.filter("_unit = part").select("_unit").distinct()
+    else:
+        order = F.struct(F.coalesce("_doc", "_unit").alias("doc"), "_copy", "_unit")
+        kept = (
+            found.join(made, "_unit", "left")
+            .groupBy("part")
+            .agg(F.min(order).alias("first"))
+            .select("first._unit")
+        )
+    chosen = units.filter("_unit IS NOT NULL").dropDuplicates(["_unit"]).join(kept, "_unit", "left_semi")
+    return chosen.select(docs.columns).unionByName(docs.filter("doc_id IS NULL"))

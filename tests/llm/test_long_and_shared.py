@@ -12,7 +12,7 @@ import pytest
 
 from conftest import SF_CHECK
 from loyalpulse.llm import queries as registered
-from loyalpulse.llm import secrets_scan
+from loyalpulse.llm import minhash, secrets_scan
 
 
 def part(value):
@@ -85,3 +85,36 @@ def test_base_secrets_of_a_table_by_plain_patterns(spark):
     assert {r.doc_id: (r.n_assign, r.n_access, r.n_hex, r.base_sha256) for r in got} == {
         r.doc_id: by_hand(r.text or "") for r in docs
     }
+
+
+ONE = " ".join(f"one{i}" for i in range(40))
+TWO = " ".join(f"two{i}" for i in range(40))
+THREE = " ".join(f"three{i}" for i in range(40))
+SHARED = [
+    (1, ONE), (1, TWO), (2, f"{ONE} tail"), (3, f"{TWO} tail"), (4, THREE), (5, None), (5, THREE[5:]),
+    (6, TWO), (7, "alone"), (7, "alone"), (None, ONE),
+]
+
+
+@pytest.mark.parametrize("turn", [1, -1])
+def test_near_copies_of_texts_that_share_an_id(spark, turn):
+    docs = spark.createDataFrame(SHARED[::turn], "doc_id bigint, text string").repartition(3)
+    got = {(r.doc_id, r.component_id, r.kept) for r in minhash.near_duplicates(docs).collect()}
+    assert got == {
+        (1, 1, True), (2, 1, False), (3, 1, False), (4, 4, True), (5, 4, False), (6, 1, False),
+        (7, 7, True), (None, None, True),
+    }
+    assert minhash.near_duplicates(docs).count() == len(SHARED)
+    kept = {tuple(r) for r in minhash.without_near_duplicates(docs).collect()}
+    assert kept == {(1, ONE), (1, TWO), (4, THREE), (5, None), (7, "alone"), (None, ONE)}
+
+
+def test_an_id_with_a_third_of_all_rows(spark):
+    rows = [(9, f"{ONE} {i} {i * i}" if i % 2 else f"text{i} " * 9) for i in range(200)]
+    rows += [(100 + i, f"{TWO} x{i}" if i % 3 else f"word{i}") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = minhash.near_duplicates(docs)
+    assert {(r.doc_id, r.component_id) for r in got.collect()} == {
+        (i, i if i == 9 or (i - 100) % 3 == 0 else 101) for i, _ in rows
+    }
+    assert minhash.without_near_duplicates(docs).filter("doc_id = 9").count() == 1 + 100
