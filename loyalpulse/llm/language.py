@@ -28,6 +28,8 @@ FITTED_PER_LANGUAGE = 2_000
 AMBIGUOUS_BELOW = 0.1
 _WINDOW = 1 << 17
 _SMOOTH = 0.5
+#: Texts that are labelled and handed on together.
+_LABELLED_TOGETHER = 500
 _PAIR, _TRIPLE = np.uint32(0x9E3779B1), np.uint32(0x85EBCA77)
 
 
@@ -225,23 +227,27 @@ def identify(docs: DataFrame, model: Model, keep: Sequence[str] = ("doc_id",)) -
 
     A null text and one without letters are ``und`` with score 0.
     """
-    kept = docs.select(*keep, F.col("text").alias("_text"))
+    at_hand = "text" in keep
+    given = docs.select(*keep) if at_hand else docs.select(*keep, "text")
+    kept = docs.select(*keep).schema
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [model.predict(text.as_py()) for text in batch.column("_text")]
-            lang, score, ambiguous = zip(*found, strict=True) if found else ((), (), ())
-            yield pa.RecordBatch.from_arrays(
-                [
-                    *batch.columns[:-1],
-                    pa.array(lang, pa.string()),
-                    pa.array(score, pa.float64()),
-                    pa.array(ambiguous, pa.bool_()),
-                ],
-                names=[*keep, "lang_pred", "score", "ambiguous"],
-            )
-
-    schema = kept.drop("_text").schema
+            for start in range(0, batch.num_rows, _LABELLED_TOGETHER):
+                part = batch.slice(start, _LABELLED_TOGETHER)
+                found = [model.predict(text.as_py()) for text in part.column("text")]
+                lang, score, ambiguous = zip(*found, strict=True)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *part.columns[: len(keep)],
+                        pa.array(lang, pa.string()),
+                        pa.array(score, pa.float64()),
+                        pa.array(ambiguous, pa.bool_()),
+                    ],
+                    names=[*keep, "lang_pred", "score", "ambiguous"],
+                )
+
+    schema = kept
     for name, kind in (("lang_pred", "string"), ("score", "double"), ("ambiguous", "boolean")):
         schema = schema.add(name, kind)
-    return kept.mapInArrow(label, schema)
+    return given.mapInArrow(label, schema)
