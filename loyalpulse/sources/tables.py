@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Iterable
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 
 from loyalpulse.functions.dates import dates_as_text
 from loyalpulse.operators.history import RUN_DATE
 from loyalpulse.sources.schemas import TABLES, check
+from loyalpulse.sources.versions import DATES, FULL, VersionedFolder
 
 
 def load(spark: SparkSession, table: str, location: str | None = None) -> DataFrame:
@@ -29,9 +30,12 @@ class Workspace:
     """A folder on shared storage holding a run's tables, snapshots and history.
 
     Every table written is read back from storage, so a later stage never recomputes an
-    earlier one and survives the loss of any executor.
+    earlier one and survives the loss of any executor.  Tables are versioned folders: a
+    reader sees a table as it was before a write or after it, and a table may be replaced by
+    a frame that reads it.
 
-    With ``database`` every table is also registered in the catalog under its name.
+    With ``database`` every table is also found in the catalog: a table as a view of its
+    newest version, a history as a table whose partitions point to their newest rows.
     """
 
     def __init__(self, spark: SparkSession, root: str, database: str | None = None) -> None:
@@ -39,30 +43,30 @@ class Workspace:
         self.root = root.rstrip("/")
         self.database = database
 
-    def _table(self, name: str) -> str:
-        return f"{self.root}/tables/{name}"
+    def _versions(self, name: str) -> VersionedFolder:
+        return VersionedFolder(self.spark, f"{self.root}/tables/{name}")
 
     def _layer(self, layer: str, name: str, as_of: date) -> str:
         return f"{self.root}/{layer}/{name}_{as_of.isoformat()}"
 
-    def _publish(self, name: str, partitioned: bool = False) -> None:
-        """Point the catalog entry at the folder just written."""
-        if self.database is None:
-            return
-        table = f"`{self.database}`.`{name}`"
-        self.spark.sql(f"DROP TABLE IF EXISTS {table}")
-        self.spark.sql(f"CREATE TABLE {table} USING parquet LOCATION '{self._table(name)}'")
-        if partitioned:
-            self.spark.sql(f"MSCK REPAIR TABLE {table}")
+    def _name(self, name: str) -> str:
+        return f"`{self.database}`.`{name}`"
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self._table(name))
+        """The newest version of a table or history."""
+        versions = self._versions(name)
+        if versions.partitions():
+            return self._newest_partitions(versions, self.spark.read).drop("version")
+        return self.spark.read.parquet(versions.latest())
 
     def materialize(self, df: DataFrame, name: str) -> DataFrame:
         """Create or replace a table and return it as stored."""
-        df.write.mode("overwrite").parquet(self._table(name))
-        self._publish(name)
-        return self.spark.read.schema(df.schema).parquet(self._table(name))
+        versions = self._versions(name)
+        path = f"{versions.root}/{versions.write(df)}"
+        if self.database is not None:
+            self.spark.sql(f"CREATE OR REPLACE VIEW {self._name(name)} AS SELECT * FROM parquet.`{path}`")
+        versions.expire()
+        return self.spark.read.schema(df.schema).parquet(path)
 
     def snapshot(
         self, df: DataFrame, layer: str, name: str, as_of: date, text_dates: bool = False
@@ -78,29 +82,61 @@ class Workspace:
     def replace_dates(self, df: DataFrame, name: str) -> DataFrame:
         """Replace the history of the dates in ``df`` and keep every other date.
 
-        History is partitioned by run date, so only those folders are rewritten and a
-        rerun of a day gives the same table.
+        History is partitioned by run date, so only those dates are written and a rerun of
+        a day gives the same table.
         """
-        return self._write_history(df, name, "dynamic")
+        return self._write_history(df, name, DATES)
 
     def bootstrap_history(self, df: DataFrame, name: str) -> DataFrame:
-        """Start the history anew from ``df``."""
-        return self._write_history(df, name, "static")
-
-    def _write_history(self, df: DataFrame, name: str, overwrite: str) -> DataFrame:
-        (
-            df.hint("rebalance", RUN_DATE)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", overwrite)
-            .partitionBy(RUN_DATE)
-            .parquet(self._table(name))
-        )
-        self._publish(name, partitioned=True)
+        """Start the history anew from ``df``, which may read the history itself."""
+        return self._write_history(df, name, FULL)
+
+    def _write_history(self, df: DataFrame, name: str, kind: str) -> DataFrame:
+        versions = self._versions(name)
+        written = versions.write(df.hint("rebalance", RUN_DATE), kind, RUN_DATE)
+        if self.database is not None:
+            self._publish_history(df, name, versions, written, kind)
+        versions.expire()
         return self.history(name, df)
 
+    def _publish_history(
+        self, df: DataFrame, name: str, versions: VersionedFolder, written: str, kind: str
+    ) -> None:
+        """Point the catalog's partitions of the dates just written to their new folders."""
+        table = self._name(name)
+        fields = [f for f in df.schema if f.name != RUN_DATE] + [df.schema[RUN_DATE]]
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+        self.spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet "
+            f"PARTITIONED BY ({RUN_DATE}) LOCATION '{versions.root}'"
+        )
+        known = self.spark.table(table).columns
+        added = [f"`{f.name}` {f.dataType.simpleString()}" for f in fields if f.name not in known]
+        if added:
+            self.spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({', '.join(added)})")
+        listed = {row[0] for row in self.spark.sql(f"SHOW PARTITIONS {table}").collect()}
+        newest = versions.partitions()
+        for folder in [f for f, version in newest.items() if version == written]:
+            at = f"'{versions.root}/{written}/{folder}'"
+            which = f"PARTITION ({RUN_DATE} = '{folder.partition('=')[2]}')"
+            if folder in listed:
+                self.spark.sql(f"ALTER TABLE {table} {which} SET LOCATION {at}")
+            else:
+                self.spark.sql(f"ALTER TABLE {table} ADD {which} LOCATION {at}")
+        for folder in listed - set(newest) if kind == FULL else ():
+            which = f"PARTITION ({RUN_DATE} = '{folder.partition('=')[2]}')"
+            self.spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {which}")
+
+    def _newest_partitions(self, versions: VersionedFolder, reader: DataFrameReader) -> DataFrame:
+        paths = [f"{versions.root}/{version}/{folder}" for folder, version in versions.partitions().items()]
+        return reader.option("basePath", versions.root).parquet(*paths)
+
     def history(self, name: str, like: DataFrame) -> DataFrame:
         """A history table with the columns of ``like`` in their order."""
-        return self.spark.read.schema(like.schema).parquet(self._table(name)).select(like.columns)
+        versions = self._versions(name)
+        if not versions.partitions():
+            return self.spark.createDataFrame([], like.schema)
+        return self._newest_partitions(versions, self.spark.read.schema(like.schema)).select(like.columns)
 
     def export_history(self, history: DataFrame, name: str, as_of: date) -> str:
         """Whole history as a dated gold copy."""
