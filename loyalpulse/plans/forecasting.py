@@ -6,6 +6,7 @@ from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from loyalpulse.context import RunContext
 from loyalpulse.operators.forecast import weekly_forecast
@@ -32,24 +33,38 @@ def run_weekly(
     bootstrap: bool = False,
     text_dates: bool = False,
     parallelism: int | None = None,
+    recount_from: date | None = None,
 ) -> StageLog:
     """All stages in order, each written before the next reads it.
 
     ``bootstrap`` starts the history anew; otherwise the run replaces its own date.
     ``text_dates`` writes the dates of the snapshots as yyyy-mm-dd text; ``parallelism`` is
     the number of tasks that fit the series.
+
+    With ``recount_from`` the answers and their daily counts are stored by day, and only days
+    from then on are read and counted again; the first such run counts them all.  Pass the
+    earliest day with new, late or withdrawn answers.  The snapshot of the answers then holds
+    the days counted again.  ``keys``, ``since`` and ``rate_change`` must be those of the run before.
     """
     keys = list(keys)
     day = ctx.as_of
     log = StageLog()
 
+    whole = recount_from is None or not all(map(workspace.has_dates, ("answers_daily", "answers_by_day")))
+    first = since if whole else max(since, recount_from)
+
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        if recount_from is None:
+            return workspace.materialize(df, name)
+        return workspace.replace_from(df, name, "dataref", first)
+
     with log.timed("answers_daily"):
-        daily = daily_answers(answers, keys, since=since, rate_change=rate_change)
-        daily = workspace.materialize(daily, "answers_daily")
+        daily = kept(daily_answers(answers, keys, since=first, rate_change=rate_change), "answers_daily")
+        daily = daily.filter(F.col("dataref") >= F.lit(first))
         workspace.snapshot(daily, "silver", "answers_daily", day, text_dates)
 
     with log.timed("series_weekly"):
-        counts = workspace.materialize(daily_counts(daily, keys), "answers_by_day")
+        counts = kept(daily_counts(daily, keys), "answers_by_day")
         series = workspace.materialize(spine(weekly(counts, ctx, keys), keys), "series_weekly")
         workspace.snapshot(series, "silver", "series_weekly", day, text_dates)
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession
@@ -85,30 +85,52 @@ class Workspace:
         History is partitioned by run date, so only those dates are written and a rerun of
         a day gives the same table.
         """
-        return self._write_history(df, name, DATES)
+        return self._write_dates(df, name, DATES, RUN_DATE)
 
     def bootstrap_history(self, df: DataFrame, name: str) -> DataFrame:
         """Start the history anew from ``df``, which may read the history itself."""
-        return self._write_history(df, name, FULL)
+        return self._write_dates(df, name, FULL, RUN_DATE)
 
-    def _write_history(self, df: DataFrame, name: str, kind: str) -> DataFrame:
+    def has_dates(self, name: str) -> bool:
+        """Whether a table is stored by date, so that some of its dates can be replaced."""
+        return bool(self._versions(name).partitions())
+
+    def replace_from(self, df: DataFrame, name: str, column: str, first: date) -> DataFrame:
+        """Replace every date of a table from ``first`` on, also those that ``df`` lacks.
+
+        ``column`` is the date that the table is stored by; all of ``df`` lies on ``first`` or
+        later.  Earlier dates are neither read nor written.  A table that is not stored by
+        date yet is started anew from ``df``.
+        """
+        if not self.has_dates(name):
+            return self._write_dates(df, name, FULL, column)
+        later = [
+            folder
+            for folder in self._versions(name).partitions()
+            if folder.partition("=")[2] >= first.isoformat()
+        ]
+        return self._write_dates(df, name, DATES, column, later)
+
+    def _write_dates(
+        self, df: DataFrame, name: str, kind: str, column: str, emptied: Sequence[str] = ()
+    ) -> DataFrame:
         versions = self._versions(name)
-        written = versions.write(df.hint("rebalance", RUN_DATE), kind, RUN_DATE)
+        written = versions.write(df.hint("rebalance", column), kind, column, emptied)
         if self.database is not None:
-            self._publish_history(df, name, versions, written, kind)
+            self._publish_dates(df, name, versions, written, column)
         versions.expire()
         return self.history(name, df)
 
-    def _publish_history(
-        self, df: DataFrame, name: str, versions: VersionedFolder, written: str, kind: str
+    def _publish_dates(
+        self, df: DataFrame, name: str, versions: VersionedFolder, written: str, column: str
     ) -> None:
         """Point the catalog's partitions of the dates just written to their new folders."""
         table = self._name(name)
-        fields = [f for f in df.schema if f.name != RUN_DATE] + [df.schema[RUN_DATE]]
+        fields = [f for f in df.schema if f.name != column] + [df.schema[column]]
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
         self.spark.sql(
             f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet "
-            f"PARTITIONED BY ({RUN_DATE}) LOCATION '{versions.root}'"
+            f"PARTITIONED BY ({column}) LOCATION '{versions.root}'"
         )
         known = self.spark.table(table).columns
         added = [f"`{f.name}` {f.dataType.simpleString()}" for f in fields if f.name not in known]
@@ -118,13 +140,13 @@ class Workspace:
         newest = versions.partitions()
         for folder in [f for f, version in newest.items() if version == written]:
             at = f"'{versions.root}/{written}/{folder}'"
-            which = f"PARTITION ({RUN_DATE} = '{folder.partition('=')[2]}')"
+            which = f"PARTITION ({column} = '{folder.partition('=')[2]}')"
             if folder in listed:
                 self.spark.sql(f"ALTER TABLE {table} {which} SET LOCATION {at}")
             else:
                 self.spark.sql(f"ALTER TABLE {table} ADD {which} LOCATION {at}")
-        for folder in listed - set(newest) if kind == FULL else ():
-            which = f"PARTITION ({RUN_DATE} = '{folder.partition('=')[2]}')"
+        for folder in listed - set(newest):
+            which = f"PARTITION ({column} = '{folder.partition('=')[2]}')"
             self.spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {which}")
 
     def _newest_partitions(self, versions: VersionedFolder, reader: DataFrameReader) -> DataFrame:

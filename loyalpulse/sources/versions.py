@@ -45,15 +45,24 @@ class VersionedFolder:
             if name.startswith(_PREFIX) and self._files.exists(self._path(f"{self.root}/{name}/{COMMITTED}"))
         ]
 
-    def write(self, df: DataFrame, kind: str = FULL, partition: str | None = None) -> str:
+    def write(
+        self,
+        df: DataFrame,
+        kind: str = FULL,
+        partition: str | None = None,
+        emptied: Iterable[str] = (),
+    ) -> str:
         """Writes a version and commits it; returns its name.
 
+        ``emptied`` are partition folders that have no rows from now on unless ``df`` has some.
         A write that fails leaves a folder that no reader looks at.
         """
         taken = [int(n.removeprefix(_PREFIX).split("-")[0]) for n in self._names(self.root) if n.startswith(_PREFIX)]
         name = f"{_PREFIX}{max(taken, default=0) + 1:010d}-{kind}-{uuid.uuid4().hex[:8]}"
         writer = df.write.partitionBy(partition) if partition else df.write
         writer.parquet(f"{self.root}/{name}")
+        for folder in emptied:
+            self._files.mkdirs(self._path(f"{self.root}/{name}/{folder}"))
         self._files.create(self._path(f"{self.root}/{name}/{COMMITTED}"), False).close()
         return name
 

@@ -7,6 +7,9 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
+from loyalpulse.context import RunContext
+from loyalpulse.operators.weekly import daily_answers, daily_counts
+from loyalpulse.plans.forecasting import run_weekly
 from loyalpulse.sources.tables import Workspace
 from loyalpulse.sources.versions import DATES, VersionedFolder
 
@@ -108,3 +111,50 @@ def test_the_catalog_follows_without_a_drop(spark, tmp_path):
         assert content(spark.table("versions.h")) == {(9, SECOND, 1.0)}
     finally:
         spark.sql("DROP DATABASE versions CASCADE")
+
+
+def answers_of(spark, days, changed=()):
+    """Some answers a day; ``changed`` days have others, or none."""
+    kinds = ("PROMOTOR", "NEUTRO", "DETRATOR")
+    rows = [
+        (f"s{i % 2}", date.fromordinal(d), kinds[(i + d) % 3], 1)
+        for d in days
+        for i in range(5 + d % 4 + (3 if d in changed else 0))
+    ]
+    return spark.createDataFrame(rows, "segment string, dataref date, Classificacao string, extra int")
+
+
+def test_days_counted_again_give_the_series_of_a_whole_run(spark, tmp_path):
+    start = date(2024, 1, 1).toordinal()
+    days = list(range(start, start + 70))
+    run = dict(keys=["segment"], since=date(2024, 1, 1), rate_change=date(2024, 2, 1))
+    ctx = RunContext(as_of=date(2024, 3, 18))
+    part, whole = Workspace(spark, f"{tmp_path}/part"), Workspace(spark, f"{tmp_path}/whole")
+    first = date.fromordinal(start + 66)
+    run_weekly(answers_of(spark, days), ctx, part, bootstrap=True, recount_from=first, **run)
+    assert part.table("answers_daily").agg(F.min("dataref")).first()[0] == date(2024, 1, 1)
+    # a late answer, a day withdrawn, three days more
+    later = [d for d in days if d != start + 68] + [start + 70, start + 71, start + 72]
+    answers = answers_of(spark, later, changed={start + 66})
+    run_weekly(answers, ctx, part, recount_from=first, **run)
+    run_weekly(answers, ctx, whole, bootstrap=True, **run)
+    for name in ("answers_daily", "answers_by_day", "series_weekly", "forecast_monthly"):
+        want = whole.table(name)
+        got = part.table(name).select(want.columns)
+        assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
+    snapshot = spark.read.parquet(f"{tmp_path}/part/silver/answers_daily_2024-03-18")
+    assert snapshot.agg(F.min("dataref")).first()[0] == first
+    folder = VersionedFolder(spark, f"{tmp_path}/part/tables/answers_daily")
+    newest = folder.committed()[-1]
+    written = {k.partition("=")[2] for k, v in folder.partitions().items() if v == newest}
+    assert written == {date.fromordinal(d).isoformat() for d in range(start + 66, start + 73)}
+
+
+def test_only_the_days_counted_again_are_read(spark, tmp_path):
+    ws = Workspace(spark, str(tmp_path))
+    start = date(2024, 1, 1).toordinal()
+    daily = daily_answers(answers_of(spark, range(start, start + 20)), since=date(2024, 1, 1))
+    stored = ws.replace_from(daily, "answers_daily", "dataref", date(2024, 1, 1))
+    last = daily_counts(stored.filter(F.col("dataref") >= F.lit(date(2024, 1, 20))))
+    plan = last._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(dataref" in plan and ">= 2024-01-20)]" in plan
