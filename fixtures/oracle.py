@@ -254,6 +254,16 @@ CONSOLIDATED = {
             {", ".join(f"max({flag}) AS {flag}" for flag in FLAGS)}, {REF} AS data_atualizacao
         FROM full_chain
         GROUP BY cpf, CASE WHEN cpf IS NULL THEN chavecliente END""",
+    "flags_own_touchpoint": f"""SELECT cpf, max(chavecliente) AS chavecliente,
+            {", ".join(f"max({flag}) AS {flag}" for flag in FLAGS)},
+            max(online_week) AS online_week, {REF} AS data_atualizacao
+        FROM (SELECT *, 0 AS online_week FROM full_chain
+            UNION ALL BY NAME
+            SELECT {padded("NumeroDocumento")} AS cpf, chavecliente, online_week,
+                {", ".join(f"0 AS {flag}" for flag in FLAGS)}
+            FROM ({ledger(("online_week",), f"processed BETWEEN {back(7)} AND {back(1)} AND nivel2 = 'online'")})
+            JOIN customers_a USING (chavecliente))
+        GROUP BY cpf, CASE WHEN cpf IS NULL THEN chavecliente END""",
 }
 
 # --- suppression -----------------------------------------------------------------------

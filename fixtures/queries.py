@@ -11,13 +11,13 @@ from pyspark.sql import functions as F
 
 from fixtures.views import REFERENCE_DAY, Domain
 from loyalpulse.context import RunContext
-from loyalpulse.functions.blocks import has_any
+from loyalpulse.functions.blocks import RULES, has_any
 from loyalpulse.functions.dates import dates_as_text
 from loyalpulse.operators import consolidate, contact, credit, history, monthly, sampling
 from loyalpulse.operators import suppression, touchpoints, weekly
 from loyalpulse.operators.forecast import Models, weekly_forecast
 from loyalpulse.plans import eligibility
-from loyalpulse.rules import ACCOUNT, CREDIT, CREDIT_RULES, FLAGS
+from loyalpulse.rules import ACCOUNT, CREDIT, CREDIT_RULES, FLAGS, TouchpointRule
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -103,6 +103,11 @@ def flags_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return consolidate.eligible(Domain(spark, sf_dir), CTX)
 
 
+def flags_own_touchpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    week = TouchpointRule("online_week", 1, 7, {"nivel2": ("online",)})
+    return consolidate.eligible(Domain(spark, sf_dir), CTX, RULES.with_rules("online_week", [week]))
+
+
 def one_per_person(ctx: RunContext, spark: SparkSession, sf_dir: str) -> DataFrame:
     return consolidate.eligible(Domain(spark, sf_dir), ctx)
 
@@ -324,6 +329,7 @@ QUERIES: dict[str, Query] = {
     "flags_split": flags_split,
     "flags_with_credit": flags_with_credit,
     "flags_merge": flags_merge,
+    "flags_own_touchpoint": flags_own_touchpoint,
     "one_per_person": partial(one_per_person, SPLIT),
     "one_per_person_literal": partial(one_per_person, LITERAL),
     **{f"sup_{name}": partial(one_list, name) for name in suppression.LISTS},

@@ -15,30 +15,31 @@ from loyalpulse.context import RunContext
 from loyalpulse.functions.dates import brazilian
 from loyalpulse.functions.ranking import top_row
 from loyalpulse.functions.text import as_integer, greeting, pad_id, tax_id
-from loyalpulse.operators.sampling import may_be_drawn
-from loyalpulse.rules import DEFAULT_GREETING, FLAGS, STRATA, Stratum
+from loyalpulse.operators.sampling import could_be_in
+from loyalpulse.rules import DEFAULT_GREETING, FLAGS
 
-CONTACT_COLUMNS = ("nome", "email", "telefone", "data_atualizacao", "cpf", "chavecliente", *FLAGS)
+_KEPT = ("nome", "email", "telefone", "data_atualizacao", "cpf", "chavecliente")
+CONTACT_COLUMNS = (*_KEPT, *FLAGS)
 
 
 def contact_credit(
-    drawn: DataFrame, borrowers: DataFrame, ctx: RunContext, strata: Sequence[Stratum] = STRATA
+    drawn: DataFrame, borrowers: DataFrame, ctx: RunContext, flags: Sequence[str] = tuple(FLAGS)
 ) -> DataFrame:
     """Greeting, e-mail and phone from the borrower file; one row per borrower record.
 
-    ``strata`` must be those of the draw.
+    ``flags`` are the flag columns of ``drawn`` to keep.
     """
     people = borrowers.select(
         tax_id("document", ctx.pad_ids).alias("cpf"),
         greeting("name", DEFAULT_GREETING["positivo"]).alias("nome"),
         "email",
         as_integer("mobile_number", ctx.strict_casts).alias("telefone"),
-    ).filter(may_be_drawn("cpf", "positivo", ctx, strata))
+    ).filter(could_be_in("cpf", drawn))
     return (
         drawn.drop("data_atualizacao")
         .join(people, "cpf")
         .withColumn("data_atualizacao", F.lit(brazilian(ctx.as_of)))
-        .select(*CONTACT_COLUMNS)
+        .select(*_KEPT, *flags)
     )
 
 
@@ -47,14 +48,14 @@ def contact_points(
     customers_a: DataFrame,
     contatos: DataFrame,
     ctx: RunContext,
-    strata: Sequence[Stratum] = STRATA,
+    flags: Sequence[str] = tuple(FLAGS),
 ) -> DataFrame:
     """Greeting and phone of the latest registration, e-mail of the contact file.
 
     Either table may repeat a tax id, so each is cut to one row per id before the join
     instead of ranking all their pairs after it.  Of several e-mails the largest is
-    taken; equal registration times are told apart by customer key.  ``strata`` must be
-    those of the draw.
+    taken; equal registration times are told apart by customer key.  ``flags`` are the flag
+    columns of ``drawn`` to keep.
     """
     registered = customers_a.select(
         pad_id("NumeroDocumento").alias("cpf"),
@@ -62,7 +63,7 @@ def contact_points(
         F.col("NumeroTelefone").alias("telefone"),
         F.col("DataUltimaAlteracaoCadastro").alias("_changed"),
         F.col("chavecliente").alias("_key"),
-    ).filter(may_be_drawn("cpf", "pontos", ctx, strata))
+    ).filter(could_be_in("cpf", drawn))
     latest = top_row(
         registered,
         ["cpf"],
@@ -75,7 +76,7 @@ def contact_points(
     ).drop("_changed", "_key")
     emails = (
         contatos.select(tax_id("CPF", ctx.pad_ids).alias("cpf"), "EMAIL")
-        .filter(may_be_drawn("cpf", "pontos", ctx, strata))
+        .filter(could_be_in("cpf", drawn))
         .groupBy("cpf")
         .agg(F.max("EMAIL").alias("email"))
     )
@@ -84,5 +85,5 @@ def contact_points(
         .join(latest, "cpf")
         .join(emails, "cpf")
         .withColumn("data_atualizacao", F.lit(brazilian(ctx.as_of)))
-        .select(*CONTACT_COLUMNS)
+        .select(*_KEPT, *flags)
     )

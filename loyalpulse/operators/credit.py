@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -171,6 +171,7 @@ def credit_hits(
     borrowers: DataFrame,
     ctx: RunContext,
     rules: Sequence[CreditRule] = CREDIT_RULES,
+    bit: Mapping[str, int] = BIT,
 ) -> DataFrame:
     """``(cpf, blocks)`` of all credit flags from one scan of the loans.
 
@@ -190,7 +191,7 @@ def credit_hits(
             test += f" AND from_points = {rule.from_points}"
         if rule.client_type is not None:
             test += f" AND client_type = '{rule.client_type}'"
-        tests.append((BIT[rule.block], test))
+        tests.append((bit[rule.block], test))
     per_borrower = (
         recent.selectExpr("borrower_id", f"{sum_bits(tests)} AS blocks")
         .filter("blocks <> 0")
@@ -210,10 +211,13 @@ def credit_flags(
     rules = [rule for rule in CREDIT_RULES if rule.block == name]
     if not rules:
         raise KeyError(f"unknown credit block {name!r}")
-    people = credit_hits(loans, borrowers, ctx, rules).select(F.col("cpf").alias("NU_CPF"))
+    hits = credit_hits(loans, borrowers, ctx, rules).withColumnRenamed("cpf", "NU_CPF")
+    # an aggregate's result among the columns: a plain distinct would let the join of the
+    # unmatched below it, into a plan of its own that reads the borrowers again
+    people = hits.groupBy("NU_CPF").agg(merge_blocks())
     flags = [F.lit(1).alias(flag) for flag, blocks in FLAGS.items() if name in blocks]
     return (
-        _with_customer(people.distinct(), customers_a)
+        _with_customer(people, customers_a)
         .distinct()
         .select(F.col("NU_CPF").alias("cpf"), "chavecliente", *flags)
     )

@@ -16,6 +16,7 @@ from loyalpulse.context import RunContext
 from loyalpulse.rules import STRATA, Stratum
 
 HEX_DIGITS = 12
+_DRAWN_SALT, _DRAWN_BELOW = "drawn_salt", "drawn_below"
 
 
 def threshold(rate: float) -> str:
@@ -25,18 +26,35 @@ def threshold(rate: float) -> str:
     return format(round(max(rate, 0.0) * 16**HEX_DIGITS), f"0{HEX_DIGITS}x")
 
 
-def draw_hash(cpf: str, ctx: RunContext) -> Column:
-    salt = f"|{ctx.as_of.isoformat()}|{ctx.draw_salt}"
+def _salt(ctx: RunContext) -> str:
+    return f"|{ctx.as_of.isoformat()}|{ctx.draw_salt}"
+
+
+def _hash(cpf: str, salt: str) -> Column:
     return F.md5(F.concat(F.col(cpf), F.lit(salt)))
 
 
+def draw_hash(cpf: str, ctx: RunContext) -> Column:
+    return _hash(cpf, _salt(ctx))
+
+
 def may_be_drawn(cpf: str, survey: str, ctx: RunContext, strata: Sequence[Stratum] = STRATA) -> Column:
-    """True for every tax id any stratum of the survey could draw.
+    """True for every tax id any stratum of the survey could draw."""
+    top = max(threshold(stratum.rate) for stratum in strata if stratum.survey == survey)
+    return draw_hash(cpf, ctx) < top
+
+
+def could_be_in(cpf: str, drawn: DataFrame) -> Column:
+    """True for every tax id that the draw of ``drawn`` could take.
 
     It depends on the id alone, so contact tables can be cut with it before their join.
+    The draw notes salt and highest rate in the metadata of its ``cpf``, which stored tables
+    keep; where they are missing, every id may have been drawn.
     """
-    top = max(stratum.rate for stratum in strata if stratum.survey == survey)
-    return draw_hash(cpf, ctx) < threshold(top)
+    noted = drawn.schema["cpf"].metadata
+    if not {_DRAWN_SALT, _DRAWN_BELOW} <= set(noted):
+        return F.lit(True)
+    return _hash(cpf, noted[_DRAWN_SALT]) < noted[_DRAWN_BELOW]
 
 
 def in_stratum(stratum: Stratum) -> str:
@@ -53,8 +71,11 @@ def draw(
     people: DataFrame, survey: str, ctx: RunContext, strata: Sequence[Stratum] = STRATA
 ) -> DataFrame:
     """The people drawn for one survey, all its strata in one pass."""
+    own = [stratum for stratum in strata if stratum.survey == survey]
+    if not own:
+        raise ValueError(f"no stratum of survey {survey!r}")
     limit = F
-    for stratum in strata:
-        if stratum.survey == survey:
-            limit = limit.when(F.expr(in_stratum(stratum)), threshold(stratum.rate))
-    return people.filter(draw_hash("cpf", ctx) < limit)
+    for stratum in own:
+        limit = limit.when(F.expr(in_stratum(stratum)), threshold(stratum.rate))
+    noted = {_DRAWN_SALT: _salt(ctx), _DRAWN_BELOW: max(threshold(stratum.rate) for stratum in own)}
+    return people.filter(draw_hash("cpf", ctx) < limit).withMetadata("cpf", noted)

@@ -35,6 +35,7 @@ from loyalpulse.rules import (
 
 Sources = Mapping[str, DataFrame]
 Rules = Sequence[TouchpointRule]
+Bits = Mapping[str, int]
 
 
 def _in_window(facts: DataFrame, clock: str, rules: Rules, ctx: RunContext) -> str:
@@ -93,12 +94,16 @@ def _bits(tests: Sequence[str]) -> str:
     return sum_bits((1 << i, test) for i, test in enumerate(tests))
 
 
-def _to_blocks(hits: str, rules: Rules) -> str:
-    return sum_bits((BIT[rule.block], f"({hits} & {1 << i}) <> 0") for i, rule in enumerate(rules))
+def _to_blocks(hits: str, rules: Rules, bit: Bits) -> str:
+    return sum_bits((bit[rule.block], f"({hits} & {1 << i}) <> 0") for i, rule in enumerate(rules))
 
 
 def ledger_hits(
-    extrato: DataFrame, parceiros: DataFrame, ctx: RunContext, rules: Rules = LEDGER_RULES
+    extrato: DataFrame,
+    parceiros: DataFrame,
+    ctx: RunContext,
+    rules: Rules = LEDGER_RULES,
+    bit: Bits = BIT,
 ) -> DataFrame:
     """``(chavecliente, blocks)`` of the points ledger; a customer may repeat."""
     check_columns(rules, extrato, parceiros)
@@ -115,7 +120,7 @@ def ledger_hits(
     return (
         facts.join(dims, partner)
         .filter("fact_bits & dim_bits <> 0")
-        .selectExpr("chavecliente", f"{_to_blocks('fact_bits & dim_bits', rules)} AS blocks")
+        .selectExpr("chavecliente", f"{_to_blocks('fact_bits & dim_bits', rules, bit)} AS blocks")
     )
 
 
@@ -125,6 +130,7 @@ def exchange_hits(
     status_exchange: DataFrame,
     ctx: RunContext,
     rules: Rules = EXCHANGE_RULES,
+    bit: Bits = BIT,
 ) -> DataFrame:
     """``(chavecliente, blocks)`` of points exchanges; a customer may repeat."""
     statuses = status_exchange.withColumn("status_known", F.lit("true"))
@@ -158,19 +164,20 @@ def exchange_hits(
         joined = joined.join(statuses, "ChaveStatusexchange", "left").selectExpr(
             "chavecliente", f"hits & coalesce(status_bits, {free_of_status}) AS hits"
         ).filter("hits <> 0")
-    return joined.selectExpr("chavecliente", f"{_to_blocks('hits', rules)} AS blocks")
+    return joined.selectExpr("chavecliente", f"{_to_blocks('hits', rules, bit)} AS blocks")
 
 
 def payment_hits(
     transactions: DataFrame,
     ctx: RunContext,
     parties: Sequence[tuple[str, str]] = PAYMENT_PARTIES,
+    bit: Bits = BIT,
 ) -> DataFrame:
     """``(cpf, blocks)`` of confirmed instant payments, both parties from one scan."""
     day = ctx.day(PAYMENT_LAG)
     on_day = in_local_days(transactions, "createTimestamp", ctx.tz, day, day)
     sides = ", ".join(
-        f"""struct(lpad({party}TaxId, {TAX_ID_WIDTH}, '0') AS cpf, {BIT[block]} AS blocks,
+        f"""struct(lpad({party}TaxId, {TAX_ID_WIDTH}, '0') AS cpf, {bit[block]} AS blocks,
             {party}PersonType = '{NATURAL_PERSON}' AS natural)"""
         for block, party in parties
     )
@@ -225,11 +232,12 @@ def customer_hits(
     ctx: RunContext,
     ledger_rules: Rules = LEDGER_RULES,
     exchange_rules: Rules = EXCHANGE_RULES,
+    bit: Bits = BIT,
 ) -> DataFrame:
     """Ledger and exchange hits, keyed by customer."""
     parts = []
     if ledger_rules:
-        parts.append(ledger_hits(sources["extrato"], sources["parceiros"], ctx, ledger_rules))
+        parts.append(ledger_hits(sources["extrato"], sources["parceiros"], ctx, ledger_rules, bit))
     if exchange_rules:
         parts.append(
             exchange_hits(
@@ -238,6 +246,7 @@ def customer_hits(
                 sources["status_exchange"],
                 ctx,
                 exchange_rules,
+                bit,
             )
         )
     return reduce(DataFrame.unionByName, parts)
@@ -248,11 +257,12 @@ def account_hits(
     ctx: RunContext,
     parties: Sequence[tuple[str, str]] = PAYMENT_PARTIES,
     card: bool = True,
+    bit: Bits = BIT,
 ) -> DataFrame:
     """Payment and card hits, keyed by padded tax id."""
     parts = []
     if parties:
-        parts.append(payment_hits(sources["transactions"], ctx, parties))
+        parts.append(payment_hits(sources["transactions"], ctx, parties, bit))
     if card:
         parts.append(
             card_hits(

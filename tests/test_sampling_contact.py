@@ -104,10 +104,28 @@ def test_everyone_drawn_with_own_strata_is_contacted(spark, rate):
         [(i, f"{i:011d}", "ana", "1@x", "55", "c", "u", date(2000, 1, 1), False) for i in range(90)],
         TABLES["borrowers"],
     )
-    got = contact.contact_credit(drawn, borrowers, CTX, strata)
+    got = contact.contact_credit(drawn, borrowers, CTX)
     assert got.count() == drawn.count() > 0
 
 
+def test_what_was_drawn_tells_how_contacts_are_cut(spark, tmp_path):
+    strata = (Stratum("positivo", credit=1, rate=0.3),)
+    drawn = sampling.draw(people(spark, 90, credito="1"), "positivo", CTX.but(draw_salt="x"), strata)
+    drawn.write.parquet(f"{tmp_path}/drawn")
+    stored = spark.read.parquet(f"{tmp_path}/drawn")
+    borrowers = spark.createDataFrame(
+        [(i, f"{i:011d}", "ana", "1@x", "55", "c", "u", date(2000, 1, 1), False) for i in range(90)],
+        TABLES["borrowers"],
+    )
+    bare = stored.withColumn("cpf", F.concat("cpf", F.lit("")))
+    for frame in (drawn, stored, bare):  # another context, or no note at all, loses no one
+        assert contact.contact_credit(frame, borrowers, CTX).count() == drawn.count() > 0
+    cut = contact.contact_credit(stored, borrowers, CTX)._jdf.queryExecution().executedPlan().toString()
+    assert "md5" in cut
+    with pytest.raises(ValueError, match="no stratum"):
+        sampling.draw(drawn, "unheard", CTX, strata)
+
+
 def test_contact_credit_keeps_every_borrower_record(spark, drawn):
     df, (a, b, c) = drawn
     rows = [(1, a.lstrip("0"), "ana b", "1@x", "55"), (2, a, None, "2@x", "n/a"), (3, b, "", "3@x", None)]

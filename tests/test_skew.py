@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from loyalpulse.context import RunContext
 from loyalpulse.functions.blocks import BIT
-from loyalpulse.operators import consolidate, contact, suppression, touchpoints
+from loyalpulse.operators import consolidate, contact, sampling, suppression, touchpoints
 
 CTX = RunContext(as_of=date(2024, 1, 20))
 SMALL = {
@@ -94,7 +94,7 @@ def test_a_hot_document_is_split_when_contacts_are_joined(tiny_partitions):
     drawn = tiny_partitions.createDataFrame([(i, n) for n, i in enumerate(ids)], "cpf string, chavecliente bigint")
     flags = [F.lit(0).alias(f) for f in contact.FLAGS]
     drawn = drawn.select("*", *flags, F.lit(CTX.as_of).alias("data_atualizacao"))
-    passing = [r.cpf for r in drawn.filter(contact.may_be_drawn("cpf", "positivo", CTX)).collect()]
+    passing = [r.cpf for r in drawn.filter(sampling.may_be_drawn("cpf", "positivo", CTX)).collect()]
     hot = passing[0]
     borrowers = files(
         tiny_partitions.range(N).select(
