@@ -26,6 +26,8 @@ BLOCK = 64
 SHARD_SLOTS = 1024
 #: Documents whose places within their source are summed up within one task, about.
 PLACED_TOGETHER = 1_000
+#: Texts that are cut and handed on together.
+_CUT_TOGETHER = 500
 
 
 def shares(sizes: Sequence[int], weights: Sequence[float], most: float = MOST_PASSES) -> list[float]:
@@ -297,14 +299,16 @@ def mixed_documents(docs: DataFrame, **how) -> DataFrame:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place = names.index("text")
         for batch in batches:
-            every = batch.column("_spans").to_pylist()
-            texts = [
-                _cut(text, [(s["from"], s["upto"]) for s in spans]).decode("utf-8", "replace")
-                for text, spans in zip(utf8(batch.column("text")), every, strict=True)
-            ]
-            columns = batch.columns[:-1]
-            columns[place] = pa.array(texts, batch.schema.field("text").type)
-            yield pa.RecordBatch.from_arrays(columns, schema=pa.schema(list(batch.schema)[:-1]))
+            for start in range(0, batch.num_rows, _CUT_TOGETHER):
+                part = batch.slice(start, _CUT_TOGETHER)
+                every = part.column("_spans").to_pylist()
+                texts = [
+                    _cut(text, [(s["from"], s["upto"]) for s in spans]).decode("utf-8", "replace")
+                    for text, spans in zip(utf8(part.column("text")), every, strict=True)
+                ]
+                columns = part.columns[:-1]
+                columns[place] = pa.array(texts, part.schema.field("text").type)
+                yield pa.RecordBatch.from_arrays(columns, schema=pa.schema(list(part.schema)[:-1]))
 
     out = joined.mapInArrow(cut, docs.schema)
     if "n_chars" in names:
