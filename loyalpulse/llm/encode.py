@@ -31,9 +31,9 @@ _STOP = np.isin(_BYTES, [44, 46])
 _LETTER = ((_BYTES >= 65) & (_BYTES <= 90)) | ((_BYTES >= 97) & (_BYTES <= 122))
 #: Bytes that another white space character holds (and other characters may).
 _MAY_BE_SPACE = np.isin(_BYTES, [9, 11, 12, 13, 28, 29, 30, 31, 0xC2, 0xE1, 0xE2, 0xE3])
-SLOTS = 1 << 22
+SLOTS = 1 << 21
 #: Ids remembered per worker process; beyond it the table starts anew.
-KEPT_IDS = 16_000_000
+KEPT_IDS = 6_000_000
 
 
 class Encoder:
