@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -11,6 +13,8 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 _own: list[str] = []
+#: Of each thread, the tables made so far by every ``distilled`` it is in.
+_made = threading.local()
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -48,6 +52,20 @@ def stored(df: DataFrame) -> DataFrame:
             spark.conf.set(CLEAN_UP, before)
     table = spark.read.schema(df.schema).parquet(path)
     table.stored_at = path
+    for made in getattr(_made, "by", ()):
+        made.append(table)
+    return table
+
+
+def distilled(build: Callable[[], DataFrame]) -> DataFrame:
+    """What ``build`` returns, stored; the tables stored on the way to it are deleted."""
+    made: list[DataFrame] = []
+    _made.by = [*getattr(_made, "by", ()), made]
+    try:
+        table = stored(build())
+    finally:
+        _made.by = _made.by[:-1]
+    discard(*made[:-1])
     return table
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+from pathlib import Path
 from types import SimpleNamespace
 
 import corpus_pipeline
@@ -184,3 +185,51 @@ def test_short_vectors_are_linked_as_by_brute_force(spark):
         links[i] = int((cosines >= 0.98).sum()) - 1
     vectors = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int")
     assert {r.vec_id: r.n_links for r in cap_filters.near_vectors(vectors).collect()} == links
+
+
+def runs_by_brute_force(texts, least):
+    """``(doc, first, origin, kept)`` of every run of ``least`` words that recurs."""
+    places = {}
+    for doc, text in sorted(texts.items()):
+        words = lower(text)
+        for i in range(len(words) - least + 1):
+            places.setdefault(tuple(words[i : i + least]), []).append((doc, i))
+    out = set()
+    for (origin, start), *others in places.values():
+        again = [p for p in others if p[0] != origin or p[1] - start >= least]
+        out |= {(*p, origin, False) for p in again}
+        out |= {(origin, start, origin, True)} if again else set()
+    return out
+
+
+@pytest.mark.parametrize("common", [1 << 15, 6, 0])
+def test_runs_of_rare_and_common_seeds_by_brute_force(spark, monkeypatch, common):
+    monkeypatch.setattr(passages, "COMMON", common)
+    draw = random.Random(8)
+    pieces = [draw.choices("abcdefg", k=draw.randint(5, 40)) for _ in range(12)] + [["x"] * 30, ["y", "z"] * 20]
+    texts = {i: " ".join(w for p in draw.choices(pieces, k=draw.randint(1, 8)) for w in p) for i in range(60)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string").repartition(5)
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    try:
+        for batch in (3, 10_000):
+            spark.conf.set(name, str(batch))
+            rows = passages.repeated_runs(docs, 20).collect()
+            got = [(r.doc_id, k, r.origin, r.kept) for r in rows for k in range(r.first, r.last + 1)]
+            assert len(got) == len(set(got)) and set(got) == runs_by_brute_force(texts, 20)
+            if common > 1000:  # a row stands for several runs
+                assert 2 * len(rows) < len(got)
+    finally:
+        spark.conf.set(name, before)
+
+
+def test_tables_on_the_way_to_the_paragraphs_are_deleted(spark, monkeypatch):
+    made = []
+    folder = store.shared_folder
+    monkeypatch.setattr(store, "shared_folder", lambda spark: made.append(folder(spark)) or made[-1])
+    line = " ".join(f"w{i}" for i in range(30))
+    docs = spark.createDataFrame([(i, f"{line}\nown{i}") for i in range(4)], "doc_id bigint, text string")
+    found = passages.repeated_passages(docs)
+    left = [p for p in made if Path(p).exists()]
+    assert len(made) > 5 and len(left) == 2  # the paragraphs and the runs
+    assert {(r.doc_id, r.kind) for r in found.collect()} == {(i, k) for i in range(4) for k in ("paragraph", "passage")}
