@@ -8,6 +8,7 @@ from types import SimpleNamespace
 
 import corpus_pipeline
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import SF_SMALL
 from loyalpulse.llm import cap_filters, line_dedup, passages, store
@@ -233,3 +234,23 @@ def test_tables_on_the_way_to_the_paragraphs_are_deleted(spark, monkeypatch):
     left = [p for p in made if Path(p).exists()]
     assert len(made) > 5 and len(left) == 2  # the paragraphs and the runs
     assert {(r.doc_id, r.kind) for r in found.collect()} == {(i, k) for i in range(4) for k in ("paragraph", "passage")}
+
+
+def test_a_stage_of_the_pipeline_hands_texts_on_in_small_batches(spark):
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    docs = spark.range(20).selectExpr(
+        "id AS doc_id", "repeat('ab cd ', 200000) AS text", "'en' AS lang", "'s' AS source", "0L AS n_chars"
+    )
+
+    def largest(batches):
+        yield pa.RecordBatch.from_pydict({"n": [max(b.nbytes for b in batches)]})
+
+    try:
+        for stage in (corpus_pipeline.lines, corpus_pipeline.mix):
+            spark.conf.set(name, str(64 << 20))
+            stage(spark, docs.limit(2), "")
+            got = docs.coalesce(1).mapInArrow(largest, "n bigint").collect()
+            assert got[0].n < 2 * corpus_pipeline.BATCH_BYTES
+    finally:
+        spark.conf.set(name, before)
