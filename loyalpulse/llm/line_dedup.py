@@ -82,7 +82,8 @@ def _run(held: list[np.ndarray], ids: list[tuple[int, int]]) -> Run:
     lines = np.diff(np.searchsorted(ends, upto), prepend=0)
     number = np.arange(len(ends)) - np.repeat(np.cumsum(lines) - lines, lines)
     doc, copy = np.repeat(np.array(ids, dtype=np.int64).T, lines, axis=1)
-    return Run(hashes, np.searchsorted(ends, starts), doc, copy, number)
+    words = np.diff(np.searchsorted(starts, ends), prepend=0)
+    return Run(hashes, np.repeat(np.arange(len(ends)), words), doc, copy, number)
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -148,17 +149,32 @@ def _cell(hashes: np.ndarray) -> np.ndarray:
     return (hashes >> np.uint64(46)).astype(np.int64)
 
 
+def _ordered(run: Run, own: np.ndarray) -> np.ndarray:
+    """The order of the words by line, rank and hash.
+
+    Line, rank, the upper bits of the hash and the place are one number, as numpy sorts numbers
+    several times faster than it finds their order.
+    """
+    n = len(run.line)
+    places = n.bit_length()
+    left = 56 - places - (int(run.line[-1]).bit_length() if n else 0)
+    if left >= 8:
+        key = run.line.astype(np.uint64) << np.uint64(8) | own.astype(np.uint64)
+        key = key << np.uint64(left) | run.hashes >> np.uint64(64 - left)
+        key = np.sort(key << np.uint64(places) | np.arange(n, dtype=np.uint64))
+        order = (key & np.uint64((1 << places) - 1)).astype(np.int64)
+        key >>= np.uint64(places)
+        hashes = run.hashes[order]
+        if not ((key[1:] == key[:-1]) & (hashes[1:] != hashes[:-1])).any():
+            return order
+    return np.lexsort((run.hashes, own, run.line))  # words alike in their upper bits
+
+
 def _sets_of(run: Run, rank: np.ndarray, least: int):
     """Sets of the lines with ``least`` or more words: line, size, name, map and words in order."""
-    hashes, line = run.hashes, run.line
-    own = rank[_cell(hashes)].astype(np.uint64)
-    key = line.astype(np.uint64) << np.uint64(40) | own << np.uint64(32) | hashes >> np.uint64(32)
-    order = np.argsort(key)
-    hashes, key = hashes[order], key[order]
-    if ((key[1:] == key[:-1]) & (hashes[1:] != hashes[:-1])).any():  # words alike in 32 bits
-        order = np.lexsort((run.hashes, own, line))
-        hashes = run.hashes[order]
-    line = line[order]
+    own = rank[_cell(run.hashes)]
+    order = _ordered(run, own)
+    hashes, line = run.hashes[order], run.line[order]
     first = np.ones(len(line), dtype=bool)
     first[1:] = (hashes[1:] != hashes[:-1]) | (line[1:] != line[:-1])
     hashes, line = hashes[first], line[first]
@@ -231,11 +247,13 @@ def prefixes(lines: DataFrame) -> DataFrame:
 def _by_word(rows: DataFrame) -> DataFrame:
     """Rows of a word together, by rising size.
 
-    Word and size are one number, ``key``, as Spark sorts by one number several times faster.
+    Word and size are one number, ``key``, as Spark sorts by one number several times faster; line
+    and place are one, ``at``, as every number of a row takes as many bytes in the shuffle.
     """
     key = "shiftleft(CAST(word AS BIGINT), 32) + size AS key"
-    keyed = rows.selectExpr("word", key, "name", "doc", "line", "place", "bits", "more_bits")
-    return keyed.repartition("word").sortWithinPartitions("key").drop("word")
+    at = "shiftleft(CAST(line AS BIGINT), 32) + place AS at"
+    keyed = rows.selectExpr(key, "name", "doc", at, "bits", "more_bits")
+    return keyed.repartition(F.expr("shiftright(key, 32)")).sortWithinPartitions("key")
 
 
 def _apart(rows: dict[str, np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
@@ -246,23 +264,23 @@ def _apart(rows: dict[str, np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndar
 
 def _small_pairs(rows: dict[str, np.ndarray], percent: int) -> tuple[np.ndarray, np.ndarray]:
     """Rows of one word, which lie together by rising size, whose sets may be alike."""
-    word, name, size, place = (rows[c] for c in ("word", "name", "size", "place"))
+    name, size, place = rows["name"], rows["size"].astype(np.int64), rows["place"]
+    word = rows["word"].astype(np.int64) << 32
+    # sizes rise within a word, so what may be alike a row is the rows up to some later one
+    last = np.searchsorted(word + size, word + np.minimum(100 * size // percent, 2**31 - 1), "right")
     found, i = [], np.arange(len(word))
     for shift in range(1, SMALL):
-        i = i[i + shift < len(word)]
-        j = i + shift
-        # sizes rise within a word, so a row that has left the window does not come back
-        near = (word[i] == word[j]) & (100 * size[i] >= percent * size[j])
-        i, j = i[near], j[near]
+        i = i[i + shift < last[i]]
         if len(i) == 0:
             break
-        a, b = size[i].astype(np.int64), size[j].astype(np.int64)
+        j = i + shift
+        a, b = size[i], size[j]
         needed = -(-percent * (a + b) // (100 + percent))
         left = np.minimum(a - place[i], b - place[j])
-        fit = name[i] != name[j]
-        fit &= np.minimum(place[i], place[j]) + left >= needed
-        fit &= _apart(rows, i, j) <= a + b - 2 * needed
-        found.append((i[fit], j[fit]))
+        fit = (name[i] != name[j]) & (np.minimum(place[i], place[j]) + left >= needed)
+        x, y, differ = i[fit], j[fit], (a + b - 2 * needed)[fit]
+        fit = _apart(rows, x, y) <= differ
+        found.append((x[fit], y[fit]))
     if not found:
         return np.empty(0, np.int64), np.empty(0, np.int64)
     return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
@@ -272,22 +290,38 @@ MAPPED = ["row.size", "row.place", "row.bits", "row.more_bits"]
 ROW = ["word", "name", "doc", "line", "size", "place", "bits", "more_bits"]
 
 
+def _earliest(rows: dict[str, np.ndarray]) -> np.ndarray:
+    """Of rows that lie together by word and rising size: the earliest row of each set at a word."""
+    word, size, name = rows["word"], rows["size"], rows["name"]
+    group = np.zeros(len(word), dtype=np.int64)
+    group[1:] = np.cumsum((word[1:] != word[:-1]) | (size[1:] != size[:-1]))
+    order = np.lexsort((name, group))
+    name, group = name[order], group[order]
+    new = np.ones(len(name), dtype=bool)
+    new[1:] = (name[1:] != name[:-1]) | (group[1:] != group[:-1])
+    if new.all():
+        return order
+    again = ~new
+    again[:-1] |= ~new[1:]
+    again = np.flatnonzero(again)  # all rows of sets with several
+    many = order[again]
+    order[again] = many[np.lexsort((rows["line"][many], rows["doc"][many], np.cumsum(new)[again]))]
+    return order[new]
+
+
 def _first_candidates(rows: dict[str, np.ndarray], percent: int) -> list[pa.Array]:
     """Of rows that lie together by word and rising size: every later set with its candidates.
 
     A set, the earlier candidate of nearest map, how far that is, and the other earlier ones.
     """
-    order = np.lexsort((rows["line"], rows["doc"], rows["name"], rows["size"], rows["word"]))
-    rows = {c: v[order] for c, v in rows.items()}
-    new = np.ones(len(rows["word"]), dtype=bool)
-    new[1:] = (rows["word"][1:] != rows["word"][:-1]) | (rows["name"][1:] != rows["name"][:-1])
-    rows = {c: v[new] for c, v in rows.items()}  # the earliest row of each set
+    earliest = _earliest(rows)
+    rows = {c: v[earliest] for c, v in rows.items()}
     name, doc, line = rows["name"], rows["doc"], rows["line"]
     a, b = _small_pairs(rows, percent)
-    order = np.lexsort((name, line, doc))
-    when = np.empty_like(order)
-    when[order] = np.arange(len(order))
-    a, b = np.where(when[a] < when[b], a, b), np.where(when[a] < when[b], b, a)
+    before = (doc[a] < doc[b]) | (doc[a] == doc[b]) & (
+        (line[a] < line[b]) | (line[a] == line[b]) & (name[a] < name[b])
+    )
+    a, b = np.where(before, a, b), np.where(before, b, a)
     apart = _apart(rows, a, b)
     order = np.lexsort((name[a], apart, b))
     a, b, apart = a[order], b[order], apart[order]
@@ -339,8 +373,9 @@ def candidates(rows: DataFrame, percent: int) -> DataFrame:
                 continue
             names = batch.schema.names
             part = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in names}
-            key = part.pop("key")
-            part["word"], part["size"] = (key >> 32).astype(np.int32), key.astype(np.int32)
+            for both, upper, lower in (("key", "word", "size"), ("at", "line", "place")):
+                two = part.pop(both)
+                part[upper], part[lower] = (two >> 32).astype(np.int32), two.astype(np.int32)
             if held is not None:
                 part = {c: np.concatenate([held[c], part[c]]) for c in ROW}
             last = part["word"] == part["word"][-1]
@@ -546,14 +581,18 @@ def repeated_lines(
 
 def _with_removed(docs: DataFrame, **how) -> DataFrame:
     """The rows with ``_gone``, their repeated lines in order, null where there are none."""
+    return _with_gone(docs.withColumn("_key", text_key()), repeated_lines(docs, **how)).drop("_key")
+
+
+def _with_gone(rows: DataFrame, repeated: DataFrame) -> DataFrame:
+    """The rows, which have the ``text_key`` of their text in ``_key``, with ``_gone``."""
     gone = (
-        repeated_lines(docs, **how)
-        .groupBy("doc_id", "copy")
+        repeated.groupBy("doc_id", "copy")
         .agg(F.sort_array(F.collect_list("line")).alias("_gone"))
         .withColumnsRenamed({"doc_id": "_doc", "copy": "_copy"})
     )
-    same = (F.col("doc_id").cast("bigint") == F.col("_doc")) & (text_key() == F.col("_copy"))
-    return docs.join(gone, same, "left").drop("_doc", "_copy")
+    same = (F.col("doc_id").cast("bigint") == F.col("_doc")) & (F.col("_key") == F.col("_copy"))
+    return rows.join(gone, same, "left").drop("_doc", "_copy")
 
 
 def per_document(docs: DataFrame, **how) -> DataFrame:
@@ -561,9 +600,17 @@ def per_document(docs: DataFrame, **how) -> DataFrame:
 
     Null and empty texts have no lines; texts that share an id are answered each.
     """
-    return _with_removed(docs.select("doc_id", "text"), **how).selectExpr(
-        "CAST(doc_id AS BIGINT) AS doc_id",
-        "CAST(coalesce(if(length(text) > 0, regexp_count(text, '\n') + 1, 0), 0) AS BIGINT) AS n_lines",
+    # the texts themselves stay out of the join
+    rows = docs.select(
+        F.col("doc_id").cast("bigint").alias("doc_id"),
+        F.expr(
+            "CAST(coalesce(if(length(text) > 0, regexp_count(text, '\n') + 1, 0), 0) AS BIGINT)"
+        ).alias("n_lines"),
+        text_key().alias("_key"),
+    )
+    return _with_gone(rows, repeated_lines(docs, **how)).selectExpr(
+        "doc_id",
+        "n_lines",
         "CAST(coalesce(size(_gone), 0) AS BIGINT) AS n_removed",
         "coalesce(_gone, array()) AS removed",
     )

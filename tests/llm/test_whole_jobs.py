@@ -254,3 +254,48 @@ def test_a_stage_of_the_pipeline_hands_texts_on_in_small_batches(spark):
             assert got[0].n < 2 * corpus_pipeline.BATCH_BYTES
     finally:
         spark.conf.set(name, before)
+
+
+def test_texts_stay_out_of_the_join_with_their_repeated_lines(spark):
+    docs = spark.createDataFrame([(1, "a b c\na b c"), (2, "a b c"), (3, None)], "doc_id bigint, text string")
+    answer = line_dedup.per_document(docs)
+    assert sorted(tuple(r) for r in answer.collect()) == [(1, 2, 1, [1]), (2, 1, 1, [0]), (3, 0, 0, [])]
+    node = answer._jdf.queryExecution().optimizedPlan()
+    while node.nodeName() != "Join":
+        node = node.children().head()
+    output = node.children().head().output()
+    assert "text" not in {output.apply(i).name() for i in range(output.size())}
+
+
+def test_rows_of_prefix_words_travel_in_six_numbers(spark):
+    shape = "word int, name bigint, doc bigint, line int, size int, place int, bits bigint, more_bits bigint"
+    rows = spark.createDataFrame([(-7, 1, 2, 3, 4, 5, 6, 7), (9, 1, 2, 2**31 - 1, 4, 0, 6, 7)], shape)
+    sent = line_dedup._by_word(rows)
+    assert len(sent.columns) == 6
+    got = {(r.key >> 32, r.key & 0xFFFFFFFF, r["at"] >> 32, r["at"] & 0xFFFFFFFF) for r in sent.collect()}
+    assert got == {(-7, 4, 3, 5), (9, 4, 2**31 - 1, 0)}
+
+
+@pytest.mark.parametrize("shift", [0, 40])
+def test_words_are_ordered_by_line_rank_and_hash(shift):
+    r = np.random.default_rng(5)
+    n = 400  # with few upper bits, words differ in the lower ones only
+    hashes = r.integers(0, 200, n).astype(np.uint64) << np.uint64(shift)
+    line = np.sort(r.integers(0, 5, n))
+    run = line_dedup.Run(hashes, line, line, line, line)
+    own = r.integers(0, 3, n).astype(np.uint8)
+    order = line_dedup._ordered(run, own)
+    want = sorted(zip(line.tolist(), own.tolist(), hashes.tolist()))
+    assert list(zip(line[order].tolist(), own[order].tolist(), hashes[order].tolist())) == want
+
+
+def test_the_earliest_row_of_each_set_at_a_word():
+    r = np.random.default_rng(6)
+    rows = [tuple(map(int, x)) for x in r.integers(0, [3, 4, 6, 5, 3], (300, 5))]
+    rows.sort(key=lambda x: x[:2])
+    word, size, name, doc, line = np.array(rows).T
+    got = line_dedup._earliest({"word": word, "size": size, "name": name, "doc": doc, "line": line})
+    want = {}
+    for row in rows:
+        want[row[:3]] = min(want.get(row[:3], row), row)
+    assert sorted(rows[i] for i in got) == sorted(want.values())
